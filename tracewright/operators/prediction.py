@@ -39,6 +39,7 @@ CATEGORICAL_FEATURES = (
 # Risk bands, right-closed upper limits.
 RISK_BANDS = (("Low", 0.30), ("Medium", 0.60), ("High", 0.80), ("Critical", None))
 SCORE_THRESHOLD = 0.50
+ROWS_PER_TRAIN_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -197,10 +198,13 @@ def train_sla_model(features: DataFrame, holdout_share: float = 0.20) -> SlaMode
         LogisticRegression(
             featuresCol="vector", labelCol="label", weightCol="weight",
             regParam=1.0 / total, elasticNetParam=0.0, standardization=False,
-            maxIter=1000, tol=1e-10,
+            maxIter=1000, tol=1e-8,
         ),
     ]
-    model = Pipeline(stages=stages).fit(ready.where("is_train"))
+    # Every iteration is a job, so a small training set is better off in few partitions;
+    # coalescing to more partitions than there are changes nothing.
+    rows = ready.where("is_train").coalesce(total // ROWS_PER_TRAIN_TASK + 1)
+    model = Pipeline(stages=stages).fit(rows)
     probability = vector_to_array(F.col("probability"))
     scored = model.transform(ready.where(~F.col("is_train"))).withColumn(
         "risk_score", F.get(probability, F.lit(1))

@@ -19,6 +19,7 @@ from tracewright.functions.columns import (
     share,
     wide_sum,
 )
+from tracewright.functions.draws import digest, settled, uniform
 from tracewright.functions.quantiles import exact_quantiles
 from tracewright.log import ProcessLog
 from tracewright.model import ANNUAL_CASE_VOLUME
@@ -186,13 +187,6 @@ def _scaled(us: Column, activity: Column, factors: dict[str, float]) -> Column:
     return F.round(us * factor).cast("bigint")
 
 
-def hash_uniform(seed: str, *parts: Column, stream: int = 0) -> Column:
-    """Uniform in [0, 1) from a hash of the key: the same on any cluster and partitioning."""
-    digest = F.md5(F.concat_ws("|", F.lit(seed), *[p.cast("string") for p in parts]))
-    chunk = F.substring(digest, 1 + 13 * stream, 13)  # 52 bits
-    return F.conv(chunk, 16, 10).cast("double") / F.lit(float(1 << 52))
-
-
 def what_if(
     log: ProcessLog,
     stages: StageMap,
@@ -232,13 +226,12 @@ def what_if(
         )
         for i, s in enumerate(catalog)
     ])
-    case = F.col("case_id")
-    replication = F.floor(hash_uniform(seed, case) * replications).cast("int")
-    return per_case.select(
+    drawn = settled(per_case.withColumn("draw", digest(seed, F.col("case_id"))))
+    return drawn.select(
         "case_id",
-        replication.alias("replication"),
+        F.floor(uniform(F.col("draw")) * replications).cast("int").alias("replication"),
         F.unix_micros("arrival").alias("arrival_us"),
-        target_draw(hash_uniform(seed, case, stream=1)).alias("sla_target_hours"),
+        target_draw(uniform(F.col("draw"), 1)).alias("sla_target_hours"),
         F.inline(outcomes),
     )
 

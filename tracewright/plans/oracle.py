@@ -155,15 +155,31 @@ SELECT deviation_type, activity, count(*) AS case_count FROM d GROUP BY 1, 2"""
 
 
 def uniform(purpose: str, key: str = "k", stream: int = 0) -> str:
-    text = f"md5({lit(syn.SEED + ':' + purpose + '|')} || {key})"
-    return f"(CAST('0x' || substr({text}, {1 + 13 * stream}, 13) AS BIGINT) / 4503599627370496.0)"
+    text = f"sha256({lit(syn.SEED + ':' + purpose + '|')} || {key})"
+    return f"(CAST('0x' || substr({text}, {1 + 12 * stream}, 12) AS BIGINT) / 281474976710656e0)"
 
 
-def normal(purpose: str, key: str) -> str:
-    u, v = uniform(purpose, key), uniform(purpose, key, 1)
+def normal(purpose: str, key: str, stream: int = 0) -> str:
+    u, v = uniform(purpose, key, stream), uniform(purpose, key, stream + 1)
     return f"(sqrt(-2.0 * ln(1 - {u})) * cos({2 * math.pi!r} * {v}))"
 
 
+# Which digest and stream a case attribute is drawn from.
+DRAWS = {
+    name: (f"case{i}", stream)
+    for i, names in enumerate((
+        ("business_unit", "department", "country", "material_category", "channel"),
+        ("priority", "variant", "late", "vendor", "created"),
+    ))
+    for stream, name in enumerate(names)
+}
+
+
+def draw(name: str) -> str:
+    purpose, stream = DRAWS[name]
+    return uniform(purpose, "k", stream)
+
+
 def logn(mean: str, sigma: float, z: str) -> str:
     down, shape = math.sqrt(1 + sigma**2), math.sqrt(math.log(1 + sigma**2))
     return (f"CASE WHEN {mean} <= 0 THEN 0.0 ELSE exp(ln({mean} / {down!r}) + {shape!r} * {z})"
@@ -175,7 +191,7 @@ def pick(purpose: str) -> str:
     options = syn.WEIGHTS[purpose]
     for label, weight in options[:-1]:
         reached += weight
-        whens.append(f"WHEN {uniform(purpose)} <= {round(reached, 10)!r} THEN {lit(label)}")
+        whens.append(f"WHEN {draw(purpose)} <= {round(reached, 10)!r} THEN {lit(label)}")
     return f"CASE {' '.join(whens)} ELSE {lit(options[-1][0])} END"
 
 
@@ -202,12 +218,12 @@ def synthetic_ctes() -> str:
     return f"""pk AS (SELECT CAST(o_orderkey AS VARCHAR) AS k FROM orders),
 pc0 AS (SELECT k, 'P2P-' || lpad(k, 12, '0') AS case_id,
   make_timestamp((epoch_us(TIMESTAMP '{syn.START}') // 1000000
-    + CAST(floor({uniform('created')} * {syn.HORIZON_DAYS * 86400}) AS BIGINT)) * 1000000)
+    + CAST(floor({draw('created')} * {syn.HORIZON_DAYS * 86400}) AS BIGINT)) * 1000000)
     AS created_at, {dims},
-  CAST(floor({uniform('vendor')} * {syn.VENDORS}) AS BIGINT) + 1 AS vn,
+  CAST(floor({draw('vendor')} * {syn.VENDORS}) AS BIGINT) + 1 AS vn,
   round(least({syn.AMOUNT_MAX!r}, greatest({syn.AMOUNT_MIN!r},
-    exp({syn.AMOUNT_MU!r} + {syn.AMOUNT_SIGMA!r} * {normal('amount', 'k')}))), 2) AS amount_usd,
-  {pick('variant')} AS base, {uniform('variant', stream=1)} AS late_u FROM pk),
+    exp({syn.AMOUNT_MU!r} + {syn.AMOUNT_SIGMA!r} * {normal('case2', 'k')}))), 2) AS amount_usd,
+  {pick('variant')} AS base, {draw('late')} AS late_u FROM pk),
 pc1 AS (SELECT *, 'V-' || lpad(CAST(vn AS VARCHAR), 3, '0') AS vendor_id,
   CASE WHEN vn <= {syn.LAST_A} THEN 'A' WHEN vn <= {syn.LAST_B} THEN 'B' ELSE 'C' END
     AS vendor_tier FROM pc0),
@@ -230,17 +246,17 @@ pe1 AS (SELECT pe0.*, resource_role, work, prefix, headcount,
     * ({urgency}) AS mean_hours,
   pe0.activity IN ({auto}) AS automated
   FROM pe0 JOIN act ON act.activity = pe0.activity),
-pe2 AS (SELECT *, CAST(round(({logn('mean_hours', syn.DELAY_SIGMA, normal('delay', step))})
+pe2 AS (SELECT *, CAST(round(({logn('mean_hours', syn.DELAY_SIGMA, normal('event', step))})
     * 3600000000.0) AS BIGINT) AS delay_us FROM pe1),
 ev AS (SELECT case_id, i + 1 AS event_index, activity,
   make_timestamp(((epoch_us(created_at) + CAST(sum(delay_us) OVER (PARTITION BY case_id
     ORDER BY i ROWS UNBOUNDED PRECEDING) AS BIGINT)) // 1000000) * 1000000) AS tm,
   CASE WHEN resource_role = 'Supplier' THEN vendor_id ELSE prefix || '-' ||
-    lpad(CAST(CAST(floor({uniform('resource', step)} * headcount) AS BIGINT) + 1 AS VARCHAR),
+    lpad(CAST(CAST(floor({uniform('event', step, 4)} * headcount) AS BIGINT) + 1 AS VARCHAR),
       2, '0') END AS resource_id, resource_role, automated,
   round(greatest({syn.TOUCH_MIN!r}, {logn(
       'work * CASE WHEN NOT automated AND amount_usd > 100000 THEN 1.25 ELSE 1.0 END',
-      syn.TOUCH_SIGMA, normal('touch', step))}), 2) AS processing_minutes,
+      syn.TOUCH_SIGMA, normal('event', step, 2))}), 2) AS processing_minutes,
   CASE WHEN resource_role = 'Supplier' THEN 'Supplier Network'
     WHEN automated THEN 'Workflow Orchestrator' ELSE 'Enterprise ERP' END AS source_system
   FROM pe2),
@@ -380,7 +396,7 @@ def scenario_ctes(stage_map, replications: int) -> str:
   CAST(sum(CAST(round(coalesce(wait_us, 0) * ({wait})) AS BIGINT)) AS BIGINT) AS cycle_us,
   CAST(sum(CAST(round(CASE WHEN automated THEN 0 ELSE touch_us END * ({manual})) AS BIGINT))
     AS BIGINT) AS manual_us FROM tr GROUP BY case_id""")
-    u = "(CAST('0x' || substr(md5('what-if|' || case_id), {}, 13) AS BIGINT) / 4503599627370496.0)"
+    u = "(CAST('0x' || substr(sha256('what-if|' || case_id), {}, 12) AS BIGINT) / 281474976710656e0)"
     rows = " UNION ALL ".join(parts)
     metrics = ("mean_cycle_hours", "median_cycle_hours", "p90_cycle_hours", "sla_adherence",
                "manual_hours_per_case", "throughput_cases_per_8h")
@@ -390,7 +406,7 @@ def scenario_ctes(stage_map, replications: int) -> str:
     return f"""wi0 AS ({rows}),
 wi AS (SELECT case_id, CAST(floor({u.format(1)} * {replications}) AS INTEGER) AS replication,
   epoch_us(arrival) AS arrival_us,
-  CASE WHEN {u.format(14)} < 0.18 THEN 120e0 WHEN {u.format(14)} < 0.86 THEN 240e0
+  CASE WHEN {u.format(13)} < 0.18 THEN 120e0 WHEN {u.format(13)} < 0.86 THEN 240e0
     ELSE 336e0 END AS sla_target_hours, catalog_index, scenario, cycle_us, manual_us FROM wi0),
 ro AS (SELECT catalog_index, scenario, replication, count(*) AS cases,
   sum(cycle_us) / CAST(count(*) AS DOUBLE) / {H} AS mean_cycle_hours,

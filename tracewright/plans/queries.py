@@ -105,7 +105,12 @@ def _once(spark: SparkSession, sf: str, name: str, build):
 
 
 def _synthetic(spark, sf) -> tuple[DataFrame, DataFrame]:
-    keys = adapters.read(spark, sf, "orders").select("o_orderkey")
+    # The keys are a few bytes and the log made from them a few kilobytes per case, so
+    # spreading the keys first is what spreads the work.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = adapters.read(spark, sf, "orders").select("o_orderkey").repartition(
+        spread, "o_orderkey"
+    )
     cases = synthetic.synthetic_cases(keys, "o_orderkey")
     return synthetic.synthetic_events(cases), cases
 
