@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.columns import wide_sum
-from tracewright.session import broadcast_if_small
+from tracewright.session import broadcast_if_small, is_small
 
-CELL_US = 1 << 24  # 16.8 seconds: about 1.9 million cells per year of value range
+CELL_BITS = 24
+CELL_US = 1 << CELL_BITS  # 16.8 seconds: about 1.9 million cells per year of value range
 
 
 def exact_quantiles(
@@ -39,7 +40,7 @@ def exact_quantiles(
     base = df.where(value_col.isNotNull()).select(
         *keys,
         value_col.cast("bigint").alias("_v"),
-        F.floor(value_col / F.lit(CELL_US)).cast("bigint").alias("_cell"),
+        F.shiftright(value_col.cast("bigint"), CELL_BITS).alias("_cell"),
         weight_col.alias("_w"),
     )
     counted = F.sum("_w").cast("bigint")
@@ -65,6 +66,9 @@ def exact_quantiles(
         wanted = wanted | holds(F.floor(position)) | holds(F.ceil(position))
     targets = placed.where(wanted).drop("_after")
     bound = None if max_groups is None else max_groups * 2 * len(probs)
+    if not is_small(bound):
+        # The join may shuffle, and one cell may hold most rows: count its values first.
+        base = base.groupBy(*keys, "_cell", "_v").agg(counted.alias("_w"))
     left, right = base.alias("b"), broadcast_if_small(targets, bound).alias("t")
     match = F.col("b._cell") == F.col("t._cell")
     for key in keys:

@@ -107,26 +107,35 @@ class ProcessLog:
         return rows
 
     def linked(self, *columns: str, previous: tuple[str, ...]) -> DataFrame:
-        """``columns`` and the struct ``before`` with ``previous`` of the event before it.
+        """Case, ``columns`` and the struct ``before`` with ``previous`` of the event before it.
 
         ``before`` is null on the first event of a case. One shuffle by case for regular
         cases; long cases look back by window inside a segment and, on the first row of a
         segment, to the last row of the segment before it.
         """
-        window = Window.partitionBy("case_id").orderBy(*self.order)
-        before = F.struct(*previous)
-        rows = self.regular.select(*columns, F.lag(before).over(window).alias("before"))
+        columns = tuple(dict.fromkeys(("case_id", *columns)))
+
+        def looked_back(df, *keys, name):
+            # One lag per plain column: a lag over a struct would put the struct, and so
+            # every column in it a second time, into the shuffle.
+            window = Window.partitionBy("case_id", *keys).orderBy(*self.order)
+            marked = df.select(
+                *columns, *keys, F.lag(F.lit(1)).over(window).alias("_any"),
+                *[F.lag(c).over(window).alias(f"_{c}") for c in previous],
+            )
+            before = F.struct(*[F.col(f"_{c}").alias(c) for c in previous])
+            return marked.select(
+                *columns, *keys, F.when(F.col("_any").isNotNull(), before).alias(name)
+            )
+
+        rows = looked_back(self.regular, name="before")
         if not self.has_long_cases:
             return rows
-        inside = Window.partitionBy("case_id", "segment").orderBy(*self.order)
         across = Window.partitionBy("case_id").orderBy("segment")
-        near = self.segments.select(
-            *dict.fromkeys(("case_id", *columns)), "segment",
-            F.lag(before).over(inside).alias("near"),
-        )
+        near = looked_back(self.segments, "segment", name="near")
         # One row per case and segment.
         tails = self.segments.groupBy("case_id", "segment").agg(
-            F.max_by(before, F.struct(*self.order)).alias("tail")
+            F.max_by(F.struct(*previous), F.struct(*self.order)).alias("tail")
         )
         far = tails.select("case_id", "segment", F.lag("tail").over(across).alias("far"))
         stitched = near.join(far, ["case_id", "segment"], "left")

@@ -19,6 +19,7 @@ from tracewright.functions.columns import (
 from tracewright.functions.prefix import global_prefix
 from tracewright.functions.quantiles import exact_quantiles
 from tracewright.log import ProcessLog
+from tracewright.session import broadcast_if_small
 
 _STEP_SEPARATOR = " > "
 # Attributes of the waiting (target) event that transitions carry along.
@@ -211,7 +212,9 @@ def start_end_activities(log: ProcessLog) -> DataFrame:
 def sample_log(log: ProcessLog, sample_cases: int = 2_000) -> ProcessLog:
     """The first cases in sorted id order: the deterministic sample of the miner bridge."""
     ids = log.events.select("case_id").distinct().orderBy("case_id").limit(sample_cases)
-    picked = log.events.join(F.broadcast(ids), "case_id", "left_semi")
+    picked = log.events.join(
+        broadcast_if_small(ids, sample_cases), "case_id", "left_semi"
+    )
     return ProcessLog(picked, log.order, log.case_limit, log.segment_rows)
 
 

@@ -46,7 +46,7 @@ def _case_aggregates(columns: Sequence[str]) -> list:
     return parts
 
 
-def _finish(table: DataFrame, keys: Sequence[str], median: DataFrame | None) -> DataFrame:
+def _finish(table: DataFrame, keys: Sequence[str], median: DataFrame) -> DataFrame:
     """Ratio measures, and the median joined null-safe on the grouping keys."""
     out = table.withColumns({
         "average_spend_per_case": share(F.col("total_spend"), F.col("cases")),
@@ -54,13 +54,13 @@ def _finish(table: DataFrame, keys: Sequence[str], median: DataFrame | None) ->
     })
     if "conformant_cases" in table.columns:
         out = out.withColumn("straight_through", share(F.col("conformant_cases"), F.col("cases")))
-    if median is None:
-        return out
+    if not keys:
+        return out.withColumn("median_cycle_hours", hours(median.select("median").scalar()))
     left, right = out.alias("l"), median.alias("r")
-    match = F.lit(True)
-    for key in keys:
-        match = match & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    return left.join(right, match).select("l.*", hours(F.col("r.median")).alias("median_cycle_hours"))
+    match = [F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}")) for key in keys]
+    return left.join(right, match).select(
+        "l.*", hours(F.col("r.median")).alias("median_cycle_hours")
+    )
 
 
 def case_measures(cases: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -113,18 +113,18 @@ def temporal_split(frame: DataFrame, holdout_share: float = 0.20) -> DataFrame:
     """Add ``is_train``: the earliest cases by ``(created_at, case_id)``.
 
     Only the two ordering columns are ranked; the rows are then labelled by comparing with
-    the one boundary key, without a join.
+    the one boundary key, without a join. One case alone is training data.
     """
     if not 0.10 <= holdout_share <= 0.40:
         raise ValueError("holdout_share must be between 0.10 and 0.40")
     created = F.unix_micros("created_at")
     keys = frame.select(created.alias("created_us"), "case_id")
     ranked = global_prefix(keys, [F.col("created_us"), F.col("case_id")])
-    total = frame.count()
+    total = ranked.count()
     if total == 0:
         return frame.withColumn("is_train", F.lit(True))
     wanted = max(1, min(total - 1, int(total * (1 - holdout_share))))
-    last = ranked.where(F.col("rank") == max(wanted, 1)).first()
+    last = ranked.where(F.col("rank") == wanted).first()
     here = F.struct(created.alias("created_us"), "case_id")
     edge = F.struct(
         F.lit(last["created_us"]).alias("created_us"), F.lit(last["case_id"]).alias("case_id")
@@ -173,7 +173,7 @@ def _prepared(train: DataFrame, frame: DataFrame) -> DataFrame:
 
 def train_sla_model(features: DataFrame, holdout_share: float = 0.20) -> SlaModel:
     """Balanced L2 logistic regression on the earlier cases, scored on the later ones."""
-    frame = durable(temporal_split(features, holdout_share))
+    frame = temporal_split(durable(features), holdout_share)
     train = frame.where("is_train")
     sizes = {r["sla_breached"]: r["n"] for r in train.groupBy("sla_breached").agg(
         F.count(F.lit(1)).alias("n")).collect()}
@@ -184,7 +184,7 @@ def train_sla_model(features: DataFrame, holdout_share: float = 0.20) -> SlaMode
     weight = F.when(F.col("sla_breached"), total / (2 * sizes[True])).otherwise(
         total / (2 * sizes[False])
     )
-    ready = durable(_prepared(train, frame).withColumn("weight", weight))
+    ready = _prepared(train, frame).withColumn("weight", weight)
     indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
     encoded = [f"{c}_code" for c in CATEGORICAL_FEATURES]
     numeric = [f"z_{c}" for c in NUMERIC_FEATURES]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tracewright", master: str | None = None, cores: int | None = None):
@@ -45,10 +46,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, proven_rows: int | None, limit: int = 200_000) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise Spark picks the join."""
-    from pyspark.sql import functions as F
+BROADCAST_ROWS = 200_000
+
+
+def is_small(proven_rows: int | None) -> bool:
+    return proven_rows is not None and proven_rows <= BROADCAST_ROWS
 
-    if proven_rows is not None and proven_rows <= limit:
-        return F.broadcast(df)
-    return df
+
+def broadcast_if_small(df: DataFrame, proven_rows: int | None) -> DataFrame:
+    """Broadcast hint only behind a proven row bound; otherwise Spark picks the join."""
+    return F.broadcast(df) if is_small(proven_rows) else df
