@@ -69,8 +69,7 @@ def test_coefficients_are_the_optimum(features, model):
     import numpy as np
 
     frame = prediction.temporal_split(features)
-    train = frame.where("is_train")
-    ready = prediction._prepared(train, frame).where("is_train").toPandas()
+    ready = prediction._prepared(frame).where("is_train").toPandas()
     names = {r["feature"]: r["coefficient"] for r in rows(model.drivers)}
     columns, weights = [], []
     for name, value in names.items():
@@ -91,6 +90,20 @@ def test_coefficients_are_the_optimum(features, model):
     assert np.abs(gradient).max() < 1e-2
 
 
+def test_missing_values_are_imputed(features):
+    frame = prediction.temporal_split(features).withColumns({
+        "amount_usd": F.when(F.col("vendor_tier") != "A", F.col("amount_usd")),
+        "channel": F.when(F.col("vendor_tier") != "A", F.col("channel")),
+    })
+    train = frame.where("is_train").toPandas()
+    ready = prediction._prepared(frame).toPandas()
+    filled = train["amount_usd"].fillna(train["amount_usd"].median())
+    gaps = ready[ready["vendor_tier"] == "A"]
+    expected = (train["amount_usd"].median() - filled.mean()) / filled.std(ddof=0)
+    assert gaps["z_amount_usd"].to_numpy() == pytest.approx(expected)
+    assert set(gaps["channel"]) == {train["channel"].mode()[0]}
+
+
 @pytest.mark.parametrize("part", [0.09, 0.41])
 def test_holdout_share_is_checked(features, part):
     with pytest.raises(ValueError, match="holdout_share"):

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tracewright.log import ProcessLog
 from tracewright.model import CASE_COLUMNS, EVENT_COLUMNS, IDEAL_PROCESS
-from tracewright.operators import contracts, discovery
-from tracewright.plans import pipeline
+from tracewright.operators import contracts, discovery, measures, performance
+from tracewright.plans import pipeline, run, views
 from tracewright.session import durable
 from tracewright.sources import files, sinks, synthetic
 
@@ -156,3 +156,39 @@ def test_report(process, tmp_path):
         "project", "data_quality", "kpis", "recommendation"]
     for name in pipeline.SECTIONS:
         assert pipeline.section(analysis.report, name).count() == 1
+
+
+def test_run_from_files(spark, process, tmp_path):
+    events, cases = process
+    for name, df in (("e.csv", events), ("c.csv", cases)):
+        df.select(*[
+            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(c) if t == "timestamp" else c
+            for c, t in df.dtypes
+        ]).write.option("header", True).csv(str(tmp_path / name))
+    paths = {"report_path": str(tmp_path / "report"), "tables_dir": str(tmp_path / "tables"),
+             "runs_path": str(tmp_path / "runs")}
+    analysis = run.run_analysis(
+        spark, str(tmp_path / "e.csv"), str(tmp_path / "c.csv"), **paths)
+    assert len(list((tmp_path / "tables").iterdir())) == 12
+    with pytest.raises(contracts.ContractError):
+        run.run_analysis(spark, str(tmp_path / "c.csv"), str(tmp_path / "e.csv"), **paths)
+    logged = spark.read.parquet(paths["runs_path"])
+    assert {r["status"]: r["events_loaded"] for r in rows(logged)} == {
+        "success": events.count(), "failure": None}
+    imported = measures.import_tables(analysis.tables)
+    assert dict(imported["risk_predictions"].dtypes)["predicted_breach"] == "boolean"
+    assert imported["case_performance"].count() == 1000
+
+
+def test_sql_views(spark, process):
+    events, cases = process
+    views.register_views(spark, events, cases)
+    assert spark.table("vw_case_performance").count() == 1000
+    got = {tuple(r) for r in spark.table("vw_sla_performance").select(
+        "completed_month", "business_unit", "priority", "case_count").collect()}
+    want = {tuple(r) for r in performance.sla_monthly(cases).select(
+        "completed_month", "business_unit", "priority", "case_count").collect()}
+    assert got == want
+    for name in views.REPORTS:
+        assert views.report(spark, name).count() > 0
+    assert spark.table("vw_activity_performance").count() == 22

@@ -19,6 +19,37 @@ from tracewright.functions.quantiles import exact_quantiles
 SLICERS = ("business_unit", "country", "vendor_tier", "priority")
 
 
+# Columns of the five import tables of the semantic layer.
+IMPORT_TABLES = {
+    "case_performance": (
+        "case_id string, business_unit string, vendor_tier string, amount_usd double, "
+        "cycle_time_hours double, sla_breached boolean, fitness double, conformant boolean, "
+        "automation_rate double"
+    ),
+    "bottlenecks": (
+        "activity string, total_wait_hours double, p90_wait_hours double, "
+        "bottleneck_score double"
+    ),
+    "variants": "variant_rank bigint, variant string, case_count bigint, case_share double",
+    "risk_predictions": (
+        "case_id string, risk_score double, risk_band string, predicted_breach boolean"
+    ),
+    "simulation_scenarios": (
+        "scenario string, mean_cycle_hours double, sla_adherence double, "
+        "estimated_annual_value_usd double, first_year_roi double"
+    ),
+}
+
+
+def import_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The result tables the semantic layer imports, cut to its columns and types."""
+    out = {}
+    for name, ddl in IMPORT_TABLES.items():
+        columns = [part.strip().split(" ") for part in ddl.split(",")]
+        out[name] = tables[name].select(*[F.col(c).cast(t).alias(c) for c, t in columns])
+    return out
+
+
 def rollup_sets(slicers: Sequence[str]) -> list[tuple[str, ...]]:
     return [tuple(slicers[:n]) for n in range(len(slicers), -1, -1)]
 

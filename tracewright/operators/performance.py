@@ -216,6 +216,28 @@ def kpis(
     )
 
 
+def case_explorer(
+    cases: DataFrame, conformance: DataFrame, variants: DataFrame | None = None,
+    scored: DataFrame | None = None,
+) -> DataFrame:
+    """Searchable case list: cycle and SLA, conformance, and where given variant and risk.
+
+    ``variants`` maps ``case_id`` to a variant label, ``scored`` holds the holdout's scores.
+    Every join is by case id.
+    """
+    out = cases.select(
+        "case_id", "business_unit", "country", "vendor_tier", "priority", "amount_usd",
+        "cycle_time_hours", "sla_target_hours", "sla_breached",
+    ).join(
+        conformance.select("case_id", "fitness", "conformant", "edit_distance"), "case_id", "left"
+    )
+    if variants is not None:
+        out = out.join(variants.select("case_id", "variant"), "case_id", "left")
+    if scored is not None:
+        out = out.join(scored.select("case_id", "risk_score", "risk_band"), "case_id", "left")
+    return out
+
+
 def case_timeline(log: ProcessLog, chosen: DataFrame) -> DataFrame:
     """Events of the chosen cases in order, each with its place in the case."""
     events = log.events.join(chosen.select("case_id"), "case_id", "left_semi")

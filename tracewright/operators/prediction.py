@@ -149,18 +149,30 @@ def _medians(train: DataFrame) -> dict[str, float]:
     return {r["feature"]: r["median"] / scale for r in rows}
 
 
-def _prepared(train: DataFrame, frame: DataFrame) -> DataFrame:
-    """Impute and standardise with statistics of the training rows only."""
-    medians = _medians(train)
-    filled = {
-        c: F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c, 0.0)))
-        for c in NUMERIC_FEATURES
-    }
-    stats = train.agg(
-        *[F.avg(filled[c]).alias(f"mean_{c}") for c in NUMERIC_FEATURES],
-        *[F.stddev_pop(filled[c]).alias(f"sd_{c}") for c in NUMERIC_FEATURES],
-        *[F.mode(c, True).alias(f"mode_{c}") for c in CATEGORICAL_FEATURES],
-    ).first()
+def _prepared(frame: DataFrame) -> DataFrame:
+    """Impute and standardise with statistics of the training rows only.
+
+    One aggregate gives everything when no numeric value is missing, as the contract asks;
+    otherwise medians come first and the statistics are taken over the filled values.
+    """
+
+    def statistics(filled):
+        def of_train(column):
+            return F.when(F.col("is_train"), column)
+
+        return frame.agg(
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in NUMERIC_FEATURES],
+            *[F.avg(of_train(filled[c])).alias(f"mean_{c}") for c in NUMERIC_FEATURES],
+            *[F.stddev_pop(of_train(filled[c])).alias(f"sd_{c}") for c in NUMERIC_FEATURES],
+            *[F.mode(of_train(F.col(c)), True).alias(f"mode_{c}") for c in CATEGORICAL_FEATURES],
+        ).first()
+
+    filled = {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
+    stats = statistics(filled)
+    if any(stats[f"null_{c}"] for c in NUMERIC_FEATURES):
+        medians = _medians(frame.where("is_train"))
+        filled = {c: F.coalesce(v, F.lit(medians.get(c, 0.0))) for c, v in filled.items()}
+        stats = statistics(filled)
     numeric = {
         f"z_{c}": (filled[c] - F.lit(stats[f"mean_{c}"])) / F.lit(stats[f"sd_{c}"] or 1.0)
         for c in NUMERIC_FEATURES
@@ -184,7 +196,7 @@ def train_sla_model(features: DataFrame, holdout_share: float = 0.20) -> SlaMode
     weight = F.when(F.col("sla_breached"), total / (2 * sizes[True])).otherwise(
         total / (2 * sizes[False])
     )
-    ready = _prepared(train, frame).withColumn("weight", weight)
+    ready = _prepared(frame).withColumn("weight", weight)
     indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
     encoded = [f"{c}_code" for c in CATEGORICAL_FEATURES]
     numeric = [f"z_{c}" for c in NUMERIC_FEATURES]

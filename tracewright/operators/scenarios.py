@@ -193,13 +193,19 @@ def what_if(
     replications: int = 24,
     catalog: Sequence[Scenario] = CATALOG,
     seed: str = "what-if",
+    strict: bool = False,
 ) -> DataFrame:
     """Outcome of every observed case under every scenario.
 
+    Cases are dealt to ``replications`` by a hash of their id; ``strict`` asks for at least
+    two replications of a hundred cases.
+
     Waits and manual times are scaled by the scenario's levers and summed per case in one
     aggregate with a column pair per scenario; rows are multiplied by the catalog only
     after that, at one row per case.
     """
+    if strict:
+        guard(replications, log.facts.cases // max(replications, 1))
     rows = log.linked(
         "case_id", "activity", "timestamp", "automated", "processing_minutes",
         previous=("timestamp",),

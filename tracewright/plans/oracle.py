@@ -556,7 +556,7 @@ en AS (SELECT cs.*, fitness, conformant, touch_time_hours, estimated_wait_hours,
             ("High", "risk_score > 0.60 AND risk_score <= 0.80"),
             ("Critical", "risk_score > 0.80")), start=1)
     )
-    return {
+    out = {
         # data quality
         "dq_summary": f"""WITH {day}, {SEQ} SELECT count(*) AS event_count,
   count(DISTINCT case_id) AS case_count, count(DISTINCT activity) AS activity_count,
@@ -748,6 +748,11 @@ GROUP BY 1""",
         "kpis": f"WITH {week}, {wcs}, {conform(CLICK_IDEAL)}, {PERFORMANCE} {kpi_select()}",
         "kpis_orders": "WITH " + p2p + f", {conform(IDEAL_PROCESS)}, "
         + PERFORMANCE.replace("sum(touch_us)", f"sum({TOUCH_P2P})") + " " + kpi_select(),
+        "case_explorer": f"""WITH {week}, {wcs}, {conform(CLICK_IDEAL)}, {SEQ}
+SELECT case_id, business_unit, country, vendor_tier, priority, amount_usd,
+  {r("cycle_time_hours", "cycle_time_hours")}, sla_target_hours, sla_breached,
+  {r("fitness", "fitness")}, conformant, CAST(edit_distance AS INTEGER) AS edit_distance,
+  variant FROM cs LEFT JOIN cf USING (case_id) LEFT JOIN sq USING (case_id)""",
         "case_timeline": f"""WITH {week}, {wcs}, n AS (SELECT *, row_number() OVER
   (PARTITION BY case_id ORDER BY tm, event_index) AS position FROM ev)
 SELECT case_id, activity, {iso("tm")} AS timestamp, resource_id,
@@ -865,3 +870,6 @@ SELECT {iso("ts")} AS ts, events_loaded, cases_loaded, {r("a", "sla_adherence")}
   CASE WHEN a < 0.7 THEN 'red' WHEN a < 0.85 THEN 'orange' ELSE 'green' END AS adherence_band
 FROM l""",
     }
+    out["sql_top_wait_transitions"] = out["top_wait_transitions"]
+    out["sql_rework_concentration"] = out["rework_concentration"]
+    return out

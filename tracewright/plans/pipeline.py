@@ -67,13 +67,14 @@ def analyze(
     scored_cases = durable(conformance.conformance_arrays(log, ideal))
     per_case = durable(performance.case_performance(events))
 
-    variants = discovery.variants(log).drop("cumulative_share")
-    edges = discovery.directly_follows(log, steps)
-    activities = discovery.activity_summary(log)
-    deviations = conformance.deviation_summary(scored_cases)
-    bottlenecks = performance.bottlenecks(log, steps)
-    rework_table = performance.rework_summary(events)
-    workload = performance.resource_workload(events)
+    # The report and the table sinks both read these results.
+    variants = durable(discovery.variants(log).drop("cumulative_share"))
+    edges = durable(discovery.directly_follows(log, steps))
+    activities = durable(discovery.activity_summary(log))
+    deviations = durable(conformance.deviation_summary(scored_cases))
+    bottlenecks = durable(performance.bottlenecks(log, steps))
+    rework_table = durable(performance.rework_summary(events))
+    workload = durable(performance.resource_workload(events))
     model = prediction.train_sla_model(
         prediction.sla_features(log, cases, decision, approval, rework)
     )

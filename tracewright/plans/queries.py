@@ -28,6 +28,7 @@ from tracewright.operators import (
     scenarios,
 )
 from tracewright.plans.pipeline import Analysis, analyze
+from tracewright.plans.views import register_views, report
 from tracewright.sources import adapters, synthetic
 from tracewright.session import durable
 
@@ -405,6 +406,21 @@ def sla_monthly(spark, sf):
     return performance.sla_monthly(_p2p(spark, sf).cases)
 
 
+def _sql_report(spark, sf, name) -> DataFrame:
+    register_views(spark, adapters.clickstream_events(spark, sf, "day"), _cases(spark, sf))
+    return report(spark, name)
+
+
+@query
+def sql_top_wait_transitions(spark, sf):
+    return _sql_report(spark, sf, "top_wait_transitions")
+
+
+@query
+def sql_rework_concentration(spark, sf):
+    return _sql_report(spark, sf, "rework_concentration")
+
+
 @query
 def top_wait_transitions(spark, sf):
     return discovery.top_wait_transitions(discovery.directly_follows_view(_day(spark, sf)))
@@ -454,6 +470,17 @@ def kpis_orders(spark, sf):
     )
 
 
+@query
+def case_explorer(spark, sf):
+    log = _week(spark, sf)
+    labels = discovery.case_sequences(log).select(
+        "case_id", F.array_join("steps", " > ").alias("variant")
+    )
+    return performance.case_explorer(
+        _cases(spark, sf), conformance.conformance_arrays(log, adapters.CLICK_IDEAL), labels
+    )
+
+
 @query
 def case_timeline(spark, sf):
     chosen = _cases(spark, sf).where("sla_breached and priority = 'Strategic'")

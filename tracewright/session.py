@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ def build_session(app: str = "tracewright", master: str | None = None, cores: in
     """Session for tests and benchmarks; a cluster passes its own session instead."""
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
+        # A local session is one JVM: its driver memory is all the memory there is.
+        builder = builder.master(master).config("spark.driver.memory", "8g")
     if cores:
         builder = builder.config("spark.sql.shuffle.partitions", str(cores))
     return (
@@ -23,27 +25,35 @@ def build_session(app: str = "tracewright", master: str | None = None, cores: in
     )
 
 
-def _checkpoint_ready(spark: SparkSession) -> None:
+_local_folder: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tracewright-"))
-    else:
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    application = context.applicationId
+    if application not in _local_folder:
+        _local_folder[application] = tempfile.mkdtemp(prefix="tracewright-")
+    return _local_folder[application]
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there.
+    """Write ``df`` as a table in the shared folder and read it back from there.
 
     Used where a value that is only stable within one execution (a partition id) must stay
-    the same for every later reader, also after executors are lost.
+    the same for every later reader, also after executors are lost, and where several
+    results start from one intermediate. A columnar table, so each reader scans only the
+    columns it needs. The folder is the cluster's to clean up.
     """
-    _checkpoint_ready(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/tracewright-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 BROADCAST_ROWS = 200_000
