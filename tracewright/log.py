@@ -76,7 +76,9 @@ class ProcessLog:
         """
         order = ("case_id", *self.order)
         long_events = self.events.join(self._long_ids, "case_id", "left_semi")
-        ranges = max(2, -(-self.facts.events // self.segment_rows))
+        # At least as many ranges as tasks can run; boundary rows stay one per case and range.
+        tasks = int(self.events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(tasks, -(-self.facts.events // self.segment_rows))
         cut = durable(
             long_events.repartitionByRange(ranges, *order)
             .withColumn("segment", F.spark_partition_id())

@@ -288,7 +288,7 @@ def rank_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.min(F.col("cum_neg") - F.col("neg")).alias("neg_start"),
     )
     if by:
-        points = curve.join(groups, by)
+        points = curve.join(broadcast_if_small(groups, groups.count()), by)
     else:
         row = groups.first()
         points = curve.withColumns({c: F.lit(row[c]) for c in groups.columns})
