@@ -115,8 +115,8 @@ SEQ = """sq AS (SELECT case_id, list(activity ORDER BY tm, event_index) AS steps
   string_agg(activity, ' > ' ORDER BY tm, event_index) AS variant
   FROM ev GROUP BY case_id)"""
 
-VARIANTS = SEQ + """, vc AS (SELECT variant, CAST(len(any_value(steps)) AS BIGINT) AS activity_count,
-  count(*) AS case_count FROM sq GROUP BY variant),
+VARIANTS = SEQ + """, vc AS (SELECT variant,
+  CAST(len(any_value(steps)) AS BIGINT) AS activity_count, count(*) AS case_count FROM sq GROUP BY variant),
 vr AS (SELECT row_number() OVER (ORDER BY case_count DESC, variant) AS variant_rank, variant,
   activity_count, case_count,
   case_count / CAST((SELECT sum(case_count) FROM vc) AS DOUBLE) AS case_share,
@@ -274,7 +274,8 @@ cs AS (SELECT pc.*, completed_at, event_count, rework_count,
 
 def dfg_select(cases: str = "(SELECT count(DISTINCT case_id) FROM ev)") -> str:
     return f"""SELECT previous_activity AS source, activity AS target,
-  count(*) AS transition_count, {r(f"sum(wait_us) / CAST(count(*) AS DOUBLE) / {H}", "mean_wait_hours")},
+  count(*) AS transition_count,
+  {r(f"sum(wait_us) / CAST(count(*) AS DOUBLE) / {H}", "mean_wait_hours")},
   {r(f"quantile_cont(wait_us, 0.5) / {H}", "median_wait_hours")},
   {r(f"quantile_cont(wait_us, 0.9) / {H}", "p90_wait_hours")},
   {r(f"count(*) / CAST({cases} AS DOUBLE)", "case_coverage")}
@@ -309,7 +310,7 @@ pf AS (SELECT *, (epoch_us(completed_at) - epoch_us(created_at)) / {H} AS cycle_
   automated_event_count / CAST(event_count AS DOUBLE) AS automation_rate FROM pf0)"""
 
 
-def kpi_select(touch: str = "") -> str:
+def kpi_select() -> str:
     q = "(SELECT quantile_cont(CAST(round(cycle_time_hours * 3600000000.0) AS BIGINT), {}) FROM cs)"
     q = q + f" / {H}"
     return f"""SELECT {r(q.format(0.5), "median_cycle_hours", 2)},
@@ -503,11 +504,7 @@ def oracle_queries() -> dict[str, str]:
 
     day, week, wcs = click("day"), click("week"), click_cases("week")
     p2p = synthetic_ctes()
-    p2p_ev = p2p.replace(
-        "AS processing_minutes,", "AS processing_minutes,", 1
-    )
     day_cf = f"{day}, {conform(CLICK_IDEAL)}"
-    p2p_touch = p2p_ev + f""", evt AS (SELECT *, {TOUCH_P2P} AS touch_us FROM ev)"""
     scen = f"{week}, {LINKED}, {scenario_ctes(CLICK_STAGES, REPLICATIONS)}"
     slicers = "business_unit, country, vendor_tier, priority"
     enriched = f"""{week}, {wcs}, {conform(CLICK_IDEAL)}, {PERFORMANCE},
@@ -532,7 +529,8 @@ en AS (SELECT cs.*, fitness, conformant, touch_time_hours, estimated_wait_hours,
         f" count(*) FILTER (trim(CAST({c} AS VARCHAR)) = '') AS blank_count FROM oc"
         for c in ("case_id", "created_at", "completed_at", "priority", "event_count")
     )
-    variant_cols = f"variant_rank, variant, activity_count, case_count, {r('case_share', 'case_share')}"
+    variant_cols = "variant_rank, variant, activity_count, case_count, "
+    variant_cols += r("case_share", "case_share")
     seg = " UNION ALL ".join(
         f"SELECT '{d}' AS dimension, {s}.{d} AS member, cs.case_id, cs.sla_breached, st.wait_us"
         " FROM cs LEFT JOIN st ON st.case_id = cs.case_id"

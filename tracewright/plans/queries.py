@@ -72,12 +72,30 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+# What one application works on: the logs with their size facts, the written synthetic log
+# and the model fitted on it.
+_made: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf: str, name: str, build):
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _made:
+        _made[key] = build()
+    return _made[key]
+
+
+def _clicks(spark, sf, grain) -> ProcessLog:
+    return _once(
+        spark, sf, grain, lambda: ProcessLog(adapters.clickstream_events(spark, sf, grain))
+    )
+
+
 def _day(spark, sf) -> ProcessLog:
-    return ProcessLog(adapters.clickstream_events(spark, sf, "day"))
+    return _clicks(spark, sf, "day")
 
 
 def _week(spark, sf) -> ProcessLog:
-    return ProcessLog(adapters.clickstream_events(spark, sf, "week"))
+    return _clicks(spark, sf, "week")
 
 
 def _cases(spark, sf) -> DataFrame:
@@ -94,17 +112,6 @@ class _OrderProcess:
     cases: DataFrame
 
 
-# Written once per application and input: the synthetic log and the model fitted on it.
-_made: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark: SparkSession, sf: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _made:
-        _made[key] = build()
-    return _made[key]
-
-
 def _synthetic(spark, sf) -> tuple[DataFrame, DataFrame]:
     # The keys are a few bytes and the log made from them a few kilobytes per case, so
     # spreading the keys first is what spreads the work.

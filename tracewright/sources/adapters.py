@@ -19,7 +19,6 @@ CLICK_TARGETS = {
     "day": {"Urgent": 1.0, "Standard": 3.0, "Strategic": 6.0},
     "week": {"Urgent": 96.0, "Standard": 144.0, "Strategic": 156.0},
 }
-CHAT_IDEAL = ("user", "assistant", "user", "assistant")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

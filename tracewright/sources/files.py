@@ -102,9 +102,8 @@ def bpmn_task_edges(nodes: DataFrame, flows: DataFrame) -> DataFrame:
     hops = flows.select("source_id", "target_id").unionByName(through)
     source = tasks.select(F.col("node_id").alias("source_id"), F.col("name").alias("source"))
     target = tasks.select(F.col("node_id").alias("target_id"), F.col("name").alias("target"))
-    return (
-        hops.join(source, "source_id").join(target, "target_id").select("source", "target").distinct()
-    )
+    edges = hops.join(source, "source_id").join(target, "target_id")
+    return edges.select("source", "target").distinct()
 
 
 def scan_text_files(spark: SparkSession, path: str) -> DataFrame:
