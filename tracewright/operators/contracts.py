@@ -106,6 +106,9 @@ def _violations(rules: list[Rule], keys: Sequence[str], df: DataFrame) -> DataFr
     )
 
 
+# The rule messages below are what callers match on, in order of precedence.
+
+
 def event_rules() -> list[Rule]:
     negative = _any(F.col(c) < 0 for c in EVENT_NUMERICS)
     unread = _any(F.col(c).isNull() for c in EVENT_NUMERICS)

@@ -868,6 +868,8 @@ SELECT {iso("ts")} AS ts, events_loaded, cases_loaded, {r("a", "sla_adherence")}
   CASE WHEN a < 0.7 THEN 'red' WHEN a < 0.85 THEN 'orange' ELSE 'green' END AS adherence_band
 FROM l""",
     }
-    out["sql_top_wait_transitions"] = out["top_wait_transitions"]
-    out["sql_rework_concentration"] = out["rework_concentration"]
+    out["sql_directly_follows"] = out["dfg_view"]
+    out["sql_case_performance"] = out["sla_consumption"]
+    out["sql_sla_by_country"] = f"""WITH {wcs} SELECT country, vendor_tier, count(*) AS cases,
+  count(*) FILTER (sla_breached) AS breached FROM cs GROUP BY 1, 2"""
     return out

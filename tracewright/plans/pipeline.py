@@ -22,6 +22,16 @@ from tracewright.operators import (
 from tracewright.session import durable
 
 
+# The governance section.
+GOVERNANCE = {
+    "decision_mode": "human-in-the-loop",
+    "production_mutations": False,
+    "prediction_use": "Prioritize analyst review; never approve, reject, or pay an invoice "
+                      "without an authorized business control.",
+    "model_validation": "Temporal holdout; synthetic data; not production calibrated.",
+}
+
+
 @dataclass(frozen=True)
 class Analysis:
     tables: dict[str, DataFrame]
@@ -147,13 +157,7 @@ def analyze(
             _top(compared, [F.col("catalog_index")]).alias("scenarios"),
             _row(recommendation).alias("recommendation"),
         ),
-        "governance": F.struct(
-            F.lit("human-in-the-loop").alias("decision_mode"),
-            F.lit(False).alias("production_mutations"),
-            F.lit("Prioritize analyst review; never approve, reject, or pay an invoice "
-                  "without an authorized business control.").alias("prediction_use"),
-            F.lit("Temporal holdout; not production calibrated.").alias("model_validation"),
-        ),
+        "governance": F.struct(*[F.lit(v).alias(k) for k, v in GOVERNANCE.items()]),
     }
     report = spark.range(1).select(
         F.struct(*[c.alias(name) for name, c in sections.items()]).alias("report")

@@ -28,7 +28,7 @@ from tracewright.operators import (
     scenarios,
 )
 from tracewright.plans.pipeline import Analysis, analyze
-from tracewright.plans.views import register_views, report
+from tracewright.plans.views import register_views
 from tracewright.sources import adapters, synthetic
 from tracewright.session import durable
 
@@ -413,19 +413,29 @@ def sla_monthly(spark, sf):
     return performance.sla_monthly(_p2p(spark, sf).cases)
 
 
-def _sql_report(spark, sf, name) -> DataFrame:
-    register_views(spark, adapters.clickstream_events(spark, sf, "day"), _cases(spark, sf))
-    return report(spark, name)
+def _sql(spark, sf, text) -> DataFrame:
+    register_views(spark, _day(spark, sf).events, _cases(spark, sf))
+    return spark.sql(text)
 
 
 @query
-def sql_top_wait_transitions(spark, sf):
-    return _sql_report(spark, sf, "top_wait_transitions")
+def sql_directly_follows(spark, sf):
+    return _sql(spark, sf, "SELECT * FROM vw_directly_follows")
 
 
 @query
-def sql_rework_concentration(spark, sf):
-    return _sql_report(spark, sf, "rework_concentration")
+def sql_case_performance(spark, sf):
+    return _sql(spark, sf, "SELECT * FROM vw_case_performance")
+
+
+@query
+def sql_sla_by_country(spark, sf):
+    """An ad-hoc query over the base table."""
+    return _sql(
+        spark, sf,
+        "SELECT country, vendor_tier, count(*) AS cases, count_if(sla_breached) AS breached "
+        "FROM process_cases GROUP BY country, vendor_tier",
+    )
 
 
 @query

@@ -1,7 +1,7 @@
-"""The reporting layer for SQL users: base tables, four analytic views, three reports.
+"""The reporting layer for SQL users: base tables, analytic views and reports.
 
-The analytic views are the operators' plans under the view names, so a long case or a heavy
-group is split in SQL as it is in Python.
+Views are the operators' plans under a name, so a long case or a heavy group is split in SQL
+as it is in Python.
 """
 
 from __future__ import annotations
@@ -12,37 +12,22 @@ from tracewright.log import ProcessLog
 from tracewright.operators import discovery, performance
 from tracewright.sources.sinks import relational_cases, relational_form
 
-REPORTS = {
-    "top_wait_transitions": """
-        SELECT source_activity, target_activity, transition_count, mean_wait_hours
-        FROM vw_directly_follows
-        ORDER BY mean_wait_hours * transition_count DESC, source_activity, target_activity
-        LIMIT 15""",
-    "bu_sla_gap": """
-        SELECT business_unit, count(*) AS cases,
-               round(avg(if(sla_breached, 0.0D, 1.0D)), 4) AS sla_adherence,
-               round(avg(cycle_time_hours), 2) AS mean_cycle_hours
-        FROM process_cases GROUP BY business_unit ORDER BY sla_adherence, business_unit""",
-    "rework_concentration": """
-        SELECT variant_ground_truth, count(*) AS cases, sum(rework_count) AS repeat_events
-        FROM process_cases WHERE rework_count > 0
-        GROUP BY variant_ground_truth ORDER BY repeat_events DESC, variant_ground_truth""",
-}
+REPORTS = ("top_wait_transitions", "bu_sla_gap", "rework_concentration")
 
 
 def register_views(spark: SparkSession, events: DataFrame, cases: DataFrame) -> None:
-    """Make the tables and views known to ``spark.sql`` for this session."""
+    """Make the tables, views and reports known to ``spark.sql`` for this session."""
+    edges = discovery.directly_follows_view(ProcessLog(events))
     views = {
         "process_events": relational_form(events),
         "process_cases": relational_cases(cases),
         "vw_case_performance": performance.sla_consumption(cases),
         "vw_activity_performance": discovery.activity_view(events),
         "vw_sla_performance": performance.sla_monthly(cases),
-        "vw_directly_follows": discovery.directly_follows_view(ProcessLog(events)),
+        "vw_directly_follows": edges,
+        "top_wait_transitions": discovery.top_wait_transitions(edges),
+        "bu_sla_gap": performance.bu_sla_gap(cases),
+        "rework_concentration": performance.rework_concentration(cases),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-
-
-def report(spark: SparkSession, name: str) -> DataFrame:
-    return spark.sql(REPORTS[name])
