@@ -100,3 +100,19 @@ def test_log_format(small_events):
     assert discovery.log_format(small_events).columns == [
         "case:concept:name", "concept:name", "time:timestamp", "resource_id"
     ]
+
+
+def test_published_scores(spark):
+    # Published total wait, p90 wait, coverage and score of four activities.
+    published = [
+        ("Goods Received", 865100.2425, 120.18008333333333, 1.0, 0.9241859786271567),
+        ("Invoice Received", 348031.5563888889, 45.7935, 1.0, 0.45669007561134545),
+        ("Delivery Delayed", 155821.00305555554, 160.82194444444445, 0.12925,
+         0.41845295793224135),
+        ("Manager Approval", 166426.90722222222, 22.79255555555556, 0.872, 0.2791259371542846),
+    ]
+    table = spark.createDataFrame(
+        published, "activity string, total_wait_hours double, p90_wait_hours double, "
+        "case_coverage double, expected double")
+    for row in rows(performance.score_bottlenecks(table)):
+        assert row["bottleneck_score"] == pytest.approx(row["expected"], abs=1e-12)

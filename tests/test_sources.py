@@ -129,11 +129,31 @@ def test_relational_load_is_bucketed(spark, process):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan
         assert joined.count() == events.count()
+        stored = ProcessLog(table.withColumnRenamed("event_timestamp", "timestamp"))
+        for built in (discovery.transitions(stored), discovery.case_sequences(stored)):
+            assert "Exchange" not in built._jdf.queryExecution().executedPlan().toString()
+        edges = discovery.edge_counts(stored)
+        plain = discovery.edge_counts(ProcessLog(events))
+        assert {tuple(r) for r in edges.collect()} == {tuple(r) for r in plain.collect()}
     finally:
         spark.sql("DROP TABLE t_events")
         spark.sql("DROP TABLE t_cases")
 
 
+def test_relational_load_of_long_cases_is_spread(spark, process):
+    events, cases = process
+    sinks.load_relational(events, cases, cases_table="u_cases", events_table="u_events",
+                          case_limit=5)
+    try:
+        table = spark.table("u_events")
+        assert table.count() == events.count()
+        detail = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED u_events").collect()}
+        assert "Num Buckets" not in detail
+    finally:
+        spark.sql("DROP TABLE u_events")
+        spark.sql("DROP TABLE u_cases")
+
+
 def test_report(process, tmp_path):
     events, cases = process
     analysis = pipeline.analyze(ProcessLog(events), cases)

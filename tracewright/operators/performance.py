@@ -43,6 +43,11 @@ def bottlenecks(log: ProcessLog, steps: DataFrame | None = None) -> DataFrame:
         *[hours(F.col(q)).alias(f"{q}_wait_hours") for q in ("median", "p90", "p95")],
         share(F.col("case_count"), F.lit(log.facts.cases)).alias("case_coverage"),
     )
+    return score_bottlenecks(table)
+
+
+def score_bottlenecks(table: DataFrame) -> DataFrame:
+    """Add the score: weighted total wait, p90 wait (both against the largest) and reach."""
     everyone = Window.partitionBy()  # one row per activity
 
     def relative(column):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.log import CASE_LIMIT, ProcessLog
+
 
 def write_tables(tables: dict[str, DataFrame], directory: str, fmt: str = "csv") -> None:
     """One folder per table. CSV keeps a header and joins arrays with `` | ``."""
@@ -51,24 +53,38 @@ def relational_cases(cases: DataFrame) -> DataFrame:
     })
 
 
+def _save_by_case(df: DataFrame, table: str, order: tuple[str, ...], buckets: int) -> None:
+    # One task per bucket writes one file, instead of each task one file per bucket.
+    df.repartition(buckets, "case_id").write.mode("overwrite").bucketBy(
+        buckets, "case_id"
+    ).sortBy(*order).saveAsTable(table)
+
+
 def load_relational(
     events: DataFrame, cases: DataFrame, jdbc: dict[str, str] | None = None,
     cases_table: str = "process_cases", events_table: str = "process_events",
+    buckets: int | None = None, case_limit: int = CASE_LIMIT,
 ) -> None:
     """Full refresh of both tables: over JDBC with truncate, else as Spark tables.
 
-    As Spark tables both are bucketed by case, so joins by case need no shuffle.
+    As Spark tables they are bucketed by case, so joins, windows and traces by case need no
+    shuffle afterwards. A bucket is written and read by one task, so a log with a case above
+    ``case_limit`` is range partitioned on its full order instead. ``buckets`` defaults to
+    the shuffle partition setting.
     """
-    for df, table, order in (
-        (relational_cases(cases), cases_table, ("case_id",)),
-        (relational_form(events), events_table, ("case_id", "event_timestamp", "event_index")),
-    ):
-        if jdbc:
+    typed_events, typed_cases = relational_form(events), relational_cases(cases)
+    if jdbc:
+        for df, table in ((typed_cases, cases_table), (typed_events, events_table)):
             df.write.format("jdbc").options(**jdbc).option("dbtable", table).option(
                 "truncate", True
             ).mode("overwrite").save()
-        else:
-            buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            df.write.mode("overwrite").bucketBy(buckets, "case_id").sortBy(*order).saveAsTable(
-                table
-            )
+        return
+    count = buckets or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    _save_by_case(typed_cases, cases_table, ("case_id",), count)
+    order = ("case_id", "event_timestamp", "event_index")
+    if ProcessLog(events, case_limit=case_limit).has_long_cases:
+        typed_events.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
+            "overwrite"
+        ).saveAsTable(events_table)
+    else:
+        _save_by_case(typed_events, events_table, order, count)
