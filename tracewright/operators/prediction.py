@@ -367,6 +367,20 @@ def subgroup_metrics(scored: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     return threshold_metrics(rows, keys).join(rank_metrics(rows, keys), keys)
 
 
+def metric_changes(
+    current: DataFrame, approved: DataFrame, keys: Sequence[str] = ("dimension", "member"),
+    metrics: Sequence[str] = ("roc_auc", "average_precision", "recall", "brier_score"),
+) -> DataFrame:
+    """Current metrics, approved ones and their difference per group."""
+    names = [m for m in metrics if m in current.columns]
+    before = approved.select(*keys, *[F.col(m).alias(f"approved_{m}") for m in names])
+    joined = current.select(*keys, *names).join(before, list(keys), "full_outer")
+    return joined.select(
+        *keys, *names, *[f"approved_{m}" for m in names],
+        *[(F.col(m) - F.col(f"approved_{m}")).alias(f"{m}_change") for m in names],
+    )
+
+
 def risk_distribution(scored: DataFrame) -> DataFrame:
     """Cases per band in fixed order, empty bands included."""
     counts = scored.agg(

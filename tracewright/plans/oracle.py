@@ -868,6 +868,16 @@ SELECT {iso("ts")} AS ts, events_loaded, cases_loaded, {r("a", "sla_adherence")}
   CASE WHEN a < 0.7 THEN 'red' WHEN a < 0.85 THEN 'orange' ELSE 'green' END AS adherence_band
 FROM l""",
     }
+    changes = ", ".join(
+        part for m in ("roc_auc", "average_precision") for part in (
+            r(f"c.{m}", m), r(f"p.{m}", f"approved_{m}"), r(f"c.{m} - p.{m}", f"{m}_change"))
+    )
+    recent = SCORED.replace("SELECT *, risk_score >=",
+                            "SELECT *, created_at >= TIMESTAMP '2026-01-01' AS recent, risk_score >=")
+    out["baseline_changes"] = f"""WITH {p2p}, {P2P_FEATURES}, {recent},
+{rank_sql("vendor_tier, recent")}
+SELECT vendor_tier, {changes} FROM (SELECT * FROM rk WHERE recent) c
+JOIN (SELECT * FROM rk WHERE NOT recent) p USING (vendor_tier)"""
     out["sql_directly_follows"] = out["dfg_view"]
     out["sql_case_performance"] = out["sla_consumption"]
     out["sql_sla_by_country"] = f"""WITH {wcs} SELECT country, vendor_tier, count(*) AS cases,

@@ -45,6 +45,7 @@ CLICK_STAGES = scenarios.StageMap(
 REPLICATIONS = 24
 SCENARIO_GROUPS = REPLICATIONS * len(scenarios.CATALOG)
 DRIFT_CUT = "2024-01-16"
+RECENT_FROM = "2026-01-01"
 CLICK_SLICERS = measures.SLICERS
 
 
@@ -574,6 +575,20 @@ def baseline_metrics_total(spark, sf):
     return prediction.rank_metrics(scored)
 
 
+@query
+def baseline_changes(spark, sf):
+    """Ranking quality of the rule on recent cases against the earlier ones, by vendor tier."""
+    scored = durable(_baseline_scores(spark, sf).select(
+        "risk_score", "sla_breached", "vendor_tier", "created_at"
+    ))
+    recent = F.col("created_at") >= F.lit(RECENT_FROM).cast("timestamp")
+    keys = ["vendor_tier"]
+    return prediction.metric_changes(
+        prediction.rank_metrics(scored.where(recent), keys),
+        prediction.rank_metrics(scored.where(~recent), keys), keys,
+    )
+
+
 @query
 def baseline_bands(spark, sf):
     scored = _baseline_scores(spark, sf).withColumn(
