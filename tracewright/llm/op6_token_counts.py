@@ -78,7 +78,7 @@ def token_counts(
         Window.unboundedPreceding, -1)
     blocks = blocks.select(
         "file", "block", "ends", "stop",
-        (F.coalesce(F.max(F.element_at("ends", -1)).over(earlier), F.lit(-1)) + 1).alias("open"),
+        (F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(earlier), F.lit(-1)) + 1).alias("open"),
         F.coalesce(F.sum(F.size("ends")).over(earlier), F.lit(0)).alias("before"),
         (F.row_number().over(Window.partitionBy("file").orderBy(F.desc("block"))) == 1)
         .alias("last"))
@@ -87,7 +87,7 @@ def token_counts(
         F.get("ends", F.col("i") - 1) + 1)).select(
         "file", (F.col("before") + F.col("i")).alias("document"), "start",
         (F.col("end") - F.col("start")).alias("n_tokens"), F.lit(True).alias("ended"))
-    start = F.coalesce(F.element_at("ends", -1) + 1, F.col("open"))
+    start = F.coalesce(F.try_element_at("ends", F.lit(-1)) + 1, F.col("open"))
     rest = blocks.where("last").select(
         "file", (F.col("before") + F.size("ends")).alias("document"), start.alias("start"),
         (F.col("stop") - start).alias("n_tokens"), F.lit(False).alias("ended")).where("n_tokens > 0")
