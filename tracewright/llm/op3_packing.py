@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewright.llm import blocks as B
 from tracewright.session import durable
@@ -281,8 +282,8 @@ def pack(cut: DataFrame, capacity: int = 4096, rounds: int = 24, group_rows: int
                 [*(batch[c] for c in own), pa.array(sequence), pa.array(offset)],
                 names=[*own, "sequence_id", "offset"])
 
-    schema = rows.schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(place, schema)
+    more = [T.StructField(name, T.LongType()) for name in ("sequence_id", "offset")]
+    return ranked.mapInArrow(place, T.StructType([*rows.schema.fields, *more]))
 
 
 def pack_documents(

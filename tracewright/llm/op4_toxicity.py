@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewright.llm import blocks as B
 from tracewright.llm.words import Words, blobs, find_words, prefix_hashes
@@ -227,6 +228,5 @@ def score(
                 part = part.append_column("flagged", pa.array(values >= cuts, pa.bool_()))
                 yield from part.combine_chunks().to_batches()
 
-    schema = rows.schema
-    return rows.mapInArrow(
-        scored, schema.add("score", "double").add("flagged", "boolean"))
+    more = [T.StructField("score", T.DoubleType()), T.StructField("flagged", T.BooleanType())]
+    return rows.mapInArrow(scored, T.StructType([*rows.schema.fields, *more]))
