@@ -196,14 +196,19 @@ def fit(
     label: str = "toxic", lang: str = "lang", max_rows: int = 5_000, max_bytes: int = 16_384,
     **options,
 ) -> ToxicityModel:
-    """Learns from ``max_rows`` labelled texts of up to ``max_bytes`` bytes, chosen by a hash
-    of the id. This bounded sample, 80 MB at most, is all the driver sees."""
-    known = labels.where(F.col(label).isNotNull()).groupBy(id_column).agg(
-        F.max(label).cast("double").alias("_label"))
+    """Learns from at most ``max_rows`` labelled texts of up to ``max_bytes`` bytes.
+
+    The ids are chosen by their hash from ``labels`` alone, so nothing but this bounded sample,
+    80 MB at most, is broadcast or seen by the driver, and no text is shuffled to find it.
+    """
+    chosen = (
+        labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
+        .groupBy(id_column).agg(F.max(label).cast("double").alias("_label"))
+        .orderBy(F.xxhash64(id_column), id_column).limit(max_rows))
     rows = (
-        documents.select(id_column, text, lang).join(known, id_column)
+        documents.select(id_column, text, lang).join(F.broadcast(chosen), id_column)
         .where(F.octet_length(F.coalesce(F.col(text), F.lit(""))) <= max_bytes)
-        .orderBy(F.xxhash64(id_column), F.col(text), F.col(lang)).limit(max_rows).toArrow())
+        .limit(max_rows).orderBy(F.xxhash64(id_column, text), lang).toArrow())
     return train(blobs(rows[text]), rows["_label"].to_numpy(), rows[lang].to_pylist(), **options)
 
 

@@ -57,7 +57,8 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = remainder(3) == 1
-    model = op4_toxicity.fit(documents.where(~held), table(spark, sf_dir, "labels"))
+    model = op4_toxicity.fit(
+        documents.where(~held), table(spark, sf_dir, "labels").where(~held))
     return op4_toxicity.score(documents.withColumn("held_out", held), model).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
         "flagged")
