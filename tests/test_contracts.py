@@ -139,3 +139,14 @@ def test_golden_check(spark):
         "metric string, expected double, tolerance double")
     assert {r["metric"]: r["passed"] for r in rows(contracts.golden_check(actual, expected))} == {
         "a": True, "b": False, "c": False}
+
+
+def test_typed_nan_is_not_a_number(spark):
+    from pyspark.sql import functions as F
+
+    from tracewright.operators.contracts import _number
+
+    df = spark.createDataFrame([(float("nan"), "NaN"), (1.5, "1.5")], "typed double, text string")
+    rows = df.select(_number(df, "typed", "double").alias("a"),
+                     _number(df, "text", "double").alias("b")).where(F.col("a").isNull()).collect()
+    assert [(r.a, r.b) for r in rows] == [(None, None)]

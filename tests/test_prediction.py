@@ -158,3 +158,11 @@ def test_subgroups(model):
     by_priority = [r for r in table if r["dimension"] == "priority"]
     assert sum(r["cases"] for r in by_priority) == 240
     assert {"created_month", "priority"} == {r["dimension"] for r in table}
+
+
+def test_review_queue_keeps_every_case(spark):
+    scored = spark.range(150).selectExpr(
+        "cast(id as string) AS case_id", "'B' AS business_unit", "'V' AS vendor_id",
+        "cast(id as double) AS amount_usd", "0.9 AS risk_score", "'High' AS risk_band")
+    assert prediction.review_queue(scored).count() == 150
+    assert prediction.review_queue(scored, limit=100).count() == 100

@@ -212,3 +212,12 @@ def test_sql_views(spark, process):
     for name in views.REPORTS:
         assert spark.sql(f"SELECT * FROM {name}").count() > 0
     assert spark.table("vw_activity_performance").count() == 22
+
+
+def test_csv_files_with_another_header_order_are_an_error(spark, tmp_path):
+    from tracewright.sources.files import _raw_csv
+
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        _raw_csv(spark, str(tmp_path)).collect()

@@ -45,10 +45,10 @@ def _timestamp(df: DataFrame, name: str) -> Column:
 def _number(df: DataFrame, name: str, kind: str) -> Column:
     if isinstance(df.schema[name].dataType, T.StringType):
         number = F.col(name).try_cast("double")
-        # Text such as "NaN" parses as a double but is not a number.
-        number = F.when(~F.isnan(number), number)
     else:
         number = F.col(name).cast("double")
+    # NaN is a double but not a number, as text and as a value.
+    number = F.when(~F.isnan(number), number)
     if kind == "double":
         return number
     return F.when(number == F.floor(number), number.try_cast(kind))

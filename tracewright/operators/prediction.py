@@ -398,11 +398,11 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def review_queue(scored: DataFrame, limit: int = 100) -> DataFrame:
-    """High and critical cases by score, then amount."""
-    return scored.where(F.col("risk_band").isin("High", "Critical")).orderBy(
+def review_queue(scored: DataFrame, limit: int | None = None) -> DataFrame:
+    """High and critical cases by score, then amount; all of them unless a limit is given."""
+    queue = scored.where(F.col("risk_band").isin("High", "Critical")).orderBy(
         F.desc("risk_score"), F.desc("amount_usd"), "case_id"
-    ).select("case_id", "business_unit", "vendor_id", "amount_usd", "risk_score", "risk_band"
-             ).limit(limit)
+    ).select("case_id", "business_unit", "vendor_id", "amount_usd", "risk_score", "risk_band")
+    return queue if limit is None else queue.limit(limit)
 
 

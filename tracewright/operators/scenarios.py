@@ -157,8 +157,11 @@ PURCHASE_TO_PAY = StageMap(
 )
 
 
-def wait_factors(scenario: Scenario, stages: StageMap) -> dict[str, float]:
-    """Multiplier of the wait into each activity: service time over seats, lead time, rework."""
+def wait_factors(
+    scenario: Scenario, stages: StageMap, base: Scenario = CATALOG[0]
+) -> dict[str, float]:
+    """Multiplier of the wait into each activity: service time over seats, lead time, and
+    rework against that of ``base``, the first of the catalog."""
     factors: dict[str, float] = {}
     for name, seats, _ in BASE_STAGES:
         if name in stages.stage_activity:
@@ -166,7 +169,7 @@ def wait_factors(scenario: Scenario, stages: StageMap) -> dict[str, float]:
             factors[stages.stage_activity[name]] = ratio
     for activity in stages.lead_time_activities:
         factors[activity] = factors.get(activity, 1.0) * scenario.lead_time_factor
-    baseline = CATALOG[0].rework_probability
+    baseline = base.rework_probability
     for activity in stages.rework_activities:
         factors[activity] = factors.get(activity, 1.0) * scenario.rework_probability / baseline
     return {a: f for a, f in factors.items() if not math.isclose(f, 1.0)}
@@ -220,7 +223,7 @@ def what_if(
     sums = []
     for i, scenario in enumerate(catalog):
         for name, factors in (
-            ("wait", wait_factors(scenario, stages)), ("manual", manual_factors(scenario, stages))
+            ("wait", wait_factors(scenario, stages, catalog[0])), ("manual", manual_factors(scenario, stages))
         ):
             scaled = _scaled(F.col(f"{name}_us"), F.col("activity"), factors)
             sums.append(wide_sum(scaled).cast("bigint").alias(f"{name}_{i}"))

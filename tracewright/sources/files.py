@@ -13,8 +13,10 @@ from tracewright.model import IDEAL_PROCESS_SCHEMA, RESOURCE_SCHEMA
 
 def _raw_csv(spark: SparkSession, path: str) -> DataFrame:
     # Names come from the header, so a file may carry its columns in any order and have
-    # more of them. The values stay text for the contract rules.
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    # more of them. The values stay text for the contract rules. Files of one folder must agree
+    # on the header: a file with another one is an error, not read by position.
+    return spark.read.option("header", True).option("inferSchema", False).option(
+        "enforceSchema", False).csv(path)
 
 
 def scan_events_csv(spark: SparkSession, path: str) -> DataFrame:
