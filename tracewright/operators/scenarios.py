@@ -223,7 +223,8 @@ def what_if(
     sums = []
     for i, scenario in enumerate(catalog):
         for name, factors in (
-            ("wait", wait_factors(scenario, stages, catalog[0])), ("manual", manual_factors(scenario, stages))
+            ("wait", wait_factors(scenario, stages, catalog[0])),
+            ("manual", manual_factors(scenario, stages)),
         ):
             scaled = _scaled(F.col(f"{name}_us"), F.col("activity"), factors)
             sums.append(wide_sum(scaled).cast("bigint").alias(f"{name}_{i}"))
