@@ -27,23 +27,31 @@ def utc(day: int, hour: int) -> dt.datetime:
     return dt.datetime(2026, 1, day, hour, tzinfo=dt.UTC)
 
 
+STAFF = {  # activity: resource, role, minutes of work, done by a machine
+    "Intake": ("CLERK-2", "Clerk", 4.0, False), "Inspect": ("LAB-5", "Technician", 30.0, False),
+    "Pack": ("LINE-1", "Packer", 12.0, False), "Ship": ("ROBOT-3", "Machine", 2.0, True),
+}
+
+
 @pytest.fixture(scope="session")
 def small_events(spark):
-    """Two cases: C-1 follows Start, Review, Close; C-2 reviews twice."""
-    traces = {
-        "C-1": [("Start", utc(1, 0)), ("Review", utc(1, 2)), ("Close", utc(1, 3))],
-        "C-2": [("Start", utc(2, 0)), ("Review", utc(2, 1)), ("Review", utc(2, 4)),
-                ("Close", utc(2, 6))],
-    }
-    who = {"Start": ("R-1", "Requester", 10.0), "Review": ("R-2", "Analyst", 20.0),
-           "Close": ("BOT", "Bot", 1.0)}
-    rows = [
-        (case, i, activity, at, who[activity][0], who[activity][1], "BU", "Ops", "Türkiye",
-         "V-1", "A", "MRO", 1000.0, "Standard", "Portal", activity == "Close",
-         who[activity][2], "ERP")
-        for case, steps in traces.items() for i, (activity, at) in enumerate(steps, start=1)
+    """Three repairs: K-7 takes every step once, K-8 is sent on at once, K-9 is inspected three
+    times and never packed."""
+    visits = [
+        ("K-7", 3, "Intake", 8), ("K-7", 3, "Inspect", 9), ("K-7", 3, "Pack", 13),
+        ("K-7", 3, "Ship", 14), ("K-8", 4, "Intake", 10), ("K-8", 4, "Ship", 20),
+        ("K-9", 5, "Intake", 6), ("K-9", 5, "Inspect", 8), ("K-9", 5, "Inspect", 9),
+        ("K-9", 5, "Inspect", 11), ("K-9", 5, "Ship", 16),
     ]
-    return spark.createDataFrame(rows, EVENT_SCHEMA).cache()
+    seen: dict[str, int] = {}
+    table = []
+    for case, day, activity, hour in visits:
+        seen[case] = seen.get(case, 0) + 1
+        resource, role, minutes, machine = STAFF[activity]
+        table.append((case, seen[case], activity, utc(day, hour), resource, role, "Repairs",
+                      "Bench", "Chile", "S-204", "B", "Tools", 75.5, "Urgent", "Counter", machine,
+                      minutes, "WMS"))
+    return spark.createDataFrame(table, EVENT_SCHEMA).cache()
 
 
 @pytest.fixture

@@ -8,34 +8,41 @@ from tracewright.operators import discovery, performance
 
 def test_sequences_and_variants(small_log):
     traces = {r["case_id"]: r["steps"] for r in rows(discovery.case_sequences(small_log))}
-    assert traces["C-1"] == ["Start", "Review", "Close"]
+    assert traces["K-7"] == ["Intake", "Inspect", "Pack", "Ship"]
+    assert traces["K-8"] == ["Intake", "Ship"]
     table = sorted(rows(discovery.variants(small_log)), key=lambda r: r["variant_rank"])
-    assert [r["variant_rank"] for r in table] == [1, 2]
-    assert sum(r["case_count"] for r in table) == 2
-    assert table[0]["variant"] == "Start > Review > Close"
-    assert [r["cumulative_share"] for r in table] == [0.5, 1.0]
+    assert [r["variant_rank"] for r in table] == [1, 2, 3]
+    assert {r["variant"]: r["case_count"] for r in table} == {
+        "Intake > Inspect > Pack > Ship": 1, "Intake > Ship": 1,
+        "Intake > Inspect > Inspect > Inspect > Ship": 1}
+    assert [r["cumulative_share"] for r in table] == pytest.approx([1 / 3, 2 / 3, 1])
 
 
 def test_edges(small_log):
     edges = {(r["source"], r["target"]): r for r in rows(discovery.directly_follows(small_log))}
-    closing = edges["Review", "Close"]
-    assert closing["transition_count"] == 2
-    assert closing["mean_wait_hours"] == pytest.approx(1.5)
-    assert closing["median_wait_hours"] == pytest.approx(1.5)
-    assert closing["p90_wait_hours"] == pytest.approx(1.9)
-    assert edges["Review", "Review"]["case_coverage"] == 0.5
+    first = edges["Intake", "Inspect"]  # waits of one and two hours
+    assert first["transition_count"] == 2
+    assert first["mean_wait_hours"] == pytest.approx(1.5)
+    assert first["median_wait_hours"] == pytest.approx(1.5)
+    assert first["p90_wait_hours"] == pytest.approx(1.9)
+    again = edges["Inspect", "Inspect"]
+    assert again["transition_count"] == 2
+    assert again["mean_wait_hours"] == pytest.approx(1.5)
+    assert edges["Intake", "Ship"]["p90_wait_hours"] == pytest.approx(10)
+    assert edges["Pack", "Ship"]["case_coverage"] == pytest.approx(1 / 3)
 
 
 def test_activity_summary(small_log):
     table = {r["activity"]: r for r in rows(discovery.activity_summary(small_log))}
-    assert table["Review"]["event_count"] == 3
-    assert table["Close"]["automation_rate"] == 1
-    assert table["Start"]["case_coverage"] == 1
-    assert table["Review"]["median_processing_minutes"] == 20
+    assert {a: r["event_count"] for a, r in table.items()} == {
+        "Intake": 3, "Inspect": 4, "Pack": 1, "Ship": 3}
+    assert [table[a]["automation_rate"] for a in ("Ship", "Pack")] == [1, 0]
+    assert table["Inspect"]["case_coverage"] == pytest.approx(2 / 3)
+    assert table["Inspect"]["median_processing_minutes"] == 30
 
 
 def test_waits_and_bottlenecks(small_log):
-    assert discovery.transition_waits(small_log).count() == 5
+    assert discovery.transition_waits(small_log).count() == 8
     table = rows(performance.bottlenecks(small_log))
     assert max(r["bottleneck_score"] for r in table) <= 1
     assert all(0 <= r["case_coverage"] <= 1 for r in table)
@@ -51,18 +58,17 @@ def test_zero_waits_give_no_score(spark, small_events):
 
 def test_case_performance(small_events):
     table = {r["case_id"]: r for r in rows(performance.case_performance(small_events))}
-    assert table["C-1"]["cycle_time_hours"] == 3
-    assert table["C-2"]["rework_event_count"] == 1
-    assert table["C-1"]["automation_rate"] == pytest.approx(1 / 3)
-    assert table["C-1"]["estimated_wait_hours"] == pytest.approx(3 - 31 / 60)
+    assert {c: r["cycle_time_hours"] for c, r in table.items()} == {"K-7": 6, "K-8": 10, "K-9": 10}
+    assert {c: r["rework_event_count"] for c, r in table.items()} == {"K-7": 0, "K-8": 0, "K-9": 2}
+    assert table["K-8"]["automation_rate"] == pytest.approx(1 / 2)
+    assert table["K-7"]["estimated_wait_hours"] == pytest.approx(6 - 48 / 60)
 
 
 def test_rework(small_events):
     assert rows(performance.rework_summary(small_events)) == [
-        {"activity": "Review", "affected_cases": 1, "repeat_events": 1, "mean_occurrences": 2.0}
+        {"activity": "Inspect", "affected_cases": 1, "repeat_events": 2, "mean_occurrences": 3.0}
     ]
-    once = small_events.dropDuplicates(["case_id", "activity"])
-    assert performance.rework_summary(once).count() == 0
+    assert performance.rework_summary(small_events.where("case_id != 'K-9'")).count() == 0
 
 
 def test_workload(small_events):
@@ -70,7 +76,7 @@ def test_workload(small_events):
 
     table = sorted(rows(performance.resource_workload(small_events)),
                    key=lambda r: -r["processing_hours"])
-    assert table[0]["resource_id"] == "R-2"
+    assert table[0]["resource_id"] == "LAB-5"
     assert sum(r["workload_share"] for r in table) == pytest.approx(1)
     idle = small_events.withColumn("processing_minutes", F.lit(0.0))
     assert {r["workload_share"] for r in rows(performance.resource_workload(idle))} == {0.0}
@@ -81,19 +87,19 @@ def test_workload(small_events):
 def test_start_end_sample_and_footprint(spark, small_log):
     ends = {(r["position"], r["activity"]): r["case_count"]
             for r in rows(discovery.start_end_activities(small_log))}
-    assert ends == {("start", "Start"): 2, ("end", "Close"): 2}
-    assert rows(discovery.sample_edge_count(small_log, 1)) == [{"sample_cases": 1, "dfg_edges": 2}]
+    assert ends == {("start", "Intake"): 3, ("end", "Ship"): 3}
+    assert rows(discovery.sample_edge_count(small_log, 1)) == [{"sample_cases": 1, "dfg_edges": 3}]
     edges = discovery.edge_counts(small_log)
     relations = {(r["source"], r["target"]): r["relation"] for r in rows(discovery.footprint(edges))}
-    assert relations["Start", "Review"] == "->"
-    assert relations["Review", "Start"] == "<-"
-    assert relations["Review", "Review"] == "||"
-    model = discovery.path_edges(spark, ("Start", "Review", "Approve"))
+    assert relations["Inspect", "Pack"] == "->"
+    assert relations["Pack", "Inspect"] == "<-"
+    assert relations["Inspect", "Inspect"] == "||"
+    model = discovery.path_edges(spark, ("Intake", "Inspect", "Bill"))
     status = {(r["source"], r["target"]): r["status"]
               for r in rows(discovery.model_edge_check(edges, model))}
-    assert status["Review", "Approve"] == "model_only"
-    assert status["Start", "Review"] == "both"
-    assert status["Review", "Close"] == "log_only"
+    assert status["Inspect", "Bill"] == "model_only"
+    assert status["Intake", "Inspect"] == "both"
+    assert status["Intake", "Ship"] == "log_only"
 
 
 def test_log_format(small_events):

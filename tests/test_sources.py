@@ -112,11 +112,12 @@ def test_sinks(spark, small_log, tmp_path):
     sinks.write_tables(tables, str(tmp_path / "csv"))
     back = spark.read.option("header", True).csv(str(tmp_path / "csv" / "traces"))
     assert {r["steps"] for r in rows(back)} == {
-        "Start | Review | Close", "Start | Review | Review | Close"}
+        "Intake | Inspect | Pack | Ship", "Intake | Ship",
+        "Intake | Inspect | Inspect | Inspect | Ship"}
     sinks.write_tables(tables, str(tmp_path / "parquet"), "parquet")
-    assert spark.read.parquet(str(tmp_path / "parquet" / "activities")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "parquet" / "activities")).count() == 4
     first = sinks.records(small_log.events.orderBy("case_id", "event_index"), 1).first()["record"]
-    assert json.loads(first)["timestamp"] == "2026-01-01T00:00:00.000Z"
+    assert json.loads(first)["timestamp"] == "2026-01-03T08:00:00.000Z"
 
 
 def test_relational_load_is_bucketed(spark, process):
