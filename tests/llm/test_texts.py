@@ -132,7 +132,7 @@ def made_copies(seed):
 def test_classes_of_made_copies(spark, seed):
     rows = made_copies(seed)
     result = op5_jaccard.similar_classes(
-        spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=2000)
+        spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=2000, chunk=2)
     assert Counter(tuple(r) for r in result.collect()) == brute_classes(rows)
 
 
@@ -142,7 +142,7 @@ def test_classes(documents):
 
 
 def test_light_sets_meet_by_subsets():
-    assert 5 <= op5_jaccard.boundary({}, 2.0) <= 16
+    assert 5 <= op5_jaccard.boundary(2.0) <= 16
 
 
 def test_language_model(documents):
