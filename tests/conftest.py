@@ -12,8 +12,6 @@ from tracewright.log import ProcessLog
 from tracewright.model import EVENT_SCHEMA
 from tracewright.session import build_session
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -57,7 +55,3 @@ def small_events(spark):
 @pytest.fixture
 def small_log(small_events):
     return ProcessLog(small_events)
-
-
-def rows(df):
-    return [r.asDict(recursive=True) for r in df.collect()]

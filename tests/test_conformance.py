@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tracewright.log import ProcessLog
 from tracewright.model import IDEAL_PROCESS
 from tracewright.operators import conformance, discovery, performance

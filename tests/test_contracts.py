@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tracewright.model import CASE_COLUMNS, EVENT_COLUMNS, raw_schema
 from tracewright.operators import contracts
 from tracewright.operators.contracts import ContractError

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from tracewright.operators import discovery, performance
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tracewright.functions.prefix import global_prefix
 from tracewright.functions.quantiles import CELL_US, exact_quantiles
 

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from test_conformance import brute_distance
 from tracewright.log import ProcessLog
 from tracewright.operators import conformance, contracts, discovery, performance, prediction

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tracewright.model import RUN_SCHEMA
 from tracewright.operators import monitoring
 from tracewright.streaming import runs as streaming

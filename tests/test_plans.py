@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from conftest import SF
+from helpers import SF
 from tracewright.plans.queries import registry
 
 ML = {"sla_metrics", "risk_scores", "risk_bands", "drivers", "review_queue", "subgroup_errors",

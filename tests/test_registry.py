@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as spec
 import check
-from conftest import SF
+from helpers import SF
 from tracewright.plans.oracle import oracle_queries
 from tracewright.plans.queries import registry
 

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tracewright.log import ProcessLog
 from tracewright.operators import measures, scenarios
 from tracewright.sources import synthetic

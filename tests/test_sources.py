@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tracewright.log import ProcessLog
 from tracewright.model import CASE_COLUMNS, EVENT_COLUMNS, IDEAL_PROCESS
 from tracewright.operators import contracts, discovery, measures, performance
