@@ -146,6 +146,25 @@ def test_neighbours(spark):
     assert op8_neighbours.nearest(vectors.limit(0)).collect() == []
 
 
+def test_neighbours_found_when_few_rows_are_candidates(spark):
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(400, 24))[rng.integers(400, size=8000)] + rng.normal(size=(8000, 24)))
+    vectors = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    # 256 codes in each of 3 tables, of which 2 are probed at first: about one row in 43.
+    got = defaultdict(set)
+    for r in op8_neighbours.nearest(vectors, tables=3, probes=2, bucket_rows=16).collect():
+        got[r.query_id].add(r.vec_id)
+    own = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = total = 0
+    for i in range(0, 8000, 50):
+        near = own @ own[i]
+        near[i] = -2
+        best = np.argsort(-near)[:5].tolist()
+        found, total = found + len(got[i] & set(best)), total + 5
+    assert found >= 0.9 * total
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
         "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from math import prod
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,11 @@ class Hashing:
             want //= 2 * axes[-1]
         return Hashing(tables, probes, tuple(axes or [1]))
 
+    @property
+    def codes_each(self) -> int:
+        """Codes of one table."""
+        return prod(2 * axes for axes in self.axes)
+
     def rotated(self, x: np.ndarray, table: int, part: int) -> np.ndarray:
         whole = max(1 << max(0, x.shape[1] - 1).bit_length(), self.axes[part])
         y = np.zeros((len(x), whole), dtype=np.float32)
@@ -61,6 +67,10 @@ class Hashing:
         The loss of an axis is its squared shortfall against the nearest one. A code's parts add
         up; combinations are kept part by part, best first.
         """
+        most = max(1, 2_000_000 // (probes * min(probes, 2 * max(self.axes))))
+        if len(x) > most:
+            return np.concatenate([self.codes(x[at:at + most], table, probes)
+                                   for at in range(0, len(x), most)])
         code = np.zeros((len(x), 1), dtype=np.int64)
         loss = np.zeros((len(x), 1), dtype=np.float32)
         for part, axes in enumerate(self.axes):
@@ -99,9 +109,87 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
         F.col(embedding).cast("array<double>").alias("embedding"))
 
 
+def _raised(base: DataFrame, asked: DataFrame, plans: dict[int, Hashing], k: int, target: float,
+            sample: int) -> dict[int, Hashing]:
+    """``plans`` with the probes doubled until the recall measured here reaches ``target``.
+
+    Of each vector length, up to ``sample`` query classes, chosen by their hash, are compared with
+    all classes in Spark; a task keeps the ``k`` nearest it saw of each. The share of these that a
+    plan makes candidates is its recall, since candidates are compared exactly. Plans that probe
+    all their codes need no measuring.
+    """
+    sizes = [size for size, plan in plans.items() if plan.probes < plan.codes_each]
+    if not sizes:
+        return plans
+    by_hash = Window.partitionBy(F.size("embedding")).orderBy(F.xxhash64("class_id"), "class_id")
+    taken = (
+        base.where(F.size("embedding").isin(sizes))
+        .join(asked.select("class_id").distinct(), "class_id", "left_semi")
+        .withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= sample).collect())
+    queries = {}
+    for size in sizes:
+        own = [r for r in taken if len(r.embedding) == size]
+        if own:
+            queries[size] = (np.array([r.class_id for r in own]),
+                             unit(np.array([r.embedding for r in own])))
+    shared = base.sparkSession.sparkContext.broadcast(queries)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {}
+        for batch in batches:
+            lengths = batch["embedding"].value_lengths().to_numpy()
+            for size, (ids, q) in shared.value.items():
+                own = batch.filter(pa.array(lengths == size))
+                if not len(own):
+                    continue
+                x = unit(_matrix(own["embedding"], size))
+                near = q @ x.T
+                near[ids[:, None] == own["class_id"].to_numpy()[None, :]] = -2  # the query itself
+                top = np.argsort(-near, axis=1, kind="stable")[:, :k]
+                near, vectors = np.take_along_axis(near, top, axis=1), x[top]
+                if size in best:
+                    near = np.concatenate([best[size][0], near], axis=1)
+                    vectors = np.concatenate([best[size][1], vectors], axis=1)
+                    top = np.argsort(-near, axis=1, kind="stable")[:, :k]
+                    near = np.take_along_axis(near, top, axis=1)
+                    vectors = np.take_along_axis(vectors, top[:, :, None], axis=1)
+                best[size] = near, vectors
+        for size, (near, vectors) in best.items():
+            rows = pa.table({
+                "size": pa.array(np.full(near.size, size), pa.int32()),
+                "query": pa.array(np.repeat(np.arange(len(near)), near.shape[1]), pa.int32()),
+                "score": pa.array(near.ravel().astype(np.float64)),
+                "embedding": pa.array(list(vectors.reshape(-1, size)), pa.list_(pa.float32()))})
+            yield from rows.filter(pa.array(near.ravel() > -2)).combine_chunks().to_batches()
+
+    order = Window.partitionBy("size", "query").orderBy(F.desc("score"))
+    truth = (
+        base.mapInArrow(run, "size int, query int, score double, embedding array<float>")
+        .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).collect())
+    out = dict(plans)
+    for size, (_, q) in queries.items():
+        own = [r for r in truth if r.size == size]
+        if not own:
+            continue
+        number = np.array([r.query for r in own])
+        near = np.array([r.embedding for r in own], dtype=np.float32)
+        plan = plans[size]
+        coded = [plan.codes(near, table) for table in range(plan.tables)]
+        while plan.probes < plan.codes_each:
+            hit = np.zeros(len(own), dtype=bool)
+            for table in range(plan.tables):
+                hit |= (plan.codes(q, table, plan.probes)[number] == coded[table]).any(axis=1)
+            if hit.mean() >= target:
+                break
+            plan = replace(plan, probes=min(2 * plan.probes, plan.codes_each))
+        out[size] = plan
+    return out
+
+
 def nearest(
     vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 50,
     k: int = 5, tables: int = 16, probes: int = 12, bucket_rows: int = 100, task_rows: int = 2_000,
+    target: float = 0.95, sample: int = 200,
 ) -> DataFrame:
     """For each row whose id ``every`` divides, its ``k`` nearest other rows by cosine.
 
@@ -111,7 +199,9 @@ def nearest(
     to several tasks and its queries go to each. Candidates are compared by the original vectors
     in double precision. Vectors of different length are never compared; null, zero, or
     non-finite vectors and null ids take no part; rows with the query's id aren't its candidates.
-    Below ``2 * bucket_rows`` rows every row is a candidate.
+    Below ``2 * bucket_rows`` rows every row is a candidate. Buckets are planned for each vector
+    length by its own rows, and ``probes`` is what is tried first: it is doubled until ``target`` of
+    the true neighbours of ``sample`` queries are candidates, at any number of rows.
     """
     valid = usable(vectors, vec_id, embedding)
     place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
@@ -123,33 +213,39 @@ def nearest(
         valid.where(F.col("vec_id") % every == 0).distinct()
         .withColumnRenamed("vec_id", "query_id")
         .join(classes.select("class_id", "embedding"), "embedding").select("query_id", "class_id"))
-    rows = classes.count()
+    base = classes.select("class_id", "embedding")
+    plans = {r.size: Hashing.for_size(r["count"], r.size, tables, probes, bucket_rows) for r in
+             base.groupBy(F.size("embedding").alias("size")).count().collect()}
+    plans = _raised(base, asked, plans, k, target, sample)
 
-    def codes(probe: int):
+    def codes(probing: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 sizes = batch["embedding"].value_lengths().to_numpy()
                 for size in np.unique(sizes).tolist():
                     own = batch.filter(pa.array(sizes == size))
                     x = unit(_matrix(own["embedding"], size))
-                    hashing = Hashing.for_size(rows, size, tables, probe, bucket_rows)
-                    for table in range(tables):
-                        code = hashing.codes(x, table, probe)
-                        pick = np.repeat(np.arange(len(x)), code.shape[1])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(pick), size), pa.int32()),
-                             pa.array(np.full(len(pick), table), pa.int32()),
-                             pa.array(code.ravel(), pa.int64()),
-                             own["class_id"].take(pa.array(pick)),
-                             own["embedding"].take(pa.array(pick))],
-                            names=["size", "tab", "code", "class_id", "embedding"])
+                    hashing = plans[size]
+                    for table in range(hashing.tables):
+                        code = hashing.codes(x, table, hashing.probes if probing else 1)
+                        each = code.shape[1]
+                        step = max(1, 50_000 // each)
+                        for at in range(0, len(x), step):
+                            some = code[at:at + step]
+                            pick = np.repeat(np.arange(at, at + len(some)), each)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(pick), size), pa.int32()),
+                                 pa.array(np.full(len(pick), table), pa.int32()),
+                                 pa.array(some.ravel(), pa.int64()),
+                                 own["class_id"].take(pa.array(pick)),
+                                 own["embedding"].take(pa.array(pick))],
+                                names=["size", "tab", "code", "class_id", "embedding"])
         return run
 
     schema = "size int, tab int, code long, class_id long, embedding array<double>"
-    base = classes.select("class_id", "embedding")
-    index = base.mapInArrow(codes(1), schema)
+    index = base.mapInArrow(codes(False), schema)
     probing = base.join(asked.select("class_id").distinct(), "class_id", "left_semi").mapInArrow(
-        codes(probes), schema)
+        codes(True), schema)
     key = ["size", "tab", "code"]
     large = (index.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > task_rows)
              .select(*key, F.ceil(F.col("_n") / task_rows).cast("int").alias("_deals")))
