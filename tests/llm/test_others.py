@@ -203,6 +203,19 @@ def test_personal_data(spark, corpus):
     assert op9_pii.find_pii(rows.limit(0)).collect() == []
 
 
+def test_whole_parts_of_an_address_are_checked(spark):
+    texts = ["10001.2.3.4", "v 1.0.20240115.3", "70100.1.1.1", "1.2.3.10000", "0.0.0.0 1.2.3.256",
+             "000.00255.0.000000 x 00256.0.0.0", "9" * 400 + "0012.1.1.1", "4294967297.1.1.1"]
+    got = op9_pii.digest(op9_pii.find_pii(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"))).collect()
+    for r in got:
+        spans = base_spans(texts[r.doc_id])
+        listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+        assert r.n_ip == sum(k == "ip" for _, _, k, _ in spans)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+    assert sum(r.n_ip for r in got) == 2
+
+
 def test_redaction_replaces_every_base_span(corpus):
     after = {(r.doc_id, r.text) for r in op9_pii.redact(corpus).collect()}
     assert (11, "ÄÖ é don't <|endoftext|> 日本 mail [EMAIL] or [PHONE].") in after
