@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over ``documents``, each written and read by the next.
 
-Toxic documents go; of each class of near copies the one with the least id stays; documents that
+Toxic documents go; of each class of near copies one row stays, that with the least id; documents that
 hold a benchmark passage go; personal data is redacted; what is left is packed.
 """
 
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import (
@@ -19,7 +19,7 @@ from tracewright.llm import (
     op9_pii,
     queries,
 )
-from tracewright.session import shared_folder
+from tracewright.session import durable, shared_folder
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,31 +28,38 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op4_toxicity.score(docs, model).where(~F.col("flagged")).select(*docs.columns)
 
 
+def _without(docs: DataFrame, rows: DataFrame, how: str = "left_anti") -> DataFrame:
+    """The documents whose id and text are not (``left_semi``: are) those of ``rows``."""
+    named = rows.select(F.col("doc_id").alias("_id"), F.col("txt").alias("_txt"))
+    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (
+        F.xxhash64("text") == F.col("_txt")), how)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class: that with the least id, of equal ids the first text.
+    """Keeps one row of each class: that with the least id (null last), then text hash.
 
-    Documents without words link with nothing and all stay.
+    Rows are told apart by id and text, so null and repeated ids are ids like others; of rows
+    that share both, the least stays. Documents without words link with nothing and all stay.
     """
-    classes = op5_jaccard.similar_classes(docs).where("n_shingles > 0").select(
-        "doc_id", "component_id").distinct()
-    gone = classes.where("doc_id != component_id or doc_id is null and component_id is not null")
-    joined = docs.join(
-        gone.select(F.col("doc_id").alias("_gone"), F.lit(True).alias("_copy")),
-        F.col("doc_id").eqNullSafe(F.col("_gone")), "left")
-    kept = joined.where("_copy is null").select(*docs.columns)
-    # Rows that share an id and have words are one class.
-    words = F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    order = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    return kept.withColumn("_n", F.when(words & F.col("doc_id").isNotNull(), F.row_number().over(
-        order.partitionBy("doc_id", words))).otherwise(1)).where("_n = 1").select(*docs.columns)
+    rows = durable(op5_jaccard.classified(docs).where("root is not null").groupBy(
+        "root", "doc_id", "txt").agg(F.count("*").alias("n")))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "txt")
+    stays = rows.groupBy("root").agg(F.min(first).alias("first"))
+    rows = durable(rows.join(stays, "root").select(
+        "doc_id", "txt", "n", (first == F.col("first")).alias("stays")))
+    repeated = rows.where("stays and n > 1")
+    once = _without(_without(docs, rows.where("not stays")), repeated)
+    others = [c for c in docs.columns if c != "doc_id"]
+    several = _without(docs, repeated, "left_semi").groupBy(
+        "doc_id", F.xxhash64("text").alias("_txt")).agg(F.min(F.struct(*others)).alias("_row"))
+    return once.unionByName(several.select("doc_id", "_row.*").select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a benchmark window occurs."""
-    bad = op2_decontamination.contaminated(
-        docs, queries.table(spark, sf_dir, "benchmark")).where("contaminated").select(
-        F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """Drops the rows in which a benchmark window occurs, told apart by id and text."""
+    bad = op2_decontamination.contaminated_rows(
+        docs, queries.table(spark, sf_dir, "benchmark")).where("contaminated")
+    return _without(docs, bad.select("doc_id", "txt").distinct())
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -279,3 +279,28 @@ def test_pipeline_takes_empty_and_odd_rows(spark, corpus):
     for documents in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, documents, SF).collect()
+
+
+def test_pipeline_tells_rows_apart_by_id_and_text(spark):
+    base = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"}
+    near = base["a"] + " more"
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.desc(F.length("text"))).first().text
+    rows = [(3, base["a"]), (7, near), (7, base["b"]), (8, base["b"] + " more"),  # two texts of 7
+            (None, base["c"]), (5, base["c"] + " more"), (None, base["d"]), (None, ""), (None, ""),
+            (None, None), (None, base["e"]), (None, base["e"] + " more"), (9, base["f"]),
+            (9, base["f"]), (9, base["g"]), (None, passage), (9, passage + " end")]
+    documents = spark.createDataFrame([(i, t, "en", None, len(t or "")) for i, t in rows],
+                                      "doc_id long, text string, lang string, source string, n_chars long")
+    kept = Counter((r.doc_id, r.text) for r in
+                   corpus_pipeline.near_copies(spark, documents, SF).collect())
+    one = [x for x in kept if x[0] is None and (x[1] or "").startswith("e0 ")]
+    assert len(one) == 1 and kept.pop(one[0]) == 1
+    copied = [x for x in kept if passage in (x[1] or "")]
+    assert len(copied) in (1, 2)
+    for x in copied:
+        assert kept.pop(x) == 1
+    assert kept == Counter([(3, base["a"]), (7, base["b"]), (5, base["c"] + " more"), (None, base["d"]),
+                            (None, ""), (None, ""), (None, None), (9, base["f"]), (9, base["g"])])
+    clean = Counter((r.doc_id, r.text) for r in
+                    corpus_pipeline.decontaminate(spark, documents, SF).collect())
+    assert clean == Counter(rows[:-2])

@@ -82,12 +82,18 @@ def _checked(side: DataFrame, most: int) -> DataFrame:
     return F.broadcast(side) if side.limit(most + 1).count() <= most else side
 
 
-def contaminated(
+def contaminated(documents: DataFrame, benchmark: DataFrame, *columns, **options) -> DataFrame:
+    """``contaminated_rows`` without the hash of the text."""
+    return contaminated_rows(documents, benchmark, *columns, **options).drop("txt")
+
+
+def contaminated_rows(
     documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text", window: int = 10, gram: int = 5,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items, contaminated``.
+    """One row per document: ``doc_id, txt, n_words, n_hit, n_items, items, contaminated``;
+    ``txt`` is the 64-bit hash of its text.
 
     A window is ``window`` consecutive words of an item, or all of a shorter one that has words.
     ``n_hit`` counts document words inside any occurrence of a window, ``items`` lists the ids,
@@ -136,7 +142,7 @@ def contaminated(
         F.coalesce("body", F.lit("")), F.lit(ANY_WORD)).cast("long").alias("n_words"))
     return all_rows.join(
         found, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("txt") == F.col("_t")), "left").select(
-        F.col("doc").alias(doc_id), "n_words",
+        F.col("doc").alias(doc_id), "txt", "n_words",
         F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
