@@ -141,6 +141,18 @@ def test_classes(documents):
     assert Counter(tuple(r) for r in result.collect()) == brute_classes(pairs(documents))
 
 
+def test_a_stranger_among_copies_costs_the_length_of_the_list(spark):
+    schema = ("list long, rep struct<id:long,hi:long,lo:long>, size int, place int, "
+              "root struct<id:long,hi:long,lo:long>")
+    rows = [(1, (i, i, i), 20, 0, (0, 0, 0) if i < 600 else (i, i, i)) for i in range(603)]
+    members = spark.createDataFrame(rows, schema)
+    sets = members.select("rep", F.lit(bytes(256)).alias("sketch"))
+    dealt, copied = op5_jaccard._dealt(members, 10)
+    assert dealt.count() == round(copied) <= 2 * 603  # all against all in chunks: 603 * 61
+    got = {(r.a.id, r.b.id) for r in op5_jaccard._across(members, sets, 10, 100).collect()}
+    assert got == {(a, b) for a in range(600, 603) for b in range(a)}
+
+
 def test_light_sets_meet_by_subsets():
     assert 5 <= op5_jaccard.boundary(2.0) <= 16
 
