@@ -18,6 +18,7 @@ from tracewright.llm import (
     op8_neighbours,
     op9_pii,
     op10_chat,
+    op13_token_store,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -102,11 +103,17 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_chat.read_back(windows)
 
 
+def op13_token_store_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = op13_token_store.write_store(table(spark, sf_dir, "documents"), tokenizer_path())
+    return store.measured(store.locate(store.keys(spark))).select(
+        "doc_id", "start", "n_tokens", "ids_crc32", "copy")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_substring_dedup, op2_decontaminate, op3_best_fit_packing, op4_toxic,
         op5_ngram_jaccard, op6_token_counts, op7_suffix_tree, op8_nearest, op9_personal_data,
-        op10_chat_format)}
+        op10_chat_format, op13_token_store_ids)}
 
 
 def oracle_queries() -> dict[str, str]:
