@@ -13,61 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewright.llm import blocks as B
+from tracewright.llm.tokens import encoder
+from tracewright.llm.words import blobs
 from tracewright.session import durable
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
-_tokenizers: dict[str, tuple] = {}
 
 
 # ---- tokens -------------------------------------------------------------------------------
 
 
-def _encode(path: str, words: list[str], known: dict[str, bytes]) -> None:
-    """Adds the ids of words without blanks; one call for many, cut at a special token."""
-    tokenizer, mark, mark_id = _tokenizers[path][0], "<|startoftext|>", None
-    mark_id = tokenizer.token_to_id(mark)
-    plain = [w for w in words if "<|" not in w] if mark_id is not None else []
-    for at in range(0, len(plain), 4000):
-        part = plain[at:at + 4000]
-        ids = np.array(tokenizer.encode_batch_fast([mark.join(part)], add_special_tokens=False)[0].ids,
-                       dtype="<u4")
-        cuts = np.flatnonzero(ids == mark_id)
-        raw = ids.tobytes()
-        starts = [0, *((cuts + 1) * 4).tolist()]
-        ends = [*(cuts * 4).tolist(), len(raw)]
-        known.update((w, raw[a:b]) for w, a, b in zip(part, starts, ends, strict=True))
-    for word in words:
-        if word not in known:
-            known[word] = np.array(tokenizer.encode(word, add_special_tokens=False).ids,
-                                   dtype="<u4").tobytes()
-
-
-def token_bytes(text: str, path: str, most: int = 400_000, block: int = 1 << 20) -> bytes:
-    """A text's ids as little-endian 32-bit values.
-
-    The tokenizer drops white space and no token spans it, so words are encoded once and kept,
-    up to ``most`` of them in each worker process.
-    """
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
-
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    known = _tokenizers[path][1]
-    out, at = [], 0
-    while at < len(text):
-        to = text.find(" ", at + block)
-        to = len(text) if to < 0 else to
-        words = text[at:to].replace("\n", " ").split(" ")
-        if new := {w for w in words if w not in known}:
-            if len(known) + len(new) > most:
-                known.clear()
-                new = set(words)
-            _encode(path, list(new), known)
-        out.append(b"".join(map(known.__getitem__, words)))
-        at = to
-    return b"".join(out)
-
-
 def pieces(
     documents: DataFrame, tokenizer: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
     capacity: int = 4096, end_id: int = 1,
@@ -80,16 +35,18 @@ def pieces(
         for batch in batches:
             for part in B.slices(pa.Table.from_batches([batch]), text, 4 << 20):
                 rows, out = [], []
-                for row, value in enumerate(part[text].to_pylist()):
-                    raw = token_bytes(value or "", tokenizer) + end
+                ids, counts = encoder(tokenizer).encode(blobs(part[text]))
+                every, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+                for row, (low, high) in enumerate(zip([0, *stops], stops, strict=False)):
+                    raw = every[low:high] + end
                     for number, at in enumerate(range(0, len(raw), 4 * capacity)):
                         own = raw[at:at + 4 * capacity]
                         rows.append(row)
                         out.append((number, at // 4, len(own) // 4, zlib.crc32(own)))
-                ids = part.select(list(keep)).take(pa.array(rows, pa.int64()))
+                kept = part.select(list(keep)).take(pa.array(rows, pa.int64()))
                 columns = list(zip(*out, strict=True)) if out else [[]] * 4
                 yield from pa.table({
-                    **{f"c{i}": ids[name] for i, name in enumerate(keep)},
+                    **{f"c{i}": kept[name] for i, name in enumerate(keep)},
                     "piece": pa.array(columns[0], pa.int32()),
                     **{name: pa.array(columns[i], pa.int64()) for i, name in
                        enumerate(("start", "length", "ids_crc32"), start=1)},

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm import blocks as B
-from tracewright.llm.op3_packing import token_bytes
+from tracewright.llm.tokens import encoder
+from tracewright.llm.words import blobs
 from tracewright.session import shared_folder
 
 
@@ -30,12 +31,12 @@ def write_token_files(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in B.slices(pa.Table.from_batches([batch]), text, 4 << 20):
-                ids = [np.frombuffer(token_bytes(x or "", tokenizer), dtype="<u4")
-                       for x in part[text].to_pylist()]
-                if any(len(x) and int(x.max()) + 1 >> (8 * width) for x in ids):
+                ids, counts = encoder(tokenizer).encode(blobs(part[text]))
+                if len(ids) and int(ids.max()) + 1 >> (8 * width):
                     raise ValueError(f"ids must fit {width} bytes")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([(x + 1).astype(kind).tobytes() for x in ids], pa.binary())], names=["ids"])
+                raw, ends = (ids + 1).astype(kind).tobytes(), (np.cumsum(counts) * width).tolist()
+                own = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], names=["ids"])
 
     folder = f"{shared_folder(documents.sparkSession).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     documents.select(text).mapInArrow(run, "ids binary").select(
