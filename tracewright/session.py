@@ -25,6 +25,7 @@ def build_session(app: str = "tracewright", master: str | None = None, cores: in
     )
 
 
+_DURABLE = "tracewright-"
 _local_folder: dict[str, str] = {}
 
 
@@ -42,20 +43,30 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder[application]
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back from there.
 
     Used where a value that is only stable within one execution (a partition id) must stay
     the same for every later reader, also after executors are lost, and where several
     results start from one intermediate. A columnar table, so each reader scans only the
-    columns it needs. The folder is the cluster's to clean up.
+    columns it needs. What ``release`` does not delete is the cluster's to clean up.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tracewright-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_folder(spark).rstrip('/')}/{_DURABLE}{uuid.uuid4().hex}"
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``durable`` wrote, once all that was made from them is written itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+            if folder.rpartition("/")[2].startswith(_DURABLE):
+                path = context._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 BROADCAST_ROWS = 200_000
 
 
