@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm.tokens import encoder
 from tracewright.llm.words import blobs, mix
-from tracewright.session import durable, shared_folder
+from tracewright.session import durable, release, shared_folder
 
 _ODD = 0x9E3779B97F4A7C15
 PLACES = ("part", "chunk", "offset", "start", "n_tokens")
@@ -333,7 +333,7 @@ def write_store(
     spark = documents.sparkSession
     folder = f"{shared_folder(spark).rstrip('/')}/store-{uuid.uuid4().hex}"
     key_type = documents.schema[key].dataType.simpleString()
-    ids = durable(_encoded(documents, tokenizer, key, text, width))
+    ids = durable(_encoded(documents, tokenizer, key, text, width), "zstd")
     rows, total = ids.agg(F.count("*"), F.sum(F.octet_length("ids").cast("long") + width)).first()
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(total or 0) // range_bytes))
     order: list[Column] = [F.col("_key").asc_nulls_first(), F.col("_hash"), F.col("_row")]
@@ -341,7 +341,8 @@ def write_store(
         ids.withColumns({"_hash": F.xxhash64("ids"), "_row": F.monotonically_increasing_id()})
         .repartitionByRange(ranges, *order).sortWithinPartitions(*order)
         .select(F.spark_partition_id().alias("part"), "_key", "ids"))
-    chunks = durable(_chunked(ordered, key_type, width, end_id, shard_bytes))
+    chunks = durable(_chunked(ordered, key_type, width, end_id, shard_bytes), "zstd")
+    release(ids)
     end = "".join(map(chr, np.array([end_id], dtype=f"<u{width}").tobytes()))
     # The text writer puts bytes down as they are; what ends a line there is the last end id here.
     (chunks.select("part", "chunk", F.col("payload").cast("string"))
@@ -354,5 +355,6 @@ def write_store(
     built.groupBy("bucket").applyInArrow(
         _indexed, "bucket int, " + ", ".join(f"{x} binary" for x in binary)
     ).write.parquet(f"{folder}/index")
+    release(chunks)
     return store
 
