@@ -20,7 +20,7 @@ HEADLINE = (
     "dq_violations", "dq_ts_regression", "dq_count_reconcile", "dq_secret_scan",
     "whatif_observed", "scenario_outcomes", "measures_by_slicer", "measures_cube",
     "runs_by_window", "alert_failures", "alert_hold_adherence", "duration_p95",
-    "synthetic_activities", "variants_orders", "dfg_orders", "temporal_split",
+    "order_activities", "variants_orders", "dfg_orders", "temporal_split",
     "baseline_metrics", "sla_metrics",
 )
 

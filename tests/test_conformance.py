@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,27 +10,20 @@ from helpers import rows
 from tracewright.log import ProcessLog
 from tracewright.model import IDEAL_PROCESS
 from tracewright.operators import conformance, discovery, performance
-from tracewright.sources import synthetic
 
-# Published case counts of the fourteen traces, by variant label.
-GOLDEN_CASES = {
-    "happy_path": 5078, "fast_track": 1325, "approval_rework": 1108,
-    "invoice_discrepancy": 987, "happy_path+late_delivery": 768,
-    "three_way_match_failure": 738, "duplicate_invoice": 650, "payment_rework": 563,
-    "fast_track+late_delivery": 211, "invoice_discrepancy+late_delivery": 172,
-    "approval_rework+late_delivery": 151, "duplicate_invoice+late_delivery": 94,
-    "three_way_match_failure+late_delivery": 84, "payment_rework+late_delivery": 71,
-}
+# The published table of the fourteen traces with their case counts.
+GOLDEN = Path(__file__).with_name("golden_variants.tsv")
 
 
 @pytest.fixture(scope="module")
 def golden_log(spark):
     """The published traces, each repeated for its cases, one hour between steps."""
-    traces = [(label, list(synthetic.templates()[label]), n) for label, n in GOLDEN_CASES.items()]
-    table = spark.createDataFrame(traces, "label string, steps array<string>, n int")
-    cases = table.select("label", "steps", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    lines = [x.split("\t") for x in GOLDEN.read_text().splitlines()[1:]]
+    traces = [(i, variant.split(" > "), int(n)) for i, (n, variant) in enumerate(lines)]
+    table = spark.createDataFrame(traces, "trace int, steps array<string>, n int")
+    cases = table.select("trace", "steps", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
     events = cases.select(
-        F.concat_ws("-", "label", F.col("i").cast("string")).alias("case_id"),
+        F.concat_ws("-", F.col("trace").cast("string"), F.col("i").cast("string")).alias("case_id"),
         F.posexplode("steps").alias("event_index", "activity"),
     ).withColumn("timestamp", F.timestamp_seconds(F.col("event_index") * 3600))
     return ProcessLog(events.cache())
@@ -38,7 +32,8 @@ def golden_log(spark):
 def test_golden_corpus(golden_log):
     assert (golden_log.facts.events, golden_log.facts.cases) == (166_551, 12_000)
     top = sorted(rows(discovery.variants(golden_log)), key=lambda r: r["variant_rank"])
-    assert [r["case_count"] for r in top] == sorted(GOLDEN_CASES.values(), reverse=True)
+    wanted = [x.split("\t") for x in GOLDEN.read_text().splitlines()[1:]]
+    assert [(str(r["case_count"]), r["variant"]) for r in top] == [tuple(x) for x in wanted]
     arrays = conformance.conformance_arrays(golden_log, IDEAL_PROCESS)
     mean, straight = arrays.agg(
         F.avg("fitness"), F.avg(F.col("conformant").cast("int"))

@@ -7,7 +7,7 @@ from tracewright.operators import discovery, performance
 
 
 def test_sequences_and_variants(small_log):
-    traces = {r["case_id"]: r["steps"] for r in rows(discovery.case_sequences(small_log))}
+    traces = {r["case_id"]: r["steps"] for r in rows(discovery.trace_arrays(small_log))}
     assert traces["K-7"] == ["Intake", "Inspect", "Pack", "Ship"]
     assert traces["K-8"] == ["Intake", "Ship"]
     table = sorted(rows(discovery.variants(small_log)), key=lambda r: r["variant_rank"])

@@ -70,15 +70,26 @@ def test_numbered(plain, segmented):
     assert as_set(segmented.numbered(*columns)) == as_set(plain.numbered(*columns))
 
 
-def test_variants(plain, segmented):
-    short = as_set(discovery.variant_counts(plain).where("activity_count <= 100"))
-    mixed = discovery.variant_counts(segmented)
-    assert as_set(mixed.where("activity_count <= 100")) == short
-    long = sorted(r["activity_count"] for r in rows(mixed.where("activity_count > 100")))
-    assert long == [300, 900]
-    steps = discovery.long_traces(segmented).where("case_id = 'hot'").orderBy("position")
-    whole = discovery.case_sequences(plain).where("case_id = 'hot'").first()["steps"]
-    assert [r.activity for r in steps.collect()] == whole
+@pytest.mark.parametrize("label_steps", [5, 400, 1_000])
+def test_variants(plain, segmented, skewed, monkeypatch, label_steps):
+    """The same rows under any case limit, with labels that spell out all steps or only some."""
+    monkeypatch.setattr(discovery, "LABEL_STEPS", label_steps)
+    wide = ProcessLog(skewed, case_limit=3, segment_rows=150)
+    for build in (discovery.case_sequences, discovery.case_variants, discovery.variants,
+                  discovery.variant_steps):
+        whole = as_set(build(plain))
+        assert as_set(build(segmented)) == whole
+        assert as_set(build(wide)) == whole
+    traces = {r.case_id: r.steps for r in discovery.trace_arrays(plain).collect()}
+    labels = {r.case_id: r.variant for r in discovery.case_variants(segmented).collect()}
+    for case, steps in traces.items():
+        assert labels[case].startswith(" > ".join(steps[:label_steps]))
+        assert (f"... [{len(steps)} steps, " in labels[case]) == (len(steps) > label_steps)
+    found = {}
+    for r in discovery.variant_steps(segmented).collect():
+        found.setdefault(r.variant, {})[r.position] = r.activity
+    for case, steps in traces.items():
+        assert [found[labels[case]][i + 1] for i in range(len(steps))] == steps
 
 
 def test_equal_long_traces_are_one_variant(spark, skewed):
@@ -97,7 +108,7 @@ def test_conformance(plain, segmented, monkeypatch):
     monkeypatch.setattr(conformance, "FOLD_PIECES", 4)
     expected = conformance.conformance_arrays(plain, IDEAL)
     assert as_set(conformance.conformance_arrays(segmented, IDEAL)) == as_set(expected)
-    trace = discovery.case_sequences(plain).where("case_id = 'warm'").first()["steps"]
+    trace = discovery.trace_arrays(plain).where("case_id = 'warm'").first()["steps"]
     found = expected.where("case_id = 'warm'").first()["edit_distance"]
     assert found == brute_distance(trace, list(IDEAL))
 

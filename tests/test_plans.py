@@ -48,10 +48,3 @@ def test_transitions_shuffle_once(spark):
 def test_conformance_shuffles_once(spark):
     plan = plan_of(registry()["conformance_cases"](spark, SF))
     assert plan.count("Exchange hashpartitioning") == 1
-
-
-def test_synthetic_log_needs_no_shuffle(spark):
-    from tracewright.sources import synthetic
-
-    events = synthetic.synthetic_events(synthetic.synthetic_cases(spark.range(100), "id"))
-    assert "Exchange" not in plan_of(events)

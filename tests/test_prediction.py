@@ -5,23 +5,26 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import SF, rows
 from tracewright.log import ProcessLog
 from tracewright.operators import prediction
 from tracewright.session import durable
-from tracewright.sources import synthetic
+from tracewright.sources import adapters
 
 
 @pytest.fixture(scope="module")
 def process(spark):
-    attributes = synthetic.synthetic_cases(spark.range(0, 1200, 1, 4), "id")
-    events = durable(synthetic.synthetic_events(attributes))
-    return ProcessLog(events), durable(synthetic.case_master(events, attributes))
+    events = durable(adapters.order_process_events(spark, SF))
+    cases = durable(adapters.order_process_cases(spark, SF))
+    return ProcessLog(events, adapters.ORDER_SORT), cases
+
+
+ROLES = (adapters.ORDER_DECISION, adapters.ORDER_APPROVAL, adapters.ORDER_REWORK)
 
 
 @pytest.fixture(scope="module")
 def features(process):
-    return durable(prediction.sla_features(*process))
+    return durable(prediction.sla_features(*process, *ROLES))
 
 
 @pytest.fixture(scope="module")
@@ -32,33 +35,36 @@ def model(features):
 def test_features(process, features):
     wanted = set(prediction.NUMERIC_FEATURES + prediction.CATEGORICAL_FEATURES)
     assert wanted <= set(features.columns)
-    assert features.count() == process[1].count() == 1200
-    assert features.where("early_event_count < 1 or elapsed_to_po_hours < 0").isEmpty()
-    # Three to five steps lead to the purchase order.
-    spread = features.agg(F.min("early_event_count"), F.max("early_event_count")).first()
-    assert tuple(spread) == (3, 6)
+    assert features.count() == process[1].count() > 1000
+    assert features.where("early_event_count < 1").isEmpty()
+    # The decision event is the first shipped line, so what was accepted or returned came before it.
+    decided = features.where("po_created_at is not null")
+    assert decided.where(
+        "early_event_count < 1 + approval_count + early_rework_count").isEmpty()
 
 
 def test_cases_without_a_decision(process):
     log, cases = process
-    undecided = ProcessLog(log.events.where("activity <> 'Purchase Order Created'"))
-    kept = prediction.sla_features(undecided, cases)
+    undecided = ProcessLog(log.events.where(F.col("activity") != adapters.ORDER_DECISION), log.order)
+    kept = prediction.sla_features(undecided, cases, *ROLES)
     assert kept.where("elapsed_to_po_hours <> cycle_time_hours").isEmpty()
-    assert prediction.sla_features(undecided, cases, drop_uncut=True).isEmpty()
+    assert prediction.sla_features(undecided, cases, *ROLES, drop_uncut=True).isEmpty()
 
 
-def test_model(model):
+def test_model(features, model):
     metrics = rows(model.metrics)[0]
     assert metrics["validation"] == "temporal_holdout"
-    assert (metrics["train_cases"], metrics["holdout_cases"]) == (960, 240)
-    assert 0.7 <= metrics["roc_auc"] <= 1
-    assert sum(metrics["confusion_matrix"].values()) == 240
+    total = features.count()
+    held = total - int(total * 0.8)
+    assert (metrics["train_cases"], metrics["holdout_cases"]) == (total - held, held)
+    assert 0.6 <= metrics["roc_auc"] <= 1
+    assert sum(metrics["confusion_matrix"].values()) == held
     assert {r["risk_band"] for r in rows(model.scored)} <= {"Low", "Medium", "High", "Critical"}
     bands = rows(prediction.risk_distribution(model.scored))
     assert [r["risk_band"] for r in bands] == ["Low", "Medium", "High", "Critical"]
-    assert sum(r["case_count"] for r in bands) == 240
+    assert sum(r["case_count"] for r in bands) == held
     sizes = [r["absolute_importance"] for r in rows(model.drivers)]
-    assert len(sizes) == 32
+    assert len(sizes) > 20
     assert sizes == sorted(sizes, reverse=True)
     queue = rows(prediction.review_queue(model.scored))
     assert all(r["risk_score"] > 0.6 for r in queue)
@@ -156,7 +162,7 @@ def test_risk_band_edges(spark):
 def test_subgroups(model):
     table = rows(prediction.subgroup_metrics(model.scored, ["priority"]))
     by_priority = [r for r in table if r["dimension"] == "priority"]
-    assert sum(r["cases"] for r in by_priority) == 240
+    assert sum(r["cases"] for r in by_priority) == model.scored.count()
     assert {"created_month", "priority"} == {r["dimension"] for r in table}
 
 

@@ -5,10 +5,11 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import SF, rows
 from tracewright.log import ProcessLog
 from tracewright.operators import measures, scenarios
-from tracewright.sources import synthetic
+from tracewright.plans.queries import ORDER_STAGES
+from tracewright.sources import adapters
 
 # Published scenario outcomes (cycle, adherence, manual hours) and results
 # (cycle reduction, uplift in points, manual hours saved, yearly value, first-year return).
@@ -80,10 +81,9 @@ def test_catalog(spark):
 
 
 def test_what_if(spark):
-    attributes = synthetic.synthetic_cases(spark.range(0, 300, 1, 2), "id")
-    log = ProcessLog(synthetic.synthetic_events(attributes).cache())
-    outcomes = scenarios.what_if(log, scenarios.PURCHASE_TO_PAY, 4)
-    assert outcomes.count() == 1200
+    log = ProcessLog(adapters.order_process_events(spark, SF), adapters.ORDER_SORT)
+    outcomes = scenarios.what_if(log, ORDER_STAGES, 4)
+    assert outcomes.count() == 4 * log.facts.cases
     means = scenarios.mean_outcomes(scenarios.replication_outcomes(outcomes, 16))
     table = {r["scenario"]: r for r in rows(scenarios.compare(means, scenarios.catalog_table(spark)))}
     base, combined = table["Baseline"], table["Combined Optimization"]

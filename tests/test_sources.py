@@ -5,13 +5,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import SF, rows
 from tracewright.log import ProcessLog
-from tracewright.model import CASE_COLUMNS, EVENT_COLUMNS, IDEAL_PROCESS
+from tracewright.model import CASE_COLUMNS, EVENT_COLUMNS
 from tracewright.operators import contracts, discovery, measures, performance
 from tracewright.plans import pipeline, run, views
 from tracewright.session import durable
-from tracewright.sources import files, sinks, synthetic
+from tracewright.sources import adapters, files, sinks
 
 BPMN = """<?xml version="1.0" encoding="UTF-8"?>
 <bpmn:definitions xmlns:bpmn="http://www.omg.org/spec/BPMN/20100524/MODEL">
@@ -35,50 +35,45 @@ BPMN = """<?xml version="1.0" encoding="UTF-8"?>
 
 @pytest.fixture(scope="module")
 def process(spark):
-    attributes = synthetic.synthetic_cases(spark.range(0, 1000, 1, 4), "id")
-    events = durable(synthetic.synthetic_events(attributes))
-    return events, durable(synthetic.case_master(events, attributes))
+    """A log that keeps its contract: the clicks of a user's week."""
+    events = durable(adapters.clickstream_events(spark, SF, "week"))
+    return events, durable(adapters.clickstream_cases(spark, SF, "week"))
 
 
-def test_templates():
-    traces = synthetic.templates()
-    assert len(traces) == 16
-    assert len(set(traces.values())) == 14
-    assert traces["happy_path"] == IDEAL_PROCESS
-
-
-def test_synthetic_log_keeps_the_contract(process):
+def test_click_log_keeps_the_contract(process):
     events, cases = process
     assert tuple(events.columns) == EVENT_COLUMNS
     assert tuple(cases.columns) == CASE_COLUMNS
     contracts.load(events, cases)
-    assert contracts.timestamp_regressions(events).isEmpty()
     assert sum(rows(contracts.domain_violations(cases))[0].values()) == 0
-    assert cases.where(F.col("sla_breached") != (F.col("cycle_time_hours") >
-                                                 F.col("sla_target_hours"))).isEmpty()
 
 
-def test_synthetic_log_does_not_depend_on_partitions(spark, process):
-    again = synthetic.synthetic_events(
-        synthetic.synthetic_cases(spark.range(0, 1000, 1, 9), "id"))
-    assert process[0].exceptAll(again).isEmpty()
-    assert again.exceptAll(process[0]).isEmpty()
+def test_order_process(spark):
+    """Every order with its own lines; what the case master declares is what the log holds."""
+    events = adapters.order_process_events(spark, SF)
+    cases = durable(adapters.order_process_cases(spark, SF))
+    assert tuple(cases.columns) == CASE_COLUMNS
+    assert cases.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    contracts.reconcile(events, cases)
+    found = performance.case_performance(events).join(cases, "case_id")
+    assert found.where("rework_event_count <> rework_count").isEmpty()
+    assert 0.2 < cases.agg(F.avg(F.col("sla_breached").cast("int"))).first()[0] < 0.8
 
 
-def test_resources(spark):
-    table = synthetic.resource_dimension(spark)
-    assert table.count() == 71
-    by_id = {r["resource_id"]: r for r in rows(table)}
-    assert by_id["A-01"]["hourly_cost_usd"] == 46
-    assert by_id["AB-02"]["team"] == "Automation"
-    assert by_id["S-01"]["fte_capacity"] == 0
+def test_resources(spark, tmp_path):
+    (tmp_path / "resources.csv").write_text(
+        "resource_id,resource_role,team,fte_capacity,hourly_cost_usd\n"
+        "CL-01,Clerk,Intake,1,31\nBOT-07,Robot,Automation,0,0\n")
+    table = files.scan_resources_csv(spark, str(tmp_path / "resources.csv"))
+    assert [tuple(r) for r in table.orderBy("resource_id").collect()] == [
+        ("BOT-07", "Robot", "Automation", 0, 0), ("CL-01", "Clerk", "Intake", 1, 31)]
 
 
 def test_csv_round_trip(spark, process, tmp_path):
     events, cases = process
     for name, df in (("events", events), ("cases", cases)):
         df.select(*[
-            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(c) if t == "timestamp" else c
+            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(c) if t == "timestamp" else c
             for c, t in df.dtypes
         ]).write.option("header", True).option("compression", "gzip").csv(str(tmp_path / name))
     loaded, loaded_cases = contracts.load(
@@ -87,7 +82,7 @@ def test_csv_round_trip(spark, process, tmp_path):
     )
     same = [F.col(c).cast("string").alias(c) for c in EVENT_COLUMNS]
     assert loaded.select(*same).exceptAll(events.select(*same)).isEmpty()
-    assert loaded_cases.count() == 1000
+    assert loaded_cases.count() == cases.count()
 
 
 def test_bpmn_and_ideal(spark, tmp_path):
@@ -106,9 +101,54 @@ def test_bpmn_and_ideal(spark, tmp_path):
     assert ideal.first()["sla_targets_hours"] == {"Urgent": 120.0}
 
 
+def edges_by_search(tasks, flows):
+    """Brute force: from each task along flows until the next tasks."""
+    out = set()
+    for start in tasks:
+        todo, seen = [t for s, t in flows if s == start], set()
+        while todo:
+            node = todo.pop()
+            if node in seen:
+                continue
+            seen.add(node)
+            if node in tasks:
+                out.add((tasks[start], tasks[node]))
+            else:
+                todo += [t for s, t in flows if s == node]
+    return out
+
+
+def test_edges_through_any_gateways(spark, tmp_path):
+    """Chained, parallel and inclusive gateways, an event between tasks, and a cycle of gateways."""
+    tasks = {f"t{i}": f"Step {i}" for i in range(6)}
+    silent = {"p1": "parallelGateway", "p2": "parallelGateway", "i1": "inclusiveGateway",
+              "x1": "exclusiveGateway", "x2": "exclusiveGateway", "v1": "intermediateThrowEvent",
+              "s": "startEvent", "e": "endEvent"}
+    flows = [("s", "t0"), ("t0", "p1"), ("p1", "i1"), ("p1", "t1"), ("i1", "t2"), ("i1", "x1"),
+             ("x1", "x2"), ("x2", "x1"), ("x2", "t3"), ("t1", "p2"), ("t2", "p2"), ("t3", "v1"),
+             ("v1", "p2"), ("p2", "t4"), ("t4", "t4"), ("t4", "x2"), ("t4", "e"), ("t5", "e")]
+    body = "".join(f'<bpmn:task id="{k}" name="{v}"/>' for k, v in tasks.items())
+    body += "".join(f'<bpmn:{v} id="{k}"/>' for k, v in silent.items())
+    body += "".join(f'<bpmn:sequenceFlow id="f{i}" sourceRef="{s}" targetRef="{t}"/>'
+                    for i, (s, t) in enumerate(flows))
+    (tmp_path / "m.bpmn").write_text(
+        '<bpmn:definitions xmlns:bpmn="http://www.omg.org/spec/BPMN/20100524/MODEL">'
+        f'<bpmn:process id="p">{body}</bpmn:process></bpmn:definitions>')
+    nodes = files.scan_bpmn_nodes(spark, str(tmp_path / "m.bpmn"))
+    assert {r["node_id"]: r["node_type"] for r in rows(nodes.where("not is_task"))} == silent
+    edges = files.bpmn_task_edges(nodes, files.scan_bpmn_flows(spark, str(tmp_path / "m.bpmn")))
+    found = [(r["source"], r["target"]) for r in rows(edges)]
+    assert len(found) == len(set(found))
+    assert set(found) == edges_by_search(tasks, flows)
+    assert ("Step 0", "Step 3") in found and ("Step 4", "Step 3") in found
+    none = files.bpmn_task_edges(nodes.where("not is_task"), files.scan_bpmn_flows(
+        spark, str(tmp_path / "m.bpmn")))
+    assert none.isEmpty()
+
+
 def test_sinks(spark, small_log, tmp_path):
     tables = {"activities": discovery.activity_summary(small_log),
-              "traces": discovery.case_sequences(small_log)}
+              "traces": discovery.trace_arrays(small_log)}
     sinks.write_tables(tables, str(tmp_path / "csv"))
     back = spark.read.option("header", True).csv(str(tmp_path / "csv" / "traces"))
     assert {r["steps"] for r in rows(back)} == {
@@ -131,7 +171,7 @@ def test_relational_load_is_bucketed(spark, process):
         assert "Exchange" not in plan
         assert joined.count() == events.count()
         stored = ProcessLog(table.withColumnRenamed("event_timestamp", "timestamp"))
-        for built in (discovery.transitions(stored), discovery.case_sequences(stored)):
+        for built in (discovery.transitions(stored), discovery.trace_arrays(stored)):
             assert "Exchange" not in built._jdf.queryExecution().executedPlan().toString()
         edges = discovery.edge_counts(stored)
         plain = discovery.edge_counts(ProcessLog(events))
@@ -183,7 +223,7 @@ def test_run_from_files(spark, process, tmp_path):
     events, cases = process
     for name, df in (("e.csv", events), ("c.csv", cases)):
         df.select(*[
-            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(c) if t == "timestamp" else c
+            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(c) if t == "timestamp" else c
             for c, t in df.dtypes
         ]).write.option("header", True).csv(str(tmp_path / name))
     paths = {"report_path": str(tmp_path / "report"), "tables_dir": str(tmp_path / "tables"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ STREAM_DIGITS = 12  # hex digits per draw: 48 bits, five draws per digest
 
 
 def digest(seed: str, *parts: Column) -> Column:
-    """One digest per key; ``uniform`` and ``normal`` read up to five draws from it."""
+    """One digest per key; ``uniform`` reads up to five draws from it."""
     text = F.concat_ws("|", F.lit(seed), *[p.cast("string") for p in parts])
     return F.sha2(text, 256)
 
@@ -22,12 +20,6 @@ def uniform(hashed: Column, stream: int = 0) -> Column:
     return F.conv(chunk, 16, 10).cast("double") / F.lit(float(16**STREAM_DIGITS))
 
 
-def normal(hashed: Column, stream: int = 0) -> Column:
-    """Standard normal by Box-Muller from two neighbouring streams."""
-    u, v = uniform(hashed, stream), uniform(hashed, stream + 1)
-    return F.sqrt(F.lit(-2.0) * F.ln(1 - u)) * F.cos(F.lit(2 * math.pi) * v)
-
-
 def settled(df: DataFrame) -> DataFrame:
     """Have each row's columns computed once, however often later expressions use them.
 

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 
 from tracewright.session import broadcast_if_small, durable
 
-# A case up to this many events is handled by one task (window or trace array). Longer
-# cases take the segmented plan, which gives the same results from many tasks.
-CASE_LIMIT = 100_000
-SEGMENT_ROWS = 2_000_000
-
 
 @dataclass(frozen=True)
 class LogFacts:
@@ -25,12 +20,17 @@ class LogFacts:
 
 @dataclass
 class ProcessLog:
-    """Events in the canonical schema with the order they have inside a case."""
+    """Events in the canonical schema with the order they have inside a case.
+
+    A case of up to ``case_limit`` events is one task's work; longer ones are cut into segments
+    of about ``segment_rows``. Both only choose the plan: every operator gives the same rows under
+    any values.
+    """
 
     events: DataFrame
     order: tuple[str, ...] = ("timestamp", "event_index")
-    case_limit: int = CASE_LIMIT
-    segment_rows: int = SEGMENT_ROWS
+    case_limit: int = 100_000
+    segment_rows: int = 2_000_000
 
     @cached_property
     def facts(self) -> LogFacts:

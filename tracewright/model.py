@@ -80,6 +80,24 @@ PRIORITIES = ("Urgent", "Standard", "Strategic")
 # Fixed value: yearly case volume used for annualised figures.
 ANNUAL_CASE_VOLUME = 8_000
 
+# The constraints of the relational schema, as (table, kind, columns, condition or
+# parent table). A key is unique and without nulls; a reference names the parent's key columns.
+_CASE_CHECKS = {
+    "vendor_tier": "vendor_tier IN ('A', 'B', 'C')", "amount_usd": "amount_usd >= 0",
+    "priority": "priority IN ('Urgent', 'Standard', 'Strategic')", "event_count": "event_count > 0",
+    "rework_count": "rework_count >= 0", "cycle_time_hours": "cycle_time_hours >= 0",
+    "sla_target_hours": "sla_target_hours > 0",
+}
+SCHEMA_CONSTRAINTS = (
+    ("process_cases", "primary key", ("case_id",), None),
+    *(("process_cases", "not null", (c,), None) for c in CASE_COLUMNS),
+    *(("process_cases", "check", (c,), condition) for c, condition in _CASE_CHECKS.items()),
+    ("process_events", "primary key", ("case_id", "event_index"), None),
+    ("process_events", "foreign key", ("case_id",), "process_cases(case_id)"),
+    *(("process_events", "not null", (c,), None) for c in EVENT_COLUMNS),
+    ("process_events", "check", ("processing_minutes",), "processing_minutes >= 0"),
+)
+
 # Roles of the activities that feed the SLA features.
 DECISION_ACTIVITY = "Purchase Order Created"
 APPROVAL_ACTIVITY = "Manager Approval"

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.columns import literal_map
 from tracewright.log import ProcessLog
-from tracewright.operators.discovery import case_sequences
+from tracewright.operators.discovery import trace_arrays
 
 _OTHER = "."
 # Long cases are compared piece by piece; costs of this many pieces fold per task.
@@ -92,7 +92,7 @@ def conformance_arrays(log: ProcessLog, ideal: Sequence[str]) -> DataFrame:
     Scoring runs inside the task that gathered the trace, so the only shuffle is the one
     by case.
     """
-    scored = case_sequences(log).withColumn("edit_distance", edit_distance(F.col("steps"), ideal))
+    scored = trace_arrays(log).withColumn("edit_distance", edit_distance(F.col("steps"), ideal))
     found = deviations(F.col("steps"), ideal)
     out = scored.select(
         "case_id",
@@ -239,18 +239,101 @@ def reordered_cases(arrays: DataFrame) -> DataFrame:
     )
 
 
+# Bits of a word that hold steps: two such words add up without overflow.
+WORD_BITS = 62
+_ALL = (1 << WORD_BITS) - 1
+
+
 def token_edit_distance(left: Column, right: Column) -> Column:
-    """Edit distance between two array columns of any labels.
+    """Edit distance between two array columns of any labels and lengths, bit-parallel.
 
-    Both arrays are numbered by their joint distinct labels, so no dictionary is shipped.
+    The steps of ``right`` are the bits of words, the matches of each label a word mask, and
+    a column of the distance table two words of vertical differences, up and down. Each step of
+    ``left`` advances all words by a few operations; what one word carries over goes into the next. So
+    the work is ``len(left) * len(right) / 62`` word steps, and no label needs a code point.
     """
-    labels = F.array_distinct(F.concat(left, right))
+    size = F.size(right)
+    words = F.ceil(size / WORD_BITS).cast("int")
+    numbers = F.sequence(F.lit(0), words - 1)
+    one, zero, full = (F.lit(x).cast("bigint") for x in (1, 0, _ALL))
+
+    def bit(place):  # place counts from 0
+        return F.call_function("shiftleft", one, place % WORD_BITS)
+
+    def mask(label):
+        places = F.transform(right, lambda a, i: F.when(a == label, i))
+        own = F.filter(places, lambda i: i.isNotNull())
+        return F.transform(numbers, lambda w: F.aggregate(
+            F.filter(own, lambda i: F.floor(i / WORD_BITS) == w), zero,
+            lambda acc, i: acc.bitwiseOR(bit(i))))
+
+    masks = F.map_from_entries(F.transform(
+        F.array_distinct(right), lambda a: F.struct(a.alias("key"), mask(a).alias("value"))))
+    nothing = F.transform(numbers, lambda w: zero)
+    # The last bit of the last word is the last row of the table: there the distance changes.
+    last = bit(size - 1)
+
+    def inverse(x):
+        return full.bitwiseXOR(x)
+
+    def advance(state, found, w):
+        """One word of one column: ``carry`` is the horizontal difference that comes in from below."""
+        up, down = F.get(state["up"], w), F.get(state["down"], w)
+        carry, own = state["carry"], F.get(found, w)
+        vertical = own.bitwiseOR(down)
+        match = own.bitwiseOR(F.when(carry < 0, one).otherwise(zero))
+        spread = (match.bitwiseAND(up) + up).bitwiseAND(full).bitwiseXOR(up).bitwiseOR(match)
+        plus = down.bitwiseOR(inverse(spread.bitwiseOR(up)))
+        minus = up.bitwiseAND(spread)
+        top = F.when(w == words - 1, last).otherwise(bit(F.lit(WORD_BITS - 1)))
+
+        def out(x):
+            return F.when(x.bitwiseAND(top) != 0, 1).otherwise(0)
+
+        def moved(x, sign):
+            low = F.when(carry * sign > 0, one).otherwise(zero)
+            return F.call_function("shiftleft", x, F.lit(1)).bitwiseAND(full).bitwiseOR(low)
+
+        plus_moved, minus_moved = moved(plus, 1), moved(minus, -1)
+        return F.struct(
+            state["up"].alias("up"), state["down"].alias("down"),
+            (out(plus) - out(minus)).cast("int").alias("carry"),
+            F.concat(state["ups"], F.array(
+                minus_moved.bitwiseOR(inverse(vertical.bitwiseOR(plus_moved))))).alias("ups"),
+            F.concat(state["downs"], F.array(plus_moved.bitwiseAND(vertical))).alias("downs"),
+        )
+
+    empty = F.array().cast("array<bigint>")
 
-    def character(label):
-        code = F.hex(F.array_position(labels, label) + F.lit(0x10000))
-        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+    def column(state, label):
+        found = F.coalesce(F.try_element_at(masks, label), nothing)
+        start = F.struct(
+            state["up"].alias("up"), state["down"].alias("down"), F.lit(1).alias("carry"),
+            empty.alias("ups"), empty.alias("downs"))
+        done = F.aggregate(numbers, start, lambda acc, w: advance(acc, found, w), lambda acc: F.struct(
+            acc["ups"].alias("up"), acc["downs"].alias("down"), acc["carry"].alias("carry")))
+        return F.struct(
+            done["up"].alias("up"), done["down"].alias("down"),
+            (state["score"] + done["carry"]).alias("score"))
 
-    def encoded(steps):
-        return F.array_join(F.transform(steps, character), "")
+    start = F.struct(
+        F.transform(numbers, lambda w: full).alias("up"), nothing.alias("down"), size.alias("score"))
+    return F.when(size == 0, F.size(left)).otherwise(
+        F.aggregate(left, start, column, lambda acc: acc["score"]))
 
-    return F.levenshtein(encoded(left), encoded(right))
+
+def trace_distances(traces: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Each trace next to the one before it in its series: ``case_id, previous_case, edit_distance,
+    fitness`` (the share of the longer trace that is kept).
+
+    A pair is one row's work, so both traces have to fit one.
+    """
+    earlier = Window.partitionBy(*by).orderBy(*order)
+    pairs = traces.select(
+        "case_id", "steps", F.lag("case_id").over(earlier).alias("previous_case"),
+        F.lag("steps").over(earlier).alias("before"),
+    ).where(F.col("previous_case").isNotNull())
+    longest = F.greatest(F.size("steps"), F.size("before"), F.lit(1))
+    return pairs.withColumn("edit_distance", token_edit_distance(F.col("steps"), F.col("before"))).select(
+        "case_id", "previous_case", "edit_distance",
+        F.greatest(F.lit(0.0), 1 - F.col("edit_distance") / longest).alias("fitness"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -301,9 +302,97 @@ def domain_violations(cases: DataFrame) -> DataFrame:
     )
 
 
-def constraint_violations(df: DataFrame, not_null: Sequence[str]) -> DataFrame:
-    """NOT NULL constraint check: ``column_name, null_count`` for each declared column."""
-    return null_required(df, not_null).select("column_name", "null_count")
+@dataclass(frozen=True)
+class Constraint:
+    """A row of the constraint table. ``condition`` is the SQL of a check, or for a foreign key the
+    parent as ``table(column, ...)``; a check holds where its condition is unknown."""
+
+    table: str
+    kind: str
+    columns: tuple[str, ...]
+    condition: str | None = None
+
+    @property
+    def parent(self) -> tuple[str, list[str]]:
+        name, _, rest = self.condition.partition("(")
+        return name.strip(), [c.strip() for c in rest.rstrip(") ").split(",")]
+
+
+CONSTRAINT_SCHEMA = "table string, kind string, columns array<string>, condition string"
+
+
+def constraint_table(spark: SparkSession, constraints: Sequence[tuple]) -> DataFrame:
+    return spark.createDataFrame([(t, k, list(c), x) for t, k, c, x in constraints], CONSTRAINT_SCHEMA)
+
+
+def _own_violations(df: DataFrame, rules: list[tuple[int, Constraint]]) -> DataFrame:
+    """``rule, violations`` of keys, null rules and checks of one table, from one expansion.
+
+    A row contributes its key for each key rule, and for each broken row rule a mark; all of them
+    are counted by (rule, key) on the map side, so the shuffle holds the distinct keys and one
+    row per task for each row rule.
+    """
+    none = F.lit(None).cast("string")
+    parts = []
+    for i, rule in rules:
+        key = F.to_json(F.struct(*[F.col(c) for c in rule.columns]), {"ignoreNullFields": "false"})
+        null = _any(F.col(c).isNull() for c in rule.columns)
+        if rule.kind in ("primary key", "unique"):
+            # SQL holds keys with a null apart from each other; a primary key may not have one.
+            parts.append(F.when(~null, F.struct(F.lit(i).alias("rule"), key.alias("key"))))
+        broken = {
+            "primary key": null, "not null": null, "unique": F.lit(False),
+            "check": ~F.coalesce(F.expr(rule.condition), F.lit(True)) if rule.kind == "check" else None,
+        }[rule.kind]
+        parts.append(F.when(broken, F.struct(F.lit(i).alias("rule"), none.alias("key"))))
+    counted = df.select(F.inline(F.array_compact(F.array(*parts)))).groupBy("rule", "key").agg(
+        F.count(F.lit(1)).alias("n"))
+    beyond = F.when(F.col("key").isNull(), F.col("n")).otherwise(F.col("n") - 1)
+    return counted.groupBy("rule").agg(F.sum(beyond).alias("violations"))
+
+
+def _orphans(child: DataFrame, parent: DataFrame, rule: int, columns: Sequence[str],
+             keys: Sequence[str]) -> DataFrame:
+    """``rule, violations``: child rows whose key, if it is whole, no parent row has."""
+    names = [f"_k{i}" for i in range(len(columns))]
+    held = child.select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)])
+    held = held.dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    known = parent.select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)])
+    lost = held.join(known, names, "left_anti")
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
+        F.lit(rule).alias("rule"), "violations")
+
+
+def constraint_violations(tables: dict[str, DataFrame], constraints: DataFrame) -> DataFrame:
+    """Rows that break each constraint, zeros included: ``table, kind, columns, violations``.
+
+    ``constraints`` has one row per constraint (``Constraint``); it is a declaration, read by the
+    driver, and compiled into one aggregate per table and one anti-join per foreign key. A key
+    counts its rows beyond the first of each, and for a primary key those with a null.
+    """
+    spark = constraints.sparkSession
+    declared = [Constraint(r["table"], r["kind"], tuple(r["columns"]), r["condition"])
+                for r in constraints.collect()]
+    for rule in declared:
+        absent = missing_columns(tables[rule.table], rule.columns)
+        if absent:
+            raise ContractError(f"{rule.table} is missing constrained columns: {absent}")
+    numbered = list(enumerate(declared))
+    parts = []
+    for name in dict.fromkeys(rule.table for rule in declared):
+        own = [x for x in numbered if x[1].table == name and x[1].kind != "foreign key"]
+        if own:
+            parts.append(_own_violations(tables[name], own))
+    for i, rule in numbered:
+        if rule.kind == "foreign key":
+            parent, keys = rule.parent
+            parts.append(_orphans(tables[rule.table], tables[parent], i, rule.columns, keys))
+    rows = spark.createDataFrame(
+        [(i, c.table, c.kind, ", ".join(c.columns)) for i, c in numbered],
+        "rule int, table string, kind string, columns string")
+    found = reduce(DataFrame.unionByName, parts)
+    return rows.join(found, "rule", "left").select(
+        "table", "kind", "columns", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 def quality_summary(events: DataFrame, variant_total: DataFrame | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.columns import (
@@ -26,54 +26,94 @@ _STEP_SEPARATOR = " > "
 _TARGET_ATTRIBUTES = ("resource_role", "business_unit", "department")
 
 
+# A variant's label spells out this many steps; the number of all steps and a digest of them tell
+# longer traces apart. ``variant_steps`` has every step of every variant.
+LABEL_STEPS = 1_000
+
+
 def case_sequences(log: ProcessLog) -> DataFrame:
-    """``case_id, steps`` for cases up to the case limit; see ``long_traces`` for the rest."""
-    event = F.struct(*log.order, "activity")
-    return log.regular.groupBy("case_id").agg(
+    """Every event in its place: ``case_id, position, activity``, for cases of any length."""
+    return log.numbered("case_id", "activity")
+
+
+def trace_arrays(log: ProcessLog, whole: bool = False) -> DataFrame:
+    """``case_id, steps`` for the cases that one task can hold, or as ``whole`` for all of them."""
+    event = F.struct(*dict.fromkeys((*log.order, "activity")))
+    return (log.events if whole else log.regular).groupBy("case_id").agg(
         F.transform(F.sort_array(F.collect_list(event)), lambda e: e["activity"]).alias("steps")
     )
 
 
-def long_traces(log: ProcessLog) -> DataFrame:
-    """Whole traces of the long cases as rows: ``case_id, position, activity``."""
-    return log.segments.select("case_id", "position", "activity")
+def _step_hashes(position: Column, activity: Column) -> list[Column]:
+    """128 bits of a step at its place. XOR over the steps is the digest of the trace: it tells
+    orders apart, and partial digests combine in any order."""
+    step = (position.cast("bigint"), activity)
+    return [F.xxhash64(*step), F.xxhash64(F.lit("second"), *step)]
 
 
-def _long_variants(log: ProcessLog) -> DataFrame:
-    """Variants of the long cases, told apart by an order-sensitive 128-bit digest.
+def _keyed_traces(log: ProcessLog) -> DataFrame:
+    """``case_id, activity_count, head, d1, d2``: what tells the traces of two cases apart.
 
-    The digest folds (position, activity) pairs with XOR, so partial aggregates combine in
-    any order and no trace is gathered. The label names the two ends, the length and the
-    digest; ``long_traces`` holds every step.
+    ``head`` are the first ``LABEL_STEPS`` activities; the digest is null where they are all.
+    A case in segments is never gathered: its digest is folded on the map side, and only
+    the head is collected.
     """
-    step = (F.col("position"), F.col("activity"))
-    per_case = log.segments.groupBy("case_id").agg(
+    beyond = F.col("activity_count") > LABEL_STEPS
+
+    def folded(i):
+        hashes = F.transform("steps", lambda a, at: _step_hashes(at + 1, a)[i])
+        return F.aggregate(hashes, F.lit(0).cast("bigint"), lambda x, y: x.bitwiseXOR(y))
+
+    rows = trace_arrays(log).withColumn("activity_count", F.size("steps").cast("bigint")).select(
+        "case_id", "activity_count", F.slice("steps", 1, LABEL_STEPS).alias("head"),
+        *[F.when(beyond, folded(i)).alias(f"d{i + 1}") for i in (0, 1)],
+    )
+    if not log.has_long_cases:
+        return rows
+    step = F.struct("position", "activity")
+    first, second = _step_hashes(F.col("position"), F.col("activity"))
+    folds = log.segments.groupBy("case_id").agg(
         F.count(F.lit(1)).alias("activity_count"),
-        F.bit_xor(F.xxhash64(*step)).alias("d1"),
-        F.bit_xor(F.xxhash64(F.lit("second"), *step)).alias("d2"),
-        F.min_by("activity", "position").alias("first"),
-        F.max_by("activity", "position").alias("last"),
+        F.sort_array(F.collect_list(F.when(F.col("position") <= LABEL_STEPS, step))).alias("head"),
+        F.bit_xor(first).alias("d1"), F.bit_xor(second).alias("d2"),
     )
-    label = F.concat(
-        "first", F.lit(" > ... > "), "last", F.lit(" ["), F.col("activity_count").cast("string"),
-        F.lit(" steps, "), F.lower(F.hex("d1")), F.lower(F.hex("d2")), F.lit("]"),
+    return rows.unionByName(folds.select(
+        "case_id", "activity_count", F.transform("head", lambda e: e["activity"]).alias("head"),
+        *[F.when(beyond, F.col(d)).alias(d) for d in ("d1", "d2")],
+    ))
+
+
+def _label() -> Column:
+    head = F.array_join("head", _STEP_SEPARATOR)
+    digest = F.concat(*[F.lpad(F.lower(F.hex(d)), 16, "0") for d in ("d1", "d2")])
+    rest = F.concat(
+        F.lit(_STEP_SEPARATOR + "... ["), F.col("activity_count").cast("string"),
+        F.lit(" steps, "), digest, F.lit("]"),
     )
-    return per_case.select(label.alias("variant"), "activity_count").groupBy(
-        "variant", "activity_count"
-    ).agg(F.count(F.lit(1)).alias("case_count"))
+    return F.concat(head, F.when(F.col("d1").isNull(), "").otherwise(rest)).alias("variant")
+
+
+def case_variants(log: ProcessLog) -> DataFrame:
+    """``case_id, activity_count, variant``: the label of each case's trace."""
+    return _keyed_traces(log).select("case_id", "activity_count", _label())
+
+
+def _grouped_traces(log: ProcessLog) -> DataFrame:
+    """Distinct traces, grouped on what tells them apart and not on the label."""
+    return _keyed_traces(log).groupBy("activity_count", "head", "d1", "d2").agg(
+        F.count(F.lit(1)).alias("case_count"), F.min("case_id").alias("first_case")
+    ).select(_label(), "activity_count", "case_count", "first_case")
 
 
 def variant_counts(log: ProcessLog) -> DataFrame:
-    """Distinct traces with case counts, unranked. Grouping is on the array, not the label."""
-    short = (
-        case_sequences(log).groupBy("steps").agg(F.count(F.lit(1)).alias("case_count"))
-        .select(
-            F.array_join("steps", _STEP_SEPARATOR).alias("variant"),
-            F.size("steps").cast("bigint").alias("activity_count"),
-            "case_count",
-        )
-    )
-    return short.unionByName(_long_variants(log)) if log.has_long_cases else short
+    """Distinct traces with case counts, unranked."""
+    return _grouped_traces(log).drop("first_case")
+
+
+def variant_steps(log: ProcessLog) -> DataFrame:
+    """``variant, position, activity``: all steps of each variant, read from its first case."""
+    picked = _grouped_traces(log).select("variant", F.col("first_case").alias("case_id"))
+    return case_sequences(log).join(picked, "case_id").select("variant", "position", "activity")
 
 
 def variants(log: ProcessLog) -> DataFrame:

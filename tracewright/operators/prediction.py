@@ -23,6 +23,7 @@ from tracewright.functions.columns import (
 )
 from tracewright.functions.prefix import global_prefix
 from tracewright.functions.quantiles import exact_quantiles
+from tracewright.functions.selection import select_key
 from tracewright.log import ProcessLog
 from tracewright.model import APPROVAL_ACTIVITY, DECISION_ACTIVITY, REWORK_ACTIVITY
 from tracewright.session import broadcast_if_small, durable
@@ -112,23 +113,20 @@ def sla_features(
 def temporal_split(frame: DataFrame, holdout_share: float = 0.20) -> DataFrame:
     """Add ``is_train``: the earliest cases by ``(created_at, case_id)``.
 
-    Only the two ordering columns are ranked; the rows are then labelled by comparing with
-    the one boundary key, without a join. One case alone is training data.
+    The one boundary key is found by counting, and the rows are labelled by comparing with it:
+    nothing is sorted, ranked or joined. One case alone is training data. Case ids are unique.
     """
     if not 0.10 <= holdout_share <= 0.40:
         raise ValueError("holdout_share must be between 0.10 and 0.40")
     created = F.unix_micros("created_at")
-    keys = frame.select(created.alias("created_us"), "case_id")
-    ranked = global_prefix(keys, [F.col("created_us"), F.col("case_id")])
-    total = ranked.count()
+    total = frame.count()
     if total == 0:
         return frame.withColumn("is_train", F.lit(True))
     wanted = max(1, min(total - 1, int(total * (1 - holdout_share))))
-    last = ranked.where(F.col("rank") == wanted).first()
+    moment, case = select_key(
+        frame.select(created.alias("created_us"), "case_id"), "created_us", "case_id", wanted)
     here = F.struct(created.alias("created_us"), "case_id")
-    edge = F.struct(
-        F.lit(last["created_us"]).alias("created_us"), F.lit(last["case_id"]).alias("case_id")
-    )
+    edge = F.struct(F.lit(moment).alias("created_us"), F.lit(case).alias("case_id"))
     return frame.withColumn("is_train", here <= edge)
 
 

@@ -193,22 +193,19 @@ def _scaled(us: Column, activity: Column, factors: dict[str, float]) -> Column:
 def what_if(
     log: ProcessLog,
     stages: StageMap,
-    replications: int = 24,
+    cases: DataFrame | None = None,
     catalog: Sequence[Scenario] = CATALOG,
     seed: str = "what-if",
-    strict: bool = False,
 ) -> DataFrame:
     """Outcome of every observed case under every scenario.
 
-    Cases are dealt to ``replications`` by a hash of their id; ``strict`` asks for at least
-    two replications of a hundred cases.
+    The SLA target is the case's own, from ``cases``; without a case table it is drawn from the
+    published mix by a hash of the case id.
 
     Waits and manual times are scaled by the scenario's levers and summed per case in one
     aggregate with a column pair per scenario; rows are multiplied by the catalog only
     after that, at one row per case.
     """
-    if strict:
-        guard(replications, log.facts.cases // max(replications, 1))
     rows = log.linked(
         "case_id", "activity", "timestamp", "automated", "processing_minutes",
         previous=("timestamp",),
@@ -229,6 +226,11 @@ def what_if(
             scaled = _scaled(F.col(f"{name}_us"), F.col("activity"), factors)
             sums.append(wide_sum(scaled).cast("bigint").alias(f"{name}_{i}"))
     per_case = rows.groupBy("case_id").agg(F.min("timestamp").alias("arrival"), *sums)
+    if cases is None:
+        per_case = per_case.withColumn(
+            "sla_target_hours", target_draw(uniform(digest(seed, F.col("case_id")))))
+    else:
+        per_case = per_case.join(cases.select("case_id", "sla_target_hours"), "case_id", "left")
     outcomes = F.array(*[
         F.struct(
             F.lit(i).alias("catalog_index"), F.lit(s.name).alias("scenario"),
@@ -236,28 +238,63 @@ def what_if(
         )
         for i, s in enumerate(catalog)
     ])
-    drawn = settled(per_case.withColumn("draw", digest(seed, F.col("case_id"))))
-    return drawn.select(
-        "case_id",
-        F.floor(uniform(F.col("draw")) * replications).cast("int").alias("replication"),
-        F.unix_micros("arrival").alias("arrival_us"),
-        target_draw(uniform(F.col("draw"), 1)).alias("sla_target_hours"),
+    return per_case.select(
+        "case_id", F.unix_micros("arrival").alias("arrival_us"), "sla_target_hours",
         F.inline(outcomes),
     )
 
 
+# Weights of a bootstrap: how often a case is drawn is close to a Poisson variable of mean one. The
+# limits are its distribution function; a weight beyond the last one has a chance under 1e-7.
+POISSON_LIMITS = tuple(
+    math.fsum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) for n in range(10)
+)
+
+
+def poisson_weight(u: Column) -> Column:
+    out = F.lit(len(POISSON_LIMITS))
+    for k, limit in reversed(list(enumerate(POISSON_LIMITS))):
+        out = F.when(u < limit, k).otherwise(out)
+    return out
+
+
+def replicated(outcomes: DataFrame, replications: int = 24, seed: str = "bootstrap") -> DataFrame:
+    """Every outcome in every replication that draws its case, with the ``weight`` it is drawn by.
+
+    A replication is a bootstrap over all cases: the weight comes from a hash of case and replication,
+    so it is the same for all scenarios, which are then compared on the same cases.
+    """
+    each = 5  # draws of a digest
+    digests = settled(outcomes.withColumns({
+        f"_d{i}": digest(seed, F.col("case_id"), F.lit(i)) for i in range(-(-replications // each))}))
+    weights = F.array(*[
+        F.struct(F.lit(k).alias("replication"),
+                 poisson_weight(uniform(F.col(f"_d{k // each}"), k % each)).alias("weight"))
+        for k in range(replications)
+    ])
+    return digests.select(
+        *outcomes.columns, F.inline(F.filter(weights, lambda w: w["weight"] > 0)))
+
+
 def replication_outcomes(outcomes: DataFrame, max_groups: int | None = None) -> DataFrame:
-    """Six outcome metrics per scenario and replication."""
+    """Six outcome metrics per scenario and replication, each case by its ``weight``.
+
+    A case without a target counts for all but the adherence.
+    """
     keys = ["catalog_index", "scenario", "replication"]
+    weight = F.col("weight").cast("bigint")
     timing = exact_quantiles(
-        outcomes, keys, "cycle_us", {"median": 0.5, "p90": 0.9}, max_groups=max_groups
+        outcomes.withColumn("weight", weight), keys, "cycle_us", {"median": 0.5, "p90": 0.9},
+        max_groups=max_groups, weight="weight",
     )
-    breached = hours(F.col("cycle_us")) > F.col("sla_target_hours")
+    target = F.col("sla_target_hours")
+    breached = F.when(target.isNotNull(), (hours(F.col("cycle_us")) > target).cast("int"))
+    judged = F.sum(F.when(target.isNotNull(), weight))
     span_us = F.max(F.col("arrival_us") + F.col("cycle_us")) - F.min("arrival_us")
     rest = outcomes.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cases"),
-        (1 - F.avg(breached.cast("int"))).alias("sla_adherence"),
-        hours(share(wide_sum(F.col("manual_us")), F.count(F.lit(1))))
+        F.sum(weight).alias("cases"),
+        (1 - share(F.sum(breached * weight), judged)).alias("sla_adherence"),
+        hours(share(wide_sum(F.col("manual_us") * weight), F.sum(weight)))
         .alias("manual_hours_per_case"),
         F.greatest(span_us / HOUR_US, F.lit(1.0)).alias("span_hours"),
     )

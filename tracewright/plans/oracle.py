@@ -7,15 +7,30 @@ the adapters repeated as CTEs; it shares constants with the operators but no log
 from __future__ import annotations
 
 import math
+from importlib import resources
+from xml.etree import ElementTree
 
-from tracewright.model import IDEAL_PROCESS, SLA_TARGET_HOURS
+from tracewright.model import SCHEMA_CONSTRAINTS, SLA_TARGET_HOURS
 from tracewright.operators.contracts import SECRET_PATTERNS
 from tracewright.operators.monitoring import DURATION_BUCKETS
 from tracewright.operators.scenarios import CATALOG
-from tracewright.sources import synthetic as syn
-from tracewright.sources.adapters import CLICK_IDEAL, CLICK_TARGETS
+from tracewright.sources.adapters import (
+    AHEAD_BALANCE,
+    CLICK_IDEAL,
+    CLICK_TARGETS,
+    CLOSING_INDEX,
+    LINE_ACTIVITIES,
+    ORDER_APPROVAL,
+    ORDER_DECISION,
+    ORDER_IDEAL,
+    ORDER_REWORK,
+    ORDER_TARGETS,
+    TIER_BALANCE,
+)
 
 H = "3600000000.0"
+#: All kinds of clicks; one letter each makes a trace a word.
+CLICK_KINDS = ("click", "error", "purchase", "signup", "view")
 
 
 def lit(text: str) -> str:
@@ -108,11 +123,11 @@ CHAT = """ev AS (SELECT CAST(conv_id AS VARCHAR) AS case_id, turn AS event_index
 LINKED = """tr AS (SELECT *,
   lag(activity) OVER w AS previous_activity,
   epoch_us(tm) - epoch_us(lag(tm) OVER w) AS wait_us
-  FROM ev WINDOW w AS (PARTITION BY case_id ORDER BY tm, event_index)),
+  FROM ev WINDOW w AS (PARTITION BY case_id ORDER BY tm, event_index, activity)),
 st AS (SELECT * FROM tr WHERE previous_activity IS NOT NULL)"""
 
-SEQ = """sq AS (SELECT case_id, list(activity ORDER BY tm, event_index) AS steps,
-  string_agg(activity, ' > ' ORDER BY tm, event_index) AS variant
+SEQ = """sq AS (SELECT case_id, list(activity ORDER BY tm, event_index, activity) AS steps,
+  string_agg(activity, ' > ' ORDER BY tm, event_index, activity) AS variant
   FROM ev GROUP BY case_id)"""
 
 VARIANTS = SEQ + """, vc AS (SELECT variant,
@@ -131,8 +146,8 @@ def conform(ideal) -> str:
     char = case_of("activity", letters, "'.'")
     n = len(ideal)
     path = arr(ideal)
-    return f"""cf0 AS (SELECT case_id, list(activity ORDER BY tm, event_index) AS steps,
-  levenshtein(string_agg({char}, '' ORDER BY tm, event_index), '{code}') AS d
+    return f"""cf0 AS (SELECT case_id, list(activity ORDER BY tm, event_index, activity) AS steps,
+  levenshtein(string_agg({char}, '' ORDER BY tm, event_index, activity), '{code}') AS d
   FROM ev GROUP BY case_id),
 cf AS (SELECT case_id, CAST(d AS INTEGER) AS edit_distance, d = 0 AS conformant,
   greatest(0.0, 1.0 - d / CAST(greatest(len(steps), {n}) AS DOUBLE)) AS fitness,
@@ -151,122 +166,80 @@ def dev(ideal) -> str:
 SELECT deviation_type, activity, count(*) AS case_count FROM d GROUP BY 1, 2"""
 
 
-# --- synthetic purchase-to-pay log --------------------------------------------------------
-
-
-def uniform(purpose: str, key: str = "k", stream: int = 0) -> str:
-    text = f"sha256({lit(syn.SEED + ':' + purpose + '|')} || {key})"
-    return f"(CAST('0x' || substr({text}, {1 + 12 * stream}, 12) AS BIGINT) / 281474976710656e0)"
-
-
-def normal(purpose: str, key: str, stream: int = 0) -> str:
-    u, v = uniform(purpose, key, stream), uniform(purpose, key, stream + 1)
-    return f"(sqrt(-2.0 * ln(1 - {u})) * cos({2 * math.pi!r} * {v}))"
-
-
-# Which digest and stream a case attribute is drawn from.
-DRAWS = {
-    name: (f"case{i}", stream)
-    for i, names in enumerate((
-        ("business_unit", "department", "country", "material_category", "channel"),
-        ("priority", "variant", "late", "vendor", "created"),
-    ))
-    for stream, name in enumerate(names)
-}
-
-
-def draw(name: str) -> str:
-    purpose, stream = DRAWS[name]
-    return uniform(purpose, "k", stream)
-
-
-def logn(mean: str, sigma: float, z: str) -> str:
-    down, shape = math.sqrt(1 + sigma**2), math.sqrt(math.log(1 + sigma**2))
-    return (f"CASE WHEN {mean} <= 0 THEN 0.0 ELSE exp(ln({mean} / {down!r}) + {shape!r} * {z})"
-            " END")
-
-
-def pick(purpose: str) -> str:
-    reached, whens = 0.0, []
-    options = syn.WEIGHTS[purpose]
-    for label, weight in options[:-1]:
-        reached += weight
-        whens.append(f"WHEN {draw(purpose)} <= {round(reached, 10)!r} THEN {lit(label)}")
-    return f"CASE {' '.join(whens)} ELSE {lit(options[-1][0])} END"
-
-
-def synthetic_ctes() -> str:
-    dims = ", ".join(
-        f"{pick(name)} AS {name}" for name in syn.WEIGHTS if name != "variant"
-    )
-    templates = ", ".join(f"({lit(k)}, {arr(v)})" for k, v in syn.templates().items())
-    traits = ", ".join(
-        f"({lit(a)}, {lit(role)}, {delay!r}, {float(work)!r}, {lit(syn.role_prefix(role))}, "
-        f"{syn.ROLE_COUNTS[role]})"
-        for a, (role, delay, work) in syn.ACTIVITIES.items()
-    )
-    auto = ", ".join(lit(a) for a in syn.AUTOMATED_ACTIVITIES)
-
-    def inside(values):
-        return "(" + ", ".join(lit(v) for v in values) + ")"
-
-    supplier = case_of("vendor_tier", {k: repr(v) for k, v in syn.SUPPLIER_TIER.items()}, "1.0")
-    invoice = case_of("vendor_tier", {k: repr(v) for k, v in syn.INVOICE_TIER.items()}, "1.0")
-    urgency = case_of("priority", {k: repr(v) for k, v in syn.PRIORITY_FACTOR.items()}, "1.0")
-    target = case_of("priority", {k: num(v) for k, v in SLA_TARGET_HOURS.items()}, "NULL")
-    step = "case_id || '|' || i"
-    return f"""pk AS (SELECT CAST(o_orderkey AS VARCHAR) AS k FROM orders),
-pc0 AS (SELECT k, 'P2P-' || lpad(k, 12, '0') AS case_id,
-  make_timestamp((epoch_us(TIMESTAMP '{syn.START}') // 1000000
-    + CAST(floor({draw('created')} * {syn.HORIZON_DAYS * 86400}) AS BIGINT)) * 1000000)
-    AS created_at, {dims},
-  CAST(floor({draw('vendor')} * {syn.VENDORS}) AS BIGINT) + 1 AS vn,
-  round(least({syn.AMOUNT_MAX!r}, greatest({syn.AMOUNT_MIN!r},
-    exp({syn.AMOUNT_MU!r} + {syn.AMOUNT_SIGMA!r} * {normal('case2', 'k')}))), 2) AS amount_usd,
-  {pick('variant')} AS base, {draw('late')} AS late_u FROM pk),
-pc1 AS (SELECT *, 'V-' || lpad(CAST(vn AS VARCHAR), 3, '0') AS vendor_id,
-  CASE WHEN vn <= {syn.LAST_A} THEN 'A' WHEN vn <= {syn.LAST_B} THEN 'B' ELSE 'C' END
-    AS vendor_tier FROM pc0),
-pc AS (SELECT *, base || CASE WHEN late_u < 0.10
-    + CASE WHEN vendor_tier = 'C' THEN 0.07 ELSE 0.0 END
-    + CASE WHEN amount_usd > 75000 THEN 0.05 ELSE 0.0 END
-    + CASE WHEN channel = 'Email Intake' THEN 0.03 ELSE 0.0 END
-  THEN '+late_delivery' ELSE '' END AS variant_ground_truth FROM pc1),
-tpl(label, steps) AS (VALUES {templates}),
-act(activity, resource_role, mean_delay, work, prefix, headcount) AS (VALUES {traits}),
-pe0 AS (SELECT pc.*, unnest(steps) AS activity,
-  generate_subscripts(steps, 1) - 1 AS i FROM pc JOIN tpl ON label = variant_ground_truth),
-pe1 AS (SELECT pe0.*, resource_role, work, prefix, headcount,
-  mean_delay * CASE
-    WHEN pe0.activity IN {inside(syn.AMOUNT_SENSITIVE)}
-      THEN 1 + least(amount_usd / 180000, 0.90)
-    WHEN pe0.activity IN {inside(syn.SUPPLIER_SENSITIVE)} THEN ({supplier})
-      * CASE WHEN country IN {inside(syn.SLOW_COUNTRIES)} THEN {syn.SLOW_FACTOR!r} ELSE 1.0 END
-    WHEN pe0.activity IN {inside(syn.INVOICE_SENSITIVE)} THEN ({invoice}) ELSE 1.0 END
-    * ({urgency}) AS mean_hours,
-  pe0.activity IN ({auto}) AS automated
-  FROM pe0 JOIN act ON act.activity = pe0.activity),
-pe2 AS (SELECT *, CAST(round(({logn('mean_hours', syn.DELAY_SIGMA, normal('event', step))})
-    * 3600000000.0) AS BIGINT) AS delay_us FROM pe1),
-ev AS (SELECT case_id, i + 1 AS event_index, activity,
-  make_timestamp(((epoch_us(created_at) + CAST(sum(delay_us) OVER (PARTITION BY case_id
-    ORDER BY i ROWS UNBOUNDED PRECEDING) AS BIGINT)) // 1000000) * 1000000) AS tm,
-  CASE WHEN resource_role = 'Supplier' THEN vendor_id ELSE prefix || '-' ||
-    lpad(CAST(CAST(floor({uniform('event', step, 4)} * headcount) AS BIGINT) + 1 AS VARCHAR),
-      2, '0') END AS resource_id, resource_role, automated,
-  round(greatest({syn.TOUCH_MIN!r}, {logn(
-      'work * CASE WHEN NOT automated AND amount_usd > 100000 THEN 1.25 ELSE 1.0 END',
-      syn.TOUCH_SIGMA, normal('event', step, 2))}), 2) AS processing_minutes,
-  CASE WHEN resource_role = 'Supplier' THEN 'Supplier Network'
-    WHEN automated THEN 'Workflow Orchestrator' ELSE 'Enterprise ERP' END AS source_system
-  FROM pe2),
-cm0 AS (SELECT case_id, max(tm) AS completed_at, CAST(count(*) AS INTEGER) AS event_count,
-  CAST(count(*) - count(DISTINCT activity) AS INTEGER) AS rework_count FROM ev GROUP BY 1),
-cs AS (SELECT pc.*, completed_at, event_count, rework_count,
-  round((epoch_us(completed_at) - epoch_us(created_at)) / {H}, 4) AS cycle_time_hours,
-  {target} AS sla_target_hours,
-  round((epoch_us(completed_at) - epoch_us(created_at)) / {H}, 4) > {target} AS sla_breached
-  FROM pc JOIN cm0 USING (case_id))"""
+# --- order process ------------------------------------------------------------------------
+
+ORDERS = f"""cu AS (SELECT c_custkey, c_mktsegment AS department, n_name AS country,
+  r_name AS business_unit,
+  CASE WHEN c_acctbal >= {AHEAD_BALANCE} THEN 'Prepaid' ELSE 'Account' END AS channel
+  FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+  LEFT JOIN region ON r_regionkey = n_regionkey),
+pl AS (SELECT CAST(o_orderkey AS VARCHAR) AS case_id, o_custkey, o_orderstatus,
+  o_orderdate AS placed_at, o_totalprice AS amount_usd,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Urgent' WHEN '2-HIGH' THEN 'Strategic'
+    ELSE 'Standard' END AS priority, business_unit, department, country, channel
+  FROM orders LEFT JOIN cu ON c_custkey = o_custkey),
+li AS (SELECT *, CAST(l_orderkey AS VARCHAR) AS case_id, row_number() OVER (
+  PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_suppkey DESC, l_partkey DESC) AS dearest
+  FROM lineitem),
+sm AS (SELECT case_id, max(l_shipdate) AS last_at, count(*) AS lines,
+  count(DISTINCT l_returnflag) AS kinds,
+  max(l_suppkey) FILTER (dearest = 1) AS suppkey, max(l_partkey) FILTER (dearest = 1) AS partkey
+  FROM li GROUP BY case_id),
+ev AS (
+  SELECT case_id, 0 AS event_index, 'Order Placed' AS activity, placed_at AS tm,
+    'C-' || o_custkey AS resource_id, 'Customer' AS resource_role, business_unit, department,
+    amount_usd, false AS automated, CAST(0 AS BIGINT) AS touch_us, 'Order Desk' AS source_system
+  FROM pl
+  UNION ALL
+  SELECT case_id, l_linenumber, {case_of("l_returnflag", {k: lit(v) for k, v in
+                                                          LINE_ACTIVITIES.items()}, "NULL")},
+    l_shipdate, 'S-' || l_suppkey, 'Supplier', business_unit, department, l_extendedprice,
+    l_linestatus = 'F', CAST(round(l_quantity * 60000000.0) AS BIGINT),
+    CASE l_linestatus WHEN 'F' THEN 'Settled Lines' ELSE 'Open Lines' END
+  FROM li JOIN pl USING (case_id)
+  UNION ALL
+  SELECT case_id, {CLOSING_INDEX}, 'Order Closed', greatest(placed_at, last_at), 'DESK', 'Desk',
+    business_unit, department, amount_usd, true, 0, 'Ledger'
+  FROM pl LEFT JOIN sm USING (case_id) WHERE o_orderstatus = 'F'),
+cs0 AS (SELECT case_id, placed_at AS created_at,
+  coalesce(greatest(placed_at, last_at), placed_at) AS completed_at, business_unit, department,
+  country, 'V-' || suppkey AS vendor_id,
+  CASE WHEN suppkey IS NULL THEN NULL WHEN s_acctbal >= {TIER_BALANCE["A"]} THEN 'A' WHEN s_acctbal >= {TIER_BALANCE["B"]} THEN 'B'
+    ELSE 'C' END AS vendor_tier, p_type AS material_category, amount_usd, priority, channel,
+  o_orderstatus AS variant_ground_truth,
+  CAST(1 + coalesce(lines, 0) + CASE o_orderstatus WHEN 'F' THEN 1 ELSE 0 END AS INTEGER)
+    AS event_count,
+  CAST(coalesce(lines, 0) - coalesce(kinds, 0) AS INTEGER) AS rework_count
+  FROM pl LEFT JOIN sm USING (case_id) LEFT JOIN supplier ON s_suppkey = suppkey
+  LEFT JOIN part ON p_partkey = partkey),
+cs AS (SELECT *, (epoch_us(completed_at) - epoch_us(created_at)) / {H} AS cycle_time_hours,
+  {case_of("priority", {k: num(v) for k, v in ORDER_TARGETS.items()}, "NULL")} AS sla_target_hours,
+  (epoch_us(completed_at) - epoch_us(created_at)) / {H}
+    > {case_of("priority", {k: num(v) for k, v in ORDER_TARGETS.items()}, "NULL")} AS sla_breached
+  FROM cs0)"""
+
+def model_ctes() -> str:
+    """Edges ``m`` of the packaged model: a recursive walk from each task to the next ones."""
+    text = resources.files("tracewright.sources").joinpath("order_process.bpmn").read_text()
+    space = "{http://www.omg.org/spec/BPMN/20100524/MODEL}"
+    root = ElementTree.fromstring(text.encode())
+    tasks = ", ".join(f"({lit(x.get('id'))}, {lit(x.get('name'))})" for x in root.iter()
+                      if x.tag.lower().endswith("task"))
+    flows = ", ".join(f"({lit(x.get('sourceRef'))}, {lit(x.get('targetRef'))})"
+                      for x in root.iter(f"{space}sequenceFlow"))
+    return f"""task(id, name) AS (VALUES {tasks}), flow(a, b) AS (VALUES {flows}),
+walk(start, node) AS (SELECT a, b FROM flow WHERE a IN (SELECT id FROM task)
+  UNION SELECT start, b FROM walk JOIN flow ON a = node
+  WHERE node NOT IN (SELECT id FROM task)),
+m AS (SELECT DISTINCT s.name AS source, t.name AS target FROM walk
+  JOIN task s ON s.id = start JOIN task t ON t.id = node)"""
+
+
+CASES_SELECT = f"""SELECT case_id, {iso("created_at")} AS created_at,
+  {iso("completed_at")} AS completed_at, business_unit, department, country, vendor_id,
+  vendor_tier, material_category, amount_usd, priority, channel, variant_ground_truth,
+  event_count, rework_count, {r("cycle_time_hours", "cycle_time_hours")}, sla_target_hours,
+  sla_breached"""
 
 
 # --- shared result shapes -----------------------------------------------------------------
@@ -343,26 +316,44 @@ ft AS (SELECT cs.*, po_created_at,
   FROM cs LEFT JOIN po USING (case_id) LEFT JOIN early USING (case_id))"""
 
 
-TOUCH_P2P = "CAST(round(processing_minutes * 60000000.0) AS BIGINT)"
-P2P_FEATURES = features(
-    "Purchase Order Created", "Manager Approval", "Request Reworked", TOUCH_P2P
-)
-SCORED = """sc AS (SELECT *, least(1.0, round(elapsed_to_po_hours / sla_target_hours * 2, 2))
-  AS risk_score FROM ft), sp AS (SELECT *, risk_score >= 0.5 AS predicted_breach FROM sc)"""
+ORDER_FEATURES = features(ORDER_DECISION, ORDER_APPROVAL, ORDER_REWORK, "touch_us")
+SCORED = """sc AS (SELECT *, least(1.0, greatest(0.0,
+    round(elapsed_to_po_hours / sla_target_hours, 2))) AS risk_score FROM ft),
+sp AS (SELECT *, risk_score >= 0.5 AS predicted_breach, CASE WHEN risk_score <= 0.30 THEN 'Low'
+  WHEN risk_score <= 0.60 THEN 'Medium' WHEN risk_score <= 0.80 THEN 'High' ELSE 'Critical' END
+  AS risk_band FROM sc)"""
 
 
-def rank_sql(by: str | None) -> str:
+def rank_sql(by: str | None, source: str = "sp") -> str:
     keys = f"{by}, " if by else ""
     part = f"PARTITION BY {by}" if by else ""
     group = f"GROUP BY {by}" if by else ""
     return f"""rk0 AS (SELECT {keys}risk_score, count(*) FILTER (sla_breached) AS pos,
-  count(*) FILTER (NOT sla_breached) AS neg FROM sp GROUP BY {keys}risk_score),
+  count(*) FILTER (NOT sla_breached) AS neg FROM {source} GROUP BY {keys}risk_score),
 rk1 AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
   sum(pos) OVER ({part}) AS p, sum(neg) OVER ({part}) AS n FROM rk0
   WINDOW w AS ({part} ORDER BY risk_score DESC)),
-rk AS (SELECT {keys}sum(neg * (tp - pos + pos / 2.0)) / (max(p) * CAST(max(n) AS DOUBLE))
-    AS roc_auc,
-  sum(pos * (tp / CAST(tp + fp AS DOUBLE))) / max(p) AS average_precision FROM rk1 {group})"""
+rk AS (SELECT {keys}coalesce(
+    sum(neg * (tp - pos + pos / 2.0)) / nullif(max(p) * CAST(max(n) AS DOUBLE), 0), 0.5) AS roc_auc,
+  coalesce(sum(pos * (tp / CAST(tp + fp AS DOUBLE))) / nullif(max(p), 0),
+    max(p) / CAST(max(p) + max(n) AS DOUBLE)) AS average_precision FROM rk1 {group})"""
+
+
+def threshold_sql(by: str, source: str = "sp") -> str:
+    return f"""th0 AS (SELECT {by}, count(*) AS cases,
+  count(*) FILTER (NOT sla_breached AND NOT predicted_breach) AS tn,
+  count(*) FILTER (NOT sla_breached AND predicted_breach) AS fp,
+  count(*) FILTER (sla_breached AND NOT predicted_breach) AS fn,
+  count(*) FILTER (sla_breached AND predicted_breach) AS tp,
+  avg(power(risk_score - CAST(sla_breached AS INTEGER), 2)) AS brier,
+  avg(CAST(sla_breached AS INTEGER)) AS positive_rate FROM {source} GROUP BY ALL),
+th AS (SELECT {by}, cases, {r("positive_rate", "positive_rate")},
+  {r("(tp + tn) / CAST(cases AS DOUBLE)", "accuracy")},
+  {r("coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0.0)", "precision")},
+  {r("coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0.0)", "recall")},
+  {r("coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0.0)", "f1")},
+  {r("brier", "brier_score")}, tn AS true_negative, fp AS false_positive,
+  fn AS false_negative, tp AS true_positive FROM th0)"""
 
 
 # --- scenarios ----------------------------------------------------------------------------
@@ -397,18 +388,27 @@ def scenario_ctes(stage_map, replications: int) -> str:
   CAST(sum(CAST(round(coalesce(wait_us, 0) * ({wait})) AS BIGINT)) AS BIGINT) AS cycle_us,
   CAST(sum(CAST(round(CASE WHEN automated THEN 0 ELSE touch_us END * ({manual})) AS BIGINT))
     AS BIGINT) AS manual_us FROM tr GROUP BY case_id""")
-    u = "(CAST('0x' || substr(sha256('what-if|' || case_id), {}, 12) AS BIGINT) / 281474976710656e0)"
     rows = " UNION ALL ".join(parts)
     metrics = ("mean_cycle_hours", "median_cycle_hours", "p90_cycle_hours", "sla_adherence",
                "manual_hours_per_case", "throughput_cases_per_8h")
     catalog = ", ".join(
         f"({i}, {lit(s.description)}, {num(s.investment_usd)})" for i, s in enumerate(CATALOG)
     )
+    # How often a replication draws a case: the Poisson distribution of mean one, inverted.
+    reached, whens = 0.0, []
+    for k in range(10):
+        reached += 1 / (math.e * math.factorial(k))
+        whens.append(f"WHEN u < {reached!r}e0 THEN {k}")
+    poisson = f"CASE {' '.join(whens)} ELSE 10 END"
     return f"""wi0 AS ({rows}),
-wi AS (SELECT case_id, CAST(floor({u.format(1)} * {replications}) AS INTEGER) AS replication,
-  epoch_us(arrival) AS arrival_us,
-  CASE WHEN {u.format(13)} < 0.18 THEN 120e0 WHEN {u.format(13)} < 0.86 THEN 240e0
-    ELSE 336e0 END AS sla_target_hours, catalog_index, scenario, cycle_us, manual_us FROM wi0),
+wi AS (SELECT case_id, epoch_us(arrival) AS arrival_us, sla_target_hours, catalog_index,
+  scenario, wi0.cycle_us AS cycle_us, manual_us FROM wi0 LEFT JOIN cs USING (case_id)),
+dr AS (SELECT case_id, k AS replication, CAST('0x' || substr(sha256('bootstrap|' || case_id || '|'
+    || (k // 5)), 1 + 12 * (k % 5), 12) AS BIGINT) / 281474976710656e0 AS u
+  FROM (SELECT DISTINCT case_id FROM wi0), range({replications}) AS r(k)),
+wt AS (SELECT case_id, replication, {poisson} AS w FROM dr),
+rx AS (SELECT wi.*, CAST(replication AS INTEGER) AS replication
+  FROM wi JOIN wt USING (case_id), range(w) AS r(copy)),
 ro AS (SELECT catalog_index, scenario, replication, count(*) AS cases,
   sum(cycle_us) / CAST(count(*) AS DOUBLE) / {H} AS mean_cycle_hours,
   quantile_cont(cycle_us, 0.5) / {H} AS median_cycle_hours,
@@ -416,7 +416,7 @@ ro AS (SELECT catalog_index, scenario, replication, count(*) AS cases,
   1 - avg(CAST(cycle_us / {H} > sla_target_hours AS INTEGER)) AS sla_adherence,
   sum(manual_us) / CAST(count(*) AS DOUBLE) / {H} AS manual_hours_per_case,
   count(*) / greatest((max(arrival_us + cycle_us) - min(arrival_us)) / {H}, 1.0) * 8
-    AS throughput_cases_per_8h FROM wi GROUP BY 1, 2, 3),
+    AS throughput_cases_per_8h FROM rx GROUP BY 1, 2, 3),
 mo AS (SELECT catalog_index, scenario, {", ".join(f"avg({m}) AS {m}" for m in metrics)}
   FROM ro GROUP BY 1, 2),
 cat(catalog_index, description, one_time_investment_usd) AS (VALUES {catalog}),
@@ -456,18 +456,97 @@ FROM {source} GROUP BY {grouping or by}"""
 RUNS = """rn AS (SELECT ts, event_id AS run_id,
   CASE WHEN event_type = 'error' THEN 'failure' ELSE 'success' END AS status,
   value / 20 AS duration_seconds, CAST(floor(value * 2500) AS BIGINT) AS events_loaded,
-  user_id AS cases_loaded, least(1.0, value / 60) AS sla_adherence FROM events)"""
+  user_id AS cases_loaded, least(1.0, value / 60) AS sla_adherence,
+  'worker-' || (user_id % 4) AS instance FROM events)"""
+
+COUNTERS = f"""{RUNS}, ct AS (SELECT instance, ts, run_id,
+  count(*) FILTER (status = 'failure') OVER w AS failures, count(*) OVER w AS total,
+  {", ".join(f"count(*) FILTER (duration_seconds <= {b!r}) OVER w AS b{i}"
+             for i, b in enumerate(DURATION_BUCKETS))}
+  FROM rn WINDOW w AS (PARTITION BY instance, date_trunc('day', ts) ORDER BY ts, run_id
+    ROWS UNBOUNDED PRECEDING))"""
+
+
+def grown(name: str) -> str:
+    before = f"lag({name}) OVER w"
+    return f"CASE WHEN {before} IS NULL THEN 0 WHEN {name} < {before} THEN {name} ELSE {name} - {before} END"
+
 
+def increase_sql() -> str:
+    return f"""{COUNTERS}, gr AS (SELECT instance, date_trunc('minute', ts) AS tm,
+  {grown("failures")} AS g FROM ct WINDOW w AS (PARTITION BY instance ORDER BY ts, run_id)),
+inc AS (SELECT instance, tm + to_minutes(k) AS window_end, sum(g) AS increase
+  FROM gr, range(1, 16) AS r(k) GROUP BY 1, 2 HAVING sum(g) > 0)"""
 
-def hold_sql(value: str, threshold: float, minutes: int) -> str:
-    return f"""WITH {RUNS}, s AS (SELECT date_trunc('minute', ts) AS tm,
-  arg_max({value}, ts) AS v FROM rn GROUP BY 1),
+
+def counter_quantile_sql() -> str:
+    n = len(DURATION_BUCKETS)
+    # A restart shows in the total as well as in the buckets.
+    names = [*(f"b{i}" for i in range(n)), "total"]
+    reset = " OR ".join(f"{x} < lag({x}) OVER w" for x in names)
+    steps = ", ".join(
+        f"CASE WHEN lag({x}) OVER w IS NULL THEN 0 WHEN {reset} THEN {x}"
+        f" ELSE {x} - lag({x}) OVER w END AS {x}" for x in names)
+    whens, lower, under = [], "0.0", "0"
+    for i, b in enumerate(DURATION_BUCKETS):
+        whens.append(f"WHEN b{i} >= total * 0.95 THEN {lower} + ({b!r} - {lower})"
+                     f" * (total * 0.95 - {under}) / (b{i} - {under})")
+        lower, under = repr(b), f"b{i}"
+    sums = ", ".join(f"CAST(sum({x}) AS BIGINT) AS {x}" for x in names)
+    return f"""WITH {COUNTERS}, gr AS (SELECT date_trunc('minute', ts) AS tm, {steps}
+  FROM ct WINDOW w AS (PARTITION BY instance ORDER BY ts, run_id)),
+s AS (SELECT tm + to_minutes(k) AS window_end, {sums} FROM gr, range(1, 16) AS r(k) GROUP BY 1)
+SELECT {iso("window_end")} AS window_end, total AS runs,
+  {r(f"CASE {' '.join(whens)} ELSE {DURATION_BUCKETS[-1]!r} END", "duration_quantile")}
+FROM s WHERE total > 0"""
+
+
+def constraint_sql() -> str:
+    def rows(table, kind, columns, sql):
+        return (f"SELECT '{table}' AS \"table\", '{kind}' AS kind, '{columns}' AS columns,"
+                f" CAST(({sql}) AS BIGINT) AS violations")
+
+    source = {"process_cases": "oc", "process_events": "ev"}
+    held = {"oc": ["case_id", "created_at", "completed_at", "vendor_tier", "priority", "amount_usd",
+                   "event_count", "rework_count", "cycle_time_hours", "sla_target_hours",
+                   "sla_breached"],
+            "ev": ["case_id", "event_index", "activity", "tm", "part", "amount_usd", "automated",
+                   "processing_minutes", "resource_id", "resource_role"]}
+    parts = []
+    for table, short in source.items():
+        for name in held[short]:
+            if name in ("part",):
+                continue
+            column = {"resource_id": "'S'", "resource_role": "'Supplier'"}.get(name, name)
+            parts.append(rows(table, "not null", {"tm": "timestamp"}.get(name, name),
+                              f"SELECT count(*) FROM {short} WHERE {column} IS NULL"))
+    for table, kind, columns, condition in SCHEMA_CONSTRAINTS:
+        if kind == "check":
+            parts.append(rows(table, kind, columns[0],
+                              f"SELECT count(*) FROM {source[table]} WHERE NOT ({condition})"))
+    for table, kind, keys in (("process_cases", "primary key", "case_id"),
+                              ("process_events", "primary key", "case_id, event_index"),
+                              ("process_events", "unique", "case_id, part")):
+        parts.append(rows(table, kind, keys,
+                          f"SELECT count(*) - count(DISTINCT ({keys})) FROM {source[table]}"))
+    for table, other in (("process_cases", "ev"), ("process_events", "oc")):
+        parts.append(rows(table, "foreign key", "case_id",
+                          f"SELECT count(*) FROM {source[table]} WHERE case_id NOT IN"
+                          f" (SELECT case_id FROM {other})"))
+    return f"WITH {LINES}, {ORDER_CASES} {' UNION ALL '.join(parts)}"
+
+
+def hold_sql(value: str, threshold: float, minutes: int, by: str = "") -> str:
+    key, part = (f"{by}, ", f"PARTITION BY {by}") if by else ("", "")
+    return f"""WITH {RUNS}, n AS (SELECT *, row_number() OVER (PARTITION BY
+    {key}date_trunc('minute', ts) ORDER BY ts DESC, run_id DESC) AS newest FROM rn),
+s AS (SELECT {key}date_trunc('minute', ts) AS tm, {value} AS v FROM n WHERE newest = 1),
 f AS (SELECT *, v < {threshold} AS low FROM s),
-g AS (SELECT *, row_number() OVER (ORDER BY tm)
-  - row_number() OVER (PARTITION BY low ORDER BY tm) AS island FROM f)
-SELECT {iso("min(tm)")} AS low_from, {iso("max(tm)")} AS low_to, count(*) AS scrapes,
+g AS (SELECT *, row_number() OVER ({part} ORDER BY tm)
+  - row_number() OVER (PARTITION BY {key}low ORDER BY tm) AS island FROM f)
+SELECT {key}{iso("min(tm)")} AS low_from, {iso("max(tm)")} AS low_to, count(*) AS scrapes,
   {r("min(v)", "lowest") if value == "sla_adherence" else "min(v) AS lowest"}
-FROM g WHERE low GROUP BY island HAVING epoch(max(tm)) - epoch(min(tm)) >= {minutes * 60}"""
+FROM g WHERE low GROUP BY {key}island HAVING epoch(max(tm)) - epoch(min(tm)) >= {minutes * 60}"""
 
 
 def duration_sql() -> str:
@@ -503,9 +582,9 @@ def oracle_queries() -> dict[str, str]:
     from tracewright.plans.queries import CLICK_STAGES, REPLICATIONS
 
     day, week, wcs = click("day"), click("week"), click_cases("week")
-    p2p = synthetic_ctes()
+    risk = f"{ORDERS}, {ORDER_FEATURES}, {SCORED}"
     day_cf = f"{day}, {conform(CLICK_IDEAL)}"
-    scen = f"{week}, {LINKED}, {scenario_ctes(CLICK_STAGES, REPLICATIONS)}"
+    scen = f"{week}, {wcs}, {LINKED}, {scenario_ctes(CLICK_STAGES, REPLICATIONS)}"
     slicers = "business_unit, country, vendor_tier, priority"
     enriched = f"""{week}, {wcs}, {conform(CLICK_IDEAL)}, {PERFORMANCE},
 en AS (SELECT cs.*, fitness, conformant, touch_time_hours, estimated_wait_hours,
@@ -520,10 +599,6 @@ en AS (SELECT cs.*, fitness, conformant, touch_time_hours, estimated_wait_hours,
         f" WHERE regexp_matches(text, {lit(p)})"
         for label, p in SECRET_PATTERNS.items()
     )
-    edges = " UNION ALL ".join(
-        f"SELECT {lit(a)} AS source, {lit(b)} AS target"
-        for a, b in zip(IDEAL_PROCESS[:-1], IDEAL_PROCESS[1:], strict=True)
-    )
     null_rows = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count,"
         f" count(*) FILTER (trim(CAST({c} AS VARCHAR)) = '') AS blank_count FROM oc"
@@ -537,13 +612,6 @@ en AS (SELECT cs.*, fitness, conformant, touch_time_hours, estimated_wait_hours,
         for d, s in (("business_unit", "cs"), ("priority", "cs"), ("vendor_tier", "cs"),
                      ("activity", "st"), ("resource_role", "st"))
     )
-    threshold = f"""SELECT vendor_tier, count(*) AS cases,
-  count(*) FILTER (NOT sla_breached AND NOT predicted_breach) AS tn,
-  count(*) FILTER (NOT sla_breached AND predicted_breach) AS fp,
-  count(*) FILTER (sla_breached AND NOT predicted_breach) AS fn,
-  count(*) FILTER (sla_breached AND predicted_breach) AS tp,
-  avg(power(risk_score - CAST(sla_breached AS INTEGER), 2)) AS brier,
-  avg(CAST(sla_breached AS INTEGER)) AS positive_rate FROM sp GROUP BY 1"""
     bands = " UNION ALL ".join(
         f"SELECT {i} AS band_order, '{name}' AS risk_band, count(*) FILTER ({cond}) AS case_count,"
         f" round(count(*) FILTER ({cond}) / CAST(greatest(count(*), 1) AS DOUBLE), 4)"
@@ -598,6 +666,7 @@ UNION ALL SELECT DISTINCT CAST(l_orderkey AS VARCHAR), 'cases' FROM lineitem
   count(*) AS observed, max(l_linenumber) AS declared FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
 GROUP BY l_orderkey HAVING count(*) <> max(l_linenumber)""",
+        "dq_constraints": constraint_sql(),
         "dq_domain": f"""WITH {ORDER_CASES} SELECT
   count(*) FILTER (vendor_tier NOT IN ('A','B','C')) AS vendor_tier,
   count(*) FILTER (priority NOT IN ('Urgent','Standard','Strategic')) AS priority,
@@ -625,11 +694,16 @@ SELECT metric, {r("expected", "expected")}, {r("value", "value")},
   {r("cumulative_share", "cumulative_share")} FROM vr""",
         "variants_conversations": f"""WITH {CHAT}, {VARIANTS} SELECT {variant_cols},
   {r("cumulative_share", "cumulative_share")} FROM vr""",
-        "variants_orders": f"""WITH {p2p}, {VARIANTS} SELECT {variant_cols},
+        "variants_orders": f"""WITH {ORDERS}, {VARIANTS} SELECT {variant_cols},
   {r("cumulative_share", "cumulative_share")} FROM vr""",
-        "case_sequences": f"WITH {day}, {SEQ} SELECT case_id, variant AS steps FROM sq",
+        "case_sequences": f"""WITH {day} SELECT case_id, activity, CAST(row_number() OVER
+  (PARTITION BY case_id ORDER BY tm, event_index, activity) AS BIGINT) AS position FROM ev""",
+        "variant_steps": f"""WITH {day}, {SEQ}, f AS (SELECT variant, min(case_id) AS case_id
+  FROM sq GROUP BY 1), u AS (SELECT f.variant, unnest(steps) AS activity,
+  generate_subscripts(steps, 1) AS position FROM f JOIN sq USING (case_id))
+SELECT variant, CAST(position AS BIGINT) AS position, activity FROM u""",
         "dfg": f"WITH {day}, {LINKED} {dfg_select()}",
-        "dfg_orders": f"WITH {p2p}, {LINKED} {dfg_select()}",
+        "dfg_orders": f"WITH {ORDERS}, {LINKED} {dfg_select()}",
         "dfg_view": f"""WITH {day}, {LINKED} SELECT previous_activity AS source_activity,
   activity AS target_activity, count(*) AS transition_count,
   {r(f"sum(wait_us) / CAST(count(*) AS DOUBLE) / {H}", "mean_wait_hours", 2)}
@@ -657,14 +731,14 @@ SELECT (SELECT count(*) FROM ids) AS sample_cases,
 WHERE case_id IN (SELECT case_id FROM ids)""",
         "log_format": f"""WITH {day} SELECT case_id AS "case:concept:name",
   activity AS "concept:name", {iso("tm")} AS "time:timestamp", resource_id FROM ev""",
-        "footprint": f"""WITH {p2p}, {LINKED}, e AS (SELECT previous_activity AS source,
+        "footprint": f"""WITH {ORDERS}, {LINKED}, e AS (SELECT previous_activity AS source,
   activity AS target, count(*) AS n FROM st GROUP BY 1, 2),
 pairs AS (SELECT source, target FROM e UNION SELECT target, source FROM e)
 SELECT p.source, p.target, coalesce(f.n, 0) AS forward_count, coalesce(g.n, 0) AS backward_count,
   CASE WHEN g.n IS NULL THEN '->' WHEN f.n IS NULL THEN '<-' ELSE '||' END AS relation
 FROM pairs p LEFT JOIN e f ON f.source = p.source AND f.target = p.target
 LEFT JOIN e g ON g.source = p.target AND g.target = p.source""",
-        "model_edge_check": f"""WITH {p2p}, {LINKED}, m AS ({edges}),
+        "model_edge_check": f"""WITH RECURSIVE {ORDERS}, {LINKED}, {model_ctes()},
 e AS (SELECT previous_activity AS source, activity AS target, count(*) AS n
   FROM st GROUP BY 1, 2)
 SELECT coalesce(e.source, m.source) AS source, coalesce(e.target, m.target) AS target,
@@ -678,7 +752,7 @@ FROM e FULL JOIN m ON e.source = m.source AND e.target = m.target""",
   array_to_string(unexpected, ' | ') AS unexpected_activities,
   array_to_string(repeated, ' | ') AS repeated_activities FROM cf""",
         "deviations": dev(CLICK_IDEAL).replace("src", day, 1),
-        "deviations_orders": dev(IDEAL_PROCESS).replace("src", p2p, 1),
+        "deviations_orders": dev(ORDER_IDEAL).replace("src", ORDERS, 1),
         "fitness_histogram": f"""WITH {day_cf} SELECT
   least(floor(fitness * 10 + 1e-9), 9) / 10 AS fitness_from, count(*) AS case_count
 FROM cf GROUP BY 1""",
@@ -688,11 +762,19 @@ FROM cf GROUP BY 1""",
         "reordered_cases": f"""WITH {day_cf} SELECT case_id, {r("fitness", "fitness")},
   edit_distance FROM cf WHERE edit_distance > 0 AND len(missing) = 0 AND len(unexpected) = 0
   AND len(repeated) = 0""",
+        "trace_distances": f"""WITH {day}, sq AS (SELECT case_id, string_agg({case_of(
+            "activity", {a: lit(chr(65 + i)) for i, a in enumerate(CLICK_KINDS)}, "NULL")}, ''
+    ORDER BY tm, event_index) AS code FROM ev GROUP BY case_id),
+pr AS (SELECT case_id, code, lag(case_id) OVER w AS previous_case, lag(code) OVER w AS before FROM sq
+  WINDOW w AS (PARTITION BY split_part(case_id, '|', 1) ORDER BY split_part(case_id, '|', 2)))
+SELECT case_id, previous_case, CAST(levenshtein(code, before) AS INTEGER) AS edit_distance,
+  {r("1 - levenshtein(code, before) / CAST(greatest(len(code), len(before)) AS DOUBLE)", "fitness")}
+FROM pr WHERE previous_case IS NOT NULL""",
         # performance
         "transition_waits": f"""WITH {week}, {LINKED} SELECT case_id, previous_activity, activity,
   {r(f"wait_us / {H}", "wait_hours")}, resource_role, business_unit, department FROM st""",
         "bottlenecks": f"WITH {week}, {LINKED}, {BOTTLENECK} {BOTTLENECK_SELECT}",
-        "bottlenecks_orders": f"WITH {p2p}, {LINKED}, {BOTTLENECK} {BOTTLENECK_SELECT}",
+        "bottlenecks_orders": f"WITH {ORDERS}, {LINKED}, {BOTTLENECK} {BOTTLENECK_SELECT}",
         "case_performance": f"""WITH {week}, {PERFORMANCE} SELECT case_id,
   {iso("created_at")} AS created_at, {iso("completed_at")} AS completed_at, event_count,
   unique_activity_count, {r("touch / 60000000.0", "processing_minutes")}, automated_event_count,
@@ -713,7 +795,7 @@ FROM ev GROUP BY 1, 2""",
   vendor_tier, priority, amount_usd, variant_ground_truth, event_count, rework_count,
   {r("cycle_time_hours", "cycle_time_hours")}, sla_target_hours, sla_breached,
   round(cycle_time_hours / nullif(sla_target_hours, 0), 4) AS sla_consumption_ratio FROM cs""",
-        "sla_monthly": f"""WITH {p2p}, x AS (SELECT *,
+        "sla_monthly": f"""WITH {ORDERS}, x AS (SELECT *,
   CAST(round(cycle_time_hours * 3600000000.0) AS BIGINT) AS us FROM cs)
 SELECT {iso("date_trunc('month', completed_at)")} AS completed_month, business_unit, priority,
   count(*) AS case_count,
@@ -744,15 +826,14 @@ GROUP BY 1""",
   {r("estimated_wait_hours", "estimated_wait_hours")},
   {r("automation_rate", "automation_rate")} FROM en""",
         "kpis": f"WITH {week}, {wcs}, {conform(CLICK_IDEAL)}, {PERFORMANCE} {kpi_select()}",
-        "kpis_orders": "WITH " + p2p + f", {conform(IDEAL_PROCESS)}, "
-        + PERFORMANCE.replace("sum(touch_us)", f"sum({TOUCH_P2P})") + " " + kpi_select(),
+        "kpis_orders": f"WITH {ORDERS}, {conform(ORDER_IDEAL)}, {PERFORMANCE} {kpi_select()}",
         "case_explorer": f"""WITH {week}, {wcs}, {conform(CLICK_IDEAL)}, {SEQ}
 SELECT case_id, business_unit, country, vendor_tier, priority, amount_usd,
   {r("cycle_time_hours", "cycle_time_hours")}, sla_target_hours, sla_breached,
   {r("fitness", "fitness")}, conformant, CAST(edit_distance AS INTEGER) AS edit_distance,
   variant FROM cs LEFT JOIN cf USING (case_id) LEFT JOIN sq USING (case_id)""",
         "case_timeline": f"""WITH {week}, {wcs}, n AS (SELECT *, row_number() OVER
-  (PARTITION BY case_id ORDER BY tm, event_index) AS position FROM ev)
+  (PARTITION BY case_id ORDER BY tm, event_index, activity) AS position FROM ev)
 SELECT case_id, activity, {iso("tm")} AS timestamp, resource_id,
   {r("amount_usd", "processing_minutes")}, CAST(position AS BIGINT) AS position FROM n
 WHERE case_id IN (SELECT case_id FROM cs WHERE sla_breached AND priority = 'Strategic')""",
@@ -767,35 +848,49 @@ SELECT previous_activity AS source, activity AS target, count(*) AS transition_c
   {r(f"sum(wait_us) / {H}", "total_wait_hours")} FROM st
 WHERE case_id IN (SELECT case_id FROM cs WHERE sla_breached) GROUP BY 1, 2""",
         # SLA risk
-        "sla_features": f"""WITH {p2p}, {P2P_FEATURES} SELECT case_id,
-  {iso("created_at")} AS created_at, {iso("completed_at")} AS completed_at, business_unit,
-  vendor_tier, amount_usd, priority, event_count, rework_count, cycle_time_hours,
-  sla_target_hours, sla_breached, {iso("po_created_at")} AS po_created_at,
-  {r("elapsed_to_po_hours", "elapsed_to_po_hours")}, early_event_count, approval_count,
-  early_rework_count, {r("early_manual_minutes", "early_manual_minutes")} FROM ft""",
+        "sla_features": f"""WITH {ORDERS}, {ORDER_FEATURES} {CASES_SELECT},
+  {iso("po_created_at")} AS po_created_at, {r("elapsed_to_po_hours", "elapsed_to_po_hours")},
+  early_event_count, approval_count, early_rework_count,
+  {r("early_manual_minutes", "early_manual_minutes")} FROM ft""",
         "sla_features_clicks": f"""WITH {week}, {wcs},
 {features("purchase", "view", "error", "touch_us")} SELECT case_id,
   {iso("po_created_at")} AS po_created_at, {r("elapsed_to_po_hours", "elapsed_to_po_hours")},
   early_event_count, approval_count, early_rework_count,
   {r("early_manual_minutes", "early_manual_minutes")} FROM ft""",
-        "temporal_split": f"""WITH {p2p} SELECT case_id, {iso("created_at")} AS created_at,
+        "temporal_split": f"""WITH {ORDERS} SELECT case_id, {iso("created_at")} AS created_at,
   row_number() OVER (ORDER BY created_at, case_id)
     <= greatest(1, least(count(*) OVER () - 1, CAST(floor(count(*) OVER () * 0.8) AS BIGINT)))
     AS is_train FROM cs""",
-        "baseline_metrics": f"""WITH {p2p}, {P2P_FEATURES}, {SCORED}, {rank_sql("vendor_tier")},
-t AS ({threshold})
-SELECT vendor_tier, cases, {r("positive_rate", "positive_rate")},
-  {r("(tp + tn) / CAST(cases AS DOUBLE)", "accuracy")},
-  {r("coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0.0)", "precision")},
-  {r("coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0.0)", "recall")},
-  {r("coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0.0)", "f1")},
-  {r("brier", "brier_score")}, tn AS true_negative, fp AS false_positive,
-  fn AS false_negative, tp AS true_positive, {r("roc_auc", "roc_auc")},
-  {r("average_precision", "average_precision")} FROM t JOIN rk USING (vendor_tier)""",
-        "baseline_metrics_total": f"""WITH {p2p}, {P2P_FEATURES}, {SCORED}, {rank_sql(None)}
+        "baseline_metrics": f"""WITH {risk}, {rank_sql("vendor_tier")}, {threshold_sql("vendor_tier")}
+SELECT th.*, {r("roc_auc", "roc_auc")}, {r("average_precision", "average_precision")}
+FROM th JOIN rk USING (vendor_tier)""",
+        "baseline_metrics_total": f"""WITH {risk}, {rank_sql(None)}
 SELECT {r("roc_auc", "roc_auc")}, {r("average_precision", "average_precision")} FROM rk""",
-        "baseline_bands": f"WITH {p2p}, {P2P_FEATURES}, {SCORED} {bands}",
-        # scenarios and the synthetic log
+        "baseline_bands": f"WITH {risk} {bands}",
+        "rule_scores": f"""WITH {risk} SELECT case_id, {iso("created_at")} AS created_at,
+  business_unit, vendor_id, amount_usd, sla_breached, risk_score, predicted_breach, risk_band,
+  priority, vendor_tier, country FROM sp""",
+        "rule_queue": f"""WITH {risk} SELECT case_id, business_unit, vendor_id, amount_usd,
+  risk_score, risk_band FROM sp WHERE risk_band IN ('High', 'Critical')""",
+        "rule_subgroups": f"""WITH {risk}, sd AS ({" UNION ALL ".join(
+            f"SELECT '{d}' AS dimension, {m} AS member, sla_breached, predicted_breach, risk_score"
+            " FROM sp" for d, m in (
+                ("priority", "priority"), ("vendor_tier", "vendor_tier"),
+                ("business_unit", "business_unit"),
+                ("created_month", "strftime(created_at, '%Y-%m')")))}),
+{rank_sql("dimension, member", "sd")}, {threshold_sql("dimension, member", "sd")}
+SELECT th.*, {r("roc_auc", "roc_auc")}, {r("average_precision", "average_precision")}
+FROM th JOIN rk USING (dimension, member)""",
+        "rule_measures": f"""WITH {risk} SELECT business_unit, count(*) AS scored_cases,
+  count(*) FILTER (risk_band IN ('High', 'Critical')) AS high_risk_cases,
+  {r("avg(risk_score)", "average_risk_score")},
+  {r("count(*) FILTER (risk_band IN ('High', 'Critical')) / CAST(count(*) AS DOUBLE)",
+     "high_risk_share")} FROM sp GROUP BY 1""",
+        "rule_transitions": f"""WITH {risk}, {LINKED}
+SELECT previous_activity AS source, activity AS target, count(*) AS transition_count,
+  {r(f"sum(wait_us) / {H}", "total_wait_hours")} FROM st
+WHERE case_id IN (SELECT case_id FROM sp WHERE risk_band IN ('High', 'Critical')) GROUP BY 1, 2""",
+        # scenarios and the order process
         "whatif_observed": f"WITH {scen} SELECT * FROM wi",
         "scenario_outcomes": f"""WITH {scen} SELECT catalog_index, scenario, replication, cases,
   {", ".join(r(c, c) for c in ("mean_cycle_hours", "median_cycle_hours", "p90_cycle_hours",
@@ -821,14 +916,11 @@ ORDER BY cmp.estimated_annual_value_usd DESC, catalog_index DESC LIMIT 1""",
      "cycle_improvement_vs_baseline", 4)},
   {r("100 * (sla_adherence - (SELECT sla_adherence FROM b))", "sla_uplift_vs_baseline_pp", 4)}
 FROM cmp""",
-        "synthetic_log": f"""WITH {p2p} SELECT case_id, {iso("created_at")} AS created_at,
-  {iso("completed_at")} AS completed_at, business_unit, department, country, vendor_id,
-  vendor_tier, material_category, amount_usd, priority, channel, variant_ground_truth,
-  event_count, rework_count, cycle_time_hours, sla_target_hours, sla_breached FROM cs""",
-        "synthetic_activities": f"""WITH {p2p} SELECT activity, resource_id, source_system,
-  count(*) AS event_count,
-  {r("CAST(sum(CAST(processing_minutes AS DECIMAL(12,2))) AS DOUBLE)", "minutes")},
-  {iso("min(tm)")} AS first_at, {iso("max(tm)")} AS last_at FROM ev GROUP BY 1, 2, 3""",
+        "order_process": f"WITH {ORDERS} {CASES_SELECT} FROM cs",
+        "order_activities": f"""WITH {ORDERS} SELECT activity, resource_role, source_system,
+  business_unit, count(*) AS event_count,
+  {r("CAST(sum(CAST(amount_usd AS DECIMAL(14,2))) AS DOUBLE)", "amount_usd")},
+  {iso("min(tm)")} AS first_at, {iso("max(tm)")} AS last_at FROM ev GROUP BY 1, 2, 3, 4""",
         # measures
         "measures_by_slicer": "WITH " + enriched + " " + measure_select(
             "en", slicers,
@@ -861,9 +953,27 @@ SELECT {iso("min(ts)")} AS condition_start,
         "alert_hold_volume": hold_sql("events_loaded", 100000, 10),
         "alert_hold_adherence": hold_sql("sla_adherence", 0.7, 30),
         "duration_p95": duration_sql(),
-        "latest_gauges": f"""WITH {RUNS}, l AS (SELECT max(ts) AS ts,
-  arg_max(events_loaded, ts) AS events_loaded, arg_max(cases_loaded, ts) AS cases_loaded,
-  arg_max(sla_adherence, ts) AS a FROM rn)
+        "alert_hold_by_instance": hold_sql("sla_adherence", 0.7, 30, "instance"),
+        "alert_low_sessions": f"""WITH {RUNS}, l AS (SELECT *, lag(ts) OVER (PARTITION BY instance
+  ORDER BY ts) AS prev FROM rn WHERE sla_adherence < 0.7),
+g AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 1800 SECOND THEN 1 ELSE 0 END)
+  OVER (PARTITION BY instance ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island FROM l)
+SELECT instance, {iso("min(ts)")} AS low_from, {iso("max(ts)")} AS low_to, count(*) AS samples,
+  {r("min(sla_adherence)", "lowest")} FROM g GROUP BY instance, island
+HAVING epoch_us(max(ts)) // 1000000 - epoch_us(min(ts)) // 1000000 >= 1800""",
+        "counter_increase": f"""WITH {increase_sql()}
+SELECT instance, {iso("window_end")} AS window_end, CAST(increase AS BIGINT) AS increase FROM inc""",
+        "counter_alerts": f"""WITH {increase_sql()}, p AS (SELECT *, lag(window_end) OVER (
+  PARTITION BY instance ORDER BY window_end) AS prev FROM inc),
+g AS (SELECT *, sum(CASE WHEN prev = window_end - INTERVAL 1 MINUTE THEN 0 ELSE 1 END) OVER (
+  PARTITION BY instance ORDER BY window_end ROWS UNBOUNDED PRECEDING) AS island FROM p)
+SELECT instance, {iso("min(window_end)")} AS condition_start,
+  {iso("max(window_end)")} AS condition_end, CAST(max(increase) AS BIGINT) AS highest,
+  {iso("min(window_end) + INTERVAL 2 MINUTE")} AS fired_at FROM g GROUP BY instance, island
+HAVING min(window_end) + INTERVAL 2 MINUTE <= max(window_end)""",
+        "counter_p95": counter_quantile_sql(),
+        "latest_gauges": f"""WITH {RUNS}, l AS (SELECT ts, events_loaded, cases_loaded,
+  sla_adherence AS a FROM rn ORDER BY ts DESC, run_id DESC LIMIT 1)
 SELECT {iso("ts")} AS ts, events_loaded, cases_loaded, {r("a", "sla_adherence")},
   CASE WHEN a < 0.7 THEN 'red' WHEN a < 0.85 THEN 'orange' ELSE 'green' END AS adherence_band
 FROM l""",
@@ -873,8 +983,8 @@ FROM l""",
             r(f"c.{m}", m), r(f"p.{m}", f"approved_{m}"), r(f"c.{m} - p.{m}", f"{m}_change"))
     )
     recent = SCORED.replace("SELECT *, risk_score >=",
-                            "SELECT *, created_at >= TIMESTAMP '2026-01-01' AS recent, risk_score >=")
-    out["baseline_changes"] = f"""WITH {p2p}, {P2P_FEATURES}, {recent},
+                            "SELECT *, created_at >= TIMESTAMP '2000-01-01' AS recent, risk_score >=")
+    out["baseline_changes"] = f"""WITH {ORDERS}, {ORDER_FEATURES}, {recent},
 {rank_sql("vendor_tier, recent")}
 SELECT vendor_tier, {changes} FROM (SELECT * FROM rk WHERE recent) c
 JOIN (SELECT * FROM rk WHERE NOT recent) p USING (vendor_tier)"""

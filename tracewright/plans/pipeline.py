@@ -88,7 +88,7 @@ def analyze(
     model = prediction.train_sla_model(
         prediction.sla_features(log, cases, decision, approval, rework)
     )
-    outcomes = scenarios.what_if(log, stages)
+    outcomes = scenarios.replicated(scenarios.what_if(log, stages, cases))
     catalog = scenarios.catalog_table(spark)
     compared = durable(scenarios.compare(
         scenarios.mean_outcomes(scenarios.replication_outcomes(outcomes, 24 * 4)), catalog

@@ -1,8 +1,8 @@
 """Query registry: every operator on the given tables, as ``name -> (spark, sf_dir) -> rows``.
 
 The click log stands for a process with many variants (cases per user and day, or week), the
-order lines for an unchecked log with real defects, and the synthetic purchase-to-pay log,
-one case per order, for the process the constants describe.
+order lines for an unchecked log with real defects, and orders with their lines, customers and
+suppliers for a process with amounts, partners, targets and outcomes.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tracewright.functions.columns import iso_time, share
 from tracewright.log import ProcessLog
-from tracewright.model import IDEAL_PROCESS
+from tracewright.model import SCHEMA_CONSTRAINTS
 from tracewright.operators import (
     conformance,
     contracts,
@@ -29,7 +29,7 @@ from tracewright.operators import (
 )
 from tracewright.plans.pipeline import Analysis, analyze
 from tracewright.plans.views import register_views
-from tracewright.sources import adapters, synthetic
+from tracewright.sources import adapters, files
 from tracewright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,10 +42,17 @@ CLICK_STAGES = scenarios.StageMap(
     lead_time_activities=("signup",),
     rework_activities=("error",),
 )
+ORDER_STAGES = scenarios.StageMap(
+    {"Manager Approval": "Goods Accepted", "Goods Received": "Goods Shipped",
+     "Invoice Matched": "Order Closed"},
+    lead_time_activities=("Goods Shipped",),
+    rework_activities=("Goods Returned",),
+)
 REPLICATIONS = 24
 SCENARIO_GROUPS = REPLICATIONS * len(scenarios.CATALOG)
+ORDER_MODEL = "order_process.bpmn"
 DRIFT_CUT = "2024-01-16"
-RECENT_FROM = "2026-01-01"
+RECENT_FROM = "2000-01-01"
 CLICK_SLICERS = measures.SLICERS
 
 
@@ -73,8 +80,7 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-# What one application works on: the logs with their size facts, the written synthetic log
-# and the model fitted on it.
+# What one application works on: the logs with their size facts, and the model fitted on one.
 _made: dict[tuple[str, str, str], object] = {}
 
 
@@ -113,40 +119,34 @@ class _OrderProcess:
     cases: DataFrame
 
 
-def _synthetic(spark, sf) -> tuple[DataFrame, DataFrame]:
-    # The keys are a few bytes and the log made from them a few kilobytes per case, so
-    # spreading the keys first is what spreads the work.
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = adapters.read(spark, sf, "orders").select("o_orderkey").repartition(
-        spread, "o_orderkey"
-    )
-    cases = synthetic.synthetic_cases(keys, "o_orderkey")
-    return synthetic.synthetic_events(cases), cases
+def _orders(spark, sf) -> _OrderProcess:
+    return _once(spark, sf, "orders", lambda: _OrderProcess(
+        ProcessLog(adapters.order_process_events(spark, sf), adapters.ORDER_SORT),
+        adapters.order_process_cases(spark, sf)))
 
 
-def _p2p(spark, sf) -> _OrderProcess:
-    def build():
-        events, attributes = _synthetic(spark, sf)
-        events = durable(events)
-        return _OrderProcess(
-            ProcessLog(events), durable(synthetic.case_master(events, attributes))
-        )
-
-    return _once(spark, sf, "p2p", build)
+def _order_features(spark, sf) -> DataFrame:
+    process = _orders(spark, sf)
+    return prediction.sla_features(
+        process.log, process.cases, adapters.ORDER_DECISION, adapters.ORDER_APPROVAL,
+        adapters.ORDER_REWORK)
 
 
 def _model(spark, sf) -> prediction.SlaModel:
     def build():
-        process = _p2p(spark, sf)
-        return prediction.train_sla_model(prediction.sla_features(process.log, process.cases))
+        return prediction.train_sla_model(_order_features(spark, sf))
 
     return _once(spark, sf, "model", build)
 
 
 def _analysis(spark, sf) -> Analysis:
     def build():
-        process = _p2p(spark, sf)
-        return analyze(process.log, process.cases)
+        process = _orders(spark, sf)
+        return analyze(
+            process.log, process.cases, adapters.ORDER_IDEAL, ORDER_STAGES,
+            adapters.ORDER_DECISION, adapters.ORDER_APPROVAL, adapters.ORDER_REWORK,
+            {"process": "Orders"},
+        )
 
     return _once(spark, sf, "analysis", build)
 
@@ -206,6 +206,17 @@ def dq_count_reconcile(spark, sf):
     )
 
 
+@query
+def dq_constraints(spark, sf):
+    """The schema's constraints on what the order tables have of its columns, and two more keys."""
+    tables = {"process_cases": adapters.order_cases(spark, sf),
+              "process_events": adapters.line_events(spark, sf)}
+    rules = [c for c in SCHEMA_CONSTRAINTS if set(c[2]) <= set(tables[c[0]].columns)]
+    rules += [("process_cases", "foreign key", ("case_id",), "process_events(case_id)"),
+              ("process_events", "unique", ("case_id", "part"), None)]
+    return contracts.constraint_violations(tables, contracts.constraint_table(spark, rules))
+
+
 @query
 def dq_domain(spark, sf):
     return contracts.domain_violations(adapters.order_cases(spark, sf))
@@ -267,14 +278,17 @@ def variants_conversations(spark, sf):
 
 @query
 def variants_orders(spark, sf):
-    return discovery.variants(_p2p(spark, sf).log)
+    return discovery.variants(_orders(spark, sf).log)
 
 
 @query
 def case_sequences(spark, sf):
-    return discovery.case_sequences(_day(spark, sf)).select(
-        "case_id", F.array_join("steps", " > ").alias("steps")
-    )
+    return discovery.case_sequences(_day(spark, sf))
+
+
+@query
+def variant_steps(spark, sf):
+    return discovery.variant_steps(_day(spark, sf))
 
 
 @query
@@ -284,7 +298,7 @@ def dfg(spark, sf):
 
 @query
 def dfg_orders(spark, sf):
-    return discovery.directly_follows(_p2p(spark, sf).log)
+    return discovery.directly_follows(_orders(spark, sf).log)
 
 
 @query
@@ -319,13 +333,16 @@ def log_format(spark, sf):
 
 @query
 def footprint(spark, sf):
-    return discovery.footprint(discovery.edge_counts(_p2p(spark, sf).log))
+    return discovery.footprint(discovery.edge_counts(_orders(spark, sf).log))
 
 
 @query
 def model_edge_check(spark, sf):
-    edges = discovery.edge_counts(_p2p(spark, sf).log)
-    return discovery.model_edge_check(edges, discovery.path_edges(spark, IDEAL_PROCESS))
+    """Observed edges against those of the order model, a BPMN file with chained gateways."""
+    path = files.packaged_model(spark, ORDER_MODEL)
+    model = files.bpmn_task_edges(
+        files.scan_bpmn_nodes(spark, path), files.scan_bpmn_flows(spark, path))
+    return discovery.model_edge_check(discovery.edge_counts(_orders(spark, sf).log), model)
 
 
 @query
@@ -352,8 +369,8 @@ def deviations(spark, sf):
 
 @query
 def deviations_orders(spark, sf):
-    log = _p2p(spark, sf).log
-    return conformance.deviation_summary(conformance.conformance_arrays(log, IDEAL_PROCESS))
+    log = _orders(spark, sf).log
+    return conformance.deviation_summary(conformance.conformance_arrays(log, adapters.ORDER_IDEAL))
 
 
 @query
@@ -371,6 +388,15 @@ def reordered_cases(spark, sf):
     return conformance.reordered_cases(_day_conformance(spark, sf))
 
 
+@query
+def trace_distances(spark, sf):
+    """Each day of a user against the day before."""
+    traces = discovery.trace_arrays(_day(spark, sf), whole=True)
+    user, day = (F.split_part("case_id", F.lit("|"), F.lit(i)) for i in (1, 2))
+    return conformance.trace_distances(
+        traces.withColumns({"user": user, "day": day}), ["user"], ["day"])
+
+
 # --- performance --------------------------------------------------------------------------
 
 
@@ -386,7 +412,7 @@ def bottlenecks(spark, sf):
 
 @query
 def bottlenecks_orders(spark, sf):
-    return performance.bottlenecks(_p2p(spark, sf).log)
+    return performance.bottlenecks(_orders(spark, sf).log)
 
 
 @query
@@ -411,7 +437,7 @@ def sla_consumption(spark, sf):
 
 @query
 def sla_monthly(spark, sf):
-    return performance.sla_monthly(_p2p(spark, sf).cases)
+    return performance.sla_monthly(_orders(spark, sf).cases)
 
 
 def _sql(spark, sf, text) -> DataFrame:
@@ -480,10 +506,10 @@ def kpis(spark, sf):
 
 @query
 def kpis_orders(spark, sf):
-    process = _p2p(spark, sf)
+    process = _orders(spark, sf)
     return performance.kpis(
         process.log.events, process.cases,
-        conformance.conformance_arrays(process.log, IDEAL_PROCESS),
+        conformance.conformance_arrays(process.log, adapters.ORDER_IDEAL),
         performance.case_performance(process.log.events),
     )
 
@@ -491,11 +517,9 @@ def kpis_orders(spark, sf):
 @query
 def case_explorer(spark, sf):
     log = _week(spark, sf)
-    labels = discovery.case_sequences(log).select(
-        "case_id", F.array_join("steps", " > ").alias("variant")
-    )
     return performance.case_explorer(
-        _cases(spark, sf), conformance.conformance_arrays(log, adapters.CLICK_IDEAL), labels
+        _cases(spark, sf), conformance.conformance_arrays(log, adapters.CLICK_IDEAL),
+        discovery.case_variants(log),
     )
 
 
@@ -521,11 +545,7 @@ def breach_transitions(spark, sf):
 
 @query
 def sla_features(spark, sf):
-    process = _p2p(spark, sf)
-    return prediction.sla_features(process.log, process.cases).drop(
-        "variant_ground_truth", "department", "country", "vendor_id", "material_category",
-        "channel",
-    )
+    return _order_features(spark, sf)
 
 
 @query
@@ -542,17 +562,16 @@ def sla_features_clicks(spark, sf):
 
 @query
 def temporal_split(spark, sf):
-    cases = _p2p(spark, sf).cases.select("case_id", "created_at")
+    cases = _orders(spark, sf).cases.select("case_id", "created_at")
     return prediction.temporal_split(cases)
 
 
 def _baseline_scores(spark, sf) -> DataFrame:
     """The score a planner has without a model: share of the SLA target used at the cut."""
-    process = _p2p(spark, sf)
-    features = prediction.sla_features(process.log, process.cases)
+    features = _order_features(spark, sf)
     used = share(F.col("elapsed_to_po_hours"), F.col("sla_target_hours"))
-    # Two decimals, so that scores tie as they do for a coarse rule.
-    score = F.least(F.lit(1.0), F.round(used * 2, 2))
+    # Two decimals, so that scores tie as they do for a coarse rule; lines may ship before the order.
+    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.round(used, 2)))
     return features.withColumn("risk_score", score).withColumn(
         "predicted_breach", F.col("risk_score") >= prediction.SCORE_THRESHOLD
     )
@@ -597,6 +616,37 @@ def baseline_bands(spark, sf):
     return prediction.risk_distribution(scored)
 
 
+def _rule_scored(spark, sf) -> DataFrame:
+    return prediction.scored_output(_baseline_scores(spark, sf))
+
+
+@query
+def rule_scores(spark, sf):
+    return _rule_scored(spark, sf)
+
+
+@query
+def rule_queue(spark, sf):
+    return prediction.review_queue(_rule_scored(spark, sf))
+
+
+@query
+def rule_subgroups(spark, sf):
+    scored = durable(_rule_scored(spark, sf))
+    return prediction.subgroup_metrics(scored, ("priority", "vendor_tier", "business_unit"))
+
+
+@query
+def rule_measures(spark, sf):
+    return measures.risk_measures(_rule_scored(spark, sf), ["business_unit"])
+
+
+@query
+def rule_transitions(spark, sf):
+    chosen = _rule_scored(spark, sf).where("risk_band in ('High', 'Critical')")
+    return performance.dominant_transitions(_orders(spark, sf).log, chosen)
+
+
 @query
 def sla_metrics(spark, sf):
     return _model(spark, sf).metrics.select("*", "confusion_matrix.*").drop("confusion_matrix")
@@ -632,18 +682,23 @@ def subgroup_errors(spark, sf):
 @query
 def high_risk_transitions(spark, sf):
     chosen = _model(spark, sf).scored.where("risk_band in ('High', 'Critical')")
-    return performance.dominant_transitions(_p2p(spark, sf).log, chosen)
+    return performance.dominant_transitions(_orders(spark, sf).log, chosen)
 
 
-# --- scenarios and the synthetic log ------------------------------------------------------
+# --- scenarios and the order process ------------------------------------------------------
 
 
 def _outcomes(spark, sf) -> DataFrame:
-    return scenarios.what_if(_week(spark, sf), CLICK_STAGES, REPLICATIONS)
+    return scenarios.what_if(_week(spark, sf), CLICK_STAGES, _cases(spark, sf))
+
+
+def _replicated(spark, sf) -> DataFrame:
+    # Read by both passes of the quantiles and by the other metrics.
+    return scenarios.replicated(durable(_outcomes(spark, sf)), REPLICATIONS)
 
 
 def _compared(spark, sf) -> DataFrame:
-    per_replication = scenarios.replication_outcomes(_outcomes(spark, sf), SCENARIO_GROUPS)
+    per_replication = scenarios.replication_outcomes(_replicated(spark, sf), SCENARIO_GROUPS)
     return scenarios.compare(
         scenarios.mean_outcomes(per_replication), scenarios.catalog_table(spark)
     )
@@ -656,7 +711,7 @@ def whatif_observed(spark, sf):
 
 @query
 def scenario_outcomes(spark, sf):
-    return scenarios.replication_outcomes(_outcomes(spark, sf), SCENARIO_GROUPS)
+    return scenarios.replication_outcomes(_replicated(spark, sf), SCENARIO_GROUPS)
 
 
 @query
@@ -675,17 +730,16 @@ def scenario_measures(spark, sf):
 
 
 @query
-def synthetic_log(spark, sf):
-    process = _p2p(spark, sf)
-    return process.cases
+def order_process(spark, sf):
+    return _orders(spark, sf).cases
 
 
 @query
-def synthetic_activities(spark, sf):
-    events, _ = _synthetic(spark, sf)
-    return events.groupBy("activity", "resource_id", "source_system").agg(
+def order_activities(spark, sf):
+    events = adapters.order_process_events(spark, sf)
+    return events.groupBy("activity", "resource_role", "source_system", "business_unit").agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.sum(F.col("processing_minutes").cast("decimal(12,2)")).cast("double").alias("minutes"),
+        F.sum(F.col("amount_usd").cast("decimal(14,2)")).cast("double").alias("amount_usd"),
         F.min("timestamp").alias("first_at"),
         F.max("timestamp").alias("last_at"),
     )
@@ -757,6 +811,39 @@ def latest_gauges(spark, sf):
     return monitoring.latest_gauges(adapters.run_log(spark, sf))
 
 
+@query
+def alert_hold_by_instance(spark, sf):
+    return monitoring.hold_alerts(
+        adapters.run_log(spark, sf), "sla_adherence", 0.70, 30, by=["instance"])
+
+
+@query
+def alert_low_sessions(spark, sf):
+    """Low samples less than the instance's usual distance apart, as sessions."""
+    return monitoring.low_sessions(
+        adapters.run_log(spark, sf), "sla_adherence", 0.70, 30, gap_seconds=1800)
+
+
+def _counters(spark, sf) -> DataFrame:
+    return adapters.counter_samples(spark, sf, monitoring.DURATION_BUCKETS)
+
+
+@query
+def counter_increase(spark, sf):
+    return monitoring.counter_increase(_counters(spark, sf), "failures")
+
+
+@query
+def counter_alerts(spark, sf):
+    return monitoring.increase_alerts(
+        monitoring.counter_increase(_counters(spark, sf), "failures"))
+
+
+@query
+def counter_p95(spark, sf):
+    return monitoring.counter_quantile(_counters(spark, sf), "durations")
+
+
 # --- report -------------------------------------------------------------------------------
 
 

@@ -1 +1 @@
-"""Scans, input adapters, the synthetic log and sinks."""
+"""Scans, input adapters and sinks."""

@@ -6,7 +6,9 @@ pruning reach the Parquet scan, and no adapter needs a window of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.columns import elapsed_us, hours, literal_map
@@ -155,6 +157,122 @@ def order_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The order process: an order is placed, its lines ship, are accepted or come back, and a settled
+# order is closed. Dates, amounts, statuses, customers and suppliers are those of the tables.
+ORDER_IDEAL = ("Order Placed", "Goods Shipped", "Goods Accepted", "Order Closed")
+ORDER_DECISION, ORDER_APPROVAL, ORDER_REWORK = "Goods Shipped", "Goods Accepted", "Goods Returned"
+LINE_ACTIVITIES = {"N": "Goods Shipped", "A": "Goods Accepted", "R": "Goods Returned"}
+ORDER_URGENCY = {"1-URGENT": "Urgent", "2-HIGH": "Strategic"}
+# SLA target hours of orders: near the median cycle, so both outcomes occur.
+ORDER_TARGETS = {"Urgent": 18_000.0, "Standard": 23_400.0, "Strategic": 30_000.0}
+# Least balance of a supplier of tier A and B, and of a customer who pays ahead.
+TIER_BALANCE = {"A": 6_000.0, "B": 3_000.0}
+AHEAD_BALANCE = 5_000.0
+# Events of a case in time; at one moment lines go by number, and the closing event comes last.
+ORDER_SORT = ("timestamp", "event_index", "activity")
+CLOSING_INDEX = 1_000_000
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with segment, nation and region; the small dimensions are joined first."""
+    regions = read(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("business_unit"))
+    nations = read(spark, sf_dir, "nation").join(regions, "n_regionkey", "left").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"),
+        "business_unit")
+    return read(spark, sf_dir, "customer").join(nations, "c_nationkey", "left").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("department"),
+        "country", "business_unit",
+        F.when(F.col("c_acctbal") >= AHEAD_BALANCE, "Prepaid").otherwise("Account")
+        .alias("channel"))
+
+
+def _placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urgency = F.try_element_at(literal_map(ORDER_URGENCY), F.col("o_orderpriority"))
+    return read(spark, sf_dir, "orders").join(_customers(spark, sf_dir), "o_custkey", "left").select(
+        F.col("o_orderkey").cast("string").alias("case_id"), "o_custkey", "o_orderstatus",
+        F.col("o_orderdate").cast("timestamp").alias("placed_at"),
+        F.col("o_totalprice").alias("amount_usd"),
+        F.coalesce(urgency, F.lit("Standard")).alias("priority"),
+        "business_unit", "department", "country", "channel")
+
+
+def _lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("case_id"),
+        F.col("l_shipdate").cast("timestamp").alias("shipped_at"), *columns)
+
+
+def order_process_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order log: placing and closing from ``orders``, one event per line from ``lineitem``.
+
+    Lines meet their order in one join by case; the closing event stands at the last date
+    of the order.
+    """
+    orders = _placed_orders(spark, sf_dir)
+    lines = _lines(spark, sf_dir, "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus",
+                   "l_extendedprice", "l_quantity")
+    last = lines.groupBy("case_id").agg(F.max("shipped_at").alias("last_at"))
+    shared = ("case_id", "business_unit", "department", "country", "priority", "channel")
+
+    def events(frame, index, activity, at, resource, role, vendor, amount, automated, minutes, system):
+        return frame.select(
+            *shared, index.cast("long").alias("event_index"), activity.alias("activity"),
+            at.alias("timestamp"), resource.alias("resource_id"),
+            F.lit(role).alias("resource_role"), vendor.alias("vendor_id"),
+            amount.alias("amount_usd"), automated.alias("automated"),
+            minutes.cast("double").alias("processing_minutes"), system.alias("source_system"))
+
+    none = F.lit(None).cast("string")
+    placed = events(
+        orders, F.lit(0), F.lit("Order Placed"), F.col("placed_at"),
+        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")), "Customer", none,
+        F.col("amount_usd"), F.lit(False), F.lit(0), F.lit("Order Desk"))
+    closed = events(
+        orders.where("o_orderstatus = 'F'").join(last, "case_id", "left"),
+        F.lit(CLOSING_INDEX), F.lit("Order Closed"), F.greatest("placed_at", "last_at"),
+        F.lit("DESK"), "Desk", none, F.col("amount_usd"), F.lit(True), F.lit(0), F.lit("Ledger"))
+    supplier = F.col("l_suppkey").cast("string")
+    shipped = events(
+        lines.join(orders.drop("amount_usd"), "case_id"), F.col("l_linenumber"),
+        F.element_at(literal_map(LINE_ACTIVITIES), F.col("l_returnflag")), F.col("shipped_at"),
+        F.concat(F.lit("S-"), supplier), "Supplier", F.concat(F.lit("V-"), supplier),
+        F.col("l_extendedprice"), F.col("l_linestatus") == "F", F.col("l_quantity"),
+        F.when(F.col("l_linestatus") == "F", "Settled Lines").otherwise("Open Lines"))
+    return placed.unionByName(shipped).unionByName(closed)
+
+
+def order_process_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Case master of the order log; supplier and part are those of the dearest line."""
+    lines = _lines(spark, sf_dir, "l_suppkey", "l_partkey", "l_returnflag", "l_extendedprice")
+    per_order = lines.groupBy("case_id").agg(
+        F.max("shipped_at").alias("last_at"), F.count(F.lit(1)).alias("lines"),
+        F.count_distinct("l_returnflag").alias("kinds"),
+        F.max(F.struct("l_extendedprice", "l_suppkey", "l_partkey")).alias("dearest"))
+    balance = F.col("s_acctbal")
+    tier = F.when(balance >= TIER_BALANCE["A"], "A").when(
+        balance >= TIER_BALANCE["B"], "B").otherwise("C")
+    suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", tier.alias("vendor_tier"))
+    parts = read(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_type").alias("material_category"))
+    closing = (F.col("o_orderstatus") == "F").cast("int")
+    lines_or_0 = F.coalesce("lines", F.lit(0))
+    completed = F.greatest("placed_at", "last_at")
+    cycle = hours(elapsed_us(F.col("placed_at"), completed))
+    target = F.element_at(literal_map(ORDER_TARGETS), F.col("priority"))
+    joined = _placed_orders(spark, sf_dir).join(per_order, "case_id", "left")
+    joined = joined.withColumns({
+        "s_suppkey": F.col("dearest.l_suppkey"), "p_partkey": F.col("dearest.l_partkey")})
+    return joined.join(suppliers, "s_suppkey", "left").join(parts, "p_partkey", "left").withColumns({
+        "created_at": F.col("placed_at"), "completed_at": completed,
+        "vendor_id": F.concat(F.lit("V-"), F.col("s_suppkey").cast("string")),
+        "variant_ground_truth": F.col("o_orderstatus"),
+        "event_count": (1 + lines_or_0 + closing).cast("int"),
+        "rework_count": (lines_or_0 - F.coalesce("kinds", F.lit(0))).cast("int"),
+        "cycle_time_hours": cycle, "sla_target_hours": target, "sla_breached": cycle > target,
+    }).select(*CASE_COLUMNS)
+
+
 def chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as traces of speaker roles; turns are one second apart."""
     return read(spark, sf_dir, "conversations").select(
@@ -176,4 +294,19 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("cases_loaded"),
         F.least(F.lit(1.0), F.col("value") / 60).alias("sla_adherence"),
         F.col("event_id").alias("run_id"),
+        F.concat(F.lit("worker-"), (F.col("user_id") % 4).cast("string")).alias("instance"),
+    )
+
+
+def counter_samples(spark: SparkSession, sf_dir: str, buckets: Sequence[float]) -> DataFrame:
+    """What the runs of ``run_log`` look like to a scraper: cumulative counters of each instance,
+    which restarts every day. ``durations`` are the runs up to each bucket bound, then all runs."""
+    runs = run_log(spark, sf_dir)
+    life = Window.partitionBy("instance", F.date_trunc("day", F.col("ts"))).orderBy("ts", "run_id")
+    seconds = F.col("duration_seconds")
+    upto = [F.count_if(seconds <= F.lit(float(b))).over(life) for b in buckets]
+    return runs.select(
+        "instance", "ts", "run_id",
+        F.count_if(F.col("status") == "failure").over(life).alias("failures"),
+        F.array(*upto, F.count(F.lit(1)).over(life)).alias("durations"),
     )

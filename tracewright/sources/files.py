@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
+from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewright.model import IDEAL_PROCESS_SCHEMA, RESOURCE_SCHEMA
+from tracewright.session import durable, shared_folder
 
 
 def _raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -50,6 +53,12 @@ BPMN_TASK_TYPES = (
     "businessRuleTask", "manualTask", "receiveTask", "scriptTask", "sendTask",
     "serviceTask", "task", "userTask",
 )
+# BPMN element types that route or mark, without work of their own.
+BPMN_SILENT_TYPES = (
+    "complexGateway", "eventBasedGateway", "exclusiveGateway", "inclusiveGateway",
+    "parallelGateway", "boundaryEvent", "endEvent", "intermediateCatchEvent",
+    "intermediateThrowEvent", "startEvent",
+)
 _NODE = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_name", T.StringType())])
 _FLOW = T.StructType([
     T.StructField("_id", T.StringType()),
@@ -66,8 +75,8 @@ def _bpmn_rows(spark: SparkSession, path: str, tag: str, schema: T.StructType, p
 
 
 def scan_bpmn_nodes(spark: SparkSession, path: str, prefix: str = "bpmn:") -> DataFrame:
-    """Tasks, gateways and start/end events: ``node_id, name, node_type, is_task``."""
-    tags = (*BPMN_TASK_TYPES, "exclusiveGateway", "startEvent", "endEvent")
+    """Tasks, gateways and events: ``node_id, name, node_type, is_task``."""
+    tags = (*BPMN_TASK_TYPES, *BPMN_SILENT_TYPES)
     parts = [
         _bpmn_rows(spark, path, tag, _NODE, prefix).select(
             F.col("_id").alias("node_id"),
@@ -89,25 +98,37 @@ def scan_bpmn_flows(spark: SparkSession, path: str, prefix: str = "bpmn:") -> Da
 
 
 def bpmn_task_edges(nodes: DataFrame, flows: DataFrame) -> DataFrame:
-    """Task-to-task edges of the model; a flow through a gateway links the tasks around it.
+    """Task-to-task edges of the model: one task leads to another where flows connect them with
+    nothing but gateways and events in between, through any number of them and around any cycle.
 
-    One gateway between two tasks is resolved, as in the reference model.
+    A fixpoint over (task, node) pairs: each round follows the flows out of the silent nodes
+    that the last round reached for the first time, so a cycle ends it, and the rounds are as
+    many as the longest way between two tasks. Any node that is no task is silent.
     """
     tasks = nodes.where("is_task").select("node_id", "name")
-    gateways = nodes.where("node_type = 'exclusiveGateway'").select("node_id")
-    into = flows.join(gateways, flows.target_id == gateways.node_id).select(
-        "source_id", F.col("target_id").alias("gate")
-    )
-    through = into.join(
-        flows.select(F.col("source_id").alias("gate"), "target_id"), "gate"
-    ).select("source_id", "target_id")
-    hops = flows.select("source_id", "target_id").unionByName(through)
     source = tasks.select(F.col("node_id").alias("source_id"), F.col("name").alias("source"))
     target = tasks.select(F.col("node_id").alias("target_id"), F.col("name").alias("target"))
-    edges = hops.join(source, "source_id").join(target, "target_id")
+    steps = durable(flows.select("source_id", "target_id").distinct())
+    onward = steps.join(source, "source_id", "left_anti").select(
+        F.col("source_id").alias("target_id"), F.col("target_id").alias("next_id"))
+    fresh = reached = durable(steps.join(source.select("source_id"), "source_id", "left_semi"))
+    while not fresh.isEmpty():
+        hops = fresh.join(onward, "target_id").select(
+            "source_id", F.col("next_id").alias("target_id")).distinct()
+        fresh = durable(hops.join(reached, ["source_id", "target_id"], "left_anti"))
+        reached = durable(reached.unionByName(fresh))
+    edges = reached.join(source, "source_id").join(target, "target_id")
     return edges.select("source", "target").distinct()
 
 
+def packaged_model(spark: SparkSession, name: str) -> str:
+    """Path of a model of this package, copied to where all executors can read it."""
+    text = resources.files("tracewright.sources").joinpath(name).read_text(encoding="utf-8")
+    path = f"{shared_folder(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
 def scan_text_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files for the secret scan: ``doc, text``."""
     return spark.read.option("wholetext", True).text(path).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.log import CASE_LIMIT, ProcessLog
+from tracewright.log import ProcessLog
 
 
 def write_tables(tables: dict[str, DataFrame], directory: str, fmt: str = "csv") -> None:
@@ -63,7 +63,7 @@ def _save_by_case(df: DataFrame, table: str, order: tuple[str, ...], buckets: in
 def load_relational(
     events: DataFrame, cases: DataFrame, jdbc: dict[str, str] | None = None,
     cases_table: str = "process_cases", events_table: str = "process_events",
-    buckets: int | None = None, case_limit: int = CASE_LIMIT,
+    buckets: int | None = None, case_limit: int = ProcessLog.case_limit,
 ) -> None:
     """Full refresh of both tables: over JDBC with truncate, else as Spark tables.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.model import RUN_SCHEMA
-from tracewright.operators.monitoring import runs_by_window
+from tracewright.operators.monitoring import low_sessions, runs_by_window
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -28,6 +28,15 @@ def failure_rate_stream(
     return runs_by_window(failures, size, slide)
 
 
+def hold_alerts_stream(
+    samples: DataFrame, value: str, threshold: float, hold_minutes: int, gap_seconds=90,
+    by: tuple[str, ...] = ("instance",), late: str = "10 minutes",
+) -> DataFrame:
+    """Hold alerts, each emitted once when the watermark passes the end of its session."""
+    return low_sessions(
+        samples.withWatermark("ts", late), value, threshold, hold_minutes, gap_seconds, by)
+
+
 def write_table(stream: DataFrame, path: str, checkpoint: str):
     """Append finished windows to a Parquet table, exactly once."""
     return (
