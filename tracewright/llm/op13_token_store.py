@@ -24,6 +24,8 @@ from tracewright.session import durable, release, shared_folder
 
 _ODD = 0x9E3779B97F4A7C15
 PLACES = ("part", "chunk", "offset", "start", "n_tokens")
+#: How ids travel until they are sorted.
+PACKING = "zstd"
 KINDS = ("<i4", "<i4", "<i8", "<i8", "<i8")
 
 
@@ -207,15 +209,16 @@ def _encoded(documents: DataFrame, tokenizer: str, key: str, text: str, width: i
             ids, counts = encoder(tokenizer).encode(blobs(batch["_text"]))
             if len(ids) and int(ids.max()) >> (8 * width):
                 raise ValueError(f"ids must fit {width} bytes")
-            raw = ids.astype(kind).tobytes()
+            raw, codec = ids.astype(kind).tobytes(), pa.Codec(PACKING)
             ends = (np.cumsum(counts) * width).tolist()
-            begins = [0, *ends[:-1]]
+            packed = [codec.compress(raw[a:b], asbytes=True) for a, b in
+                      zip([0, *ends], ends, strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [batch["_key"], pa.array([raw[a:b] for a, b in zip(begins, ends, strict=True)], pa.binary())],
-                names=["_key", "ids"])
+                [batch["_key"], pa.array(packed, pa.binary()), pa.array(counts)],
+                names=["_key", "packed", "n"])
 
     return documents.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
-        run, f"_key {key_type}, ids binary")
+        run, f"_key {key_type}, packed binary, n long")
 
 
 def _chunked(ordered: DataFrame, key_type: str, width: int, end_id: int, shard_bytes: int,
@@ -241,11 +244,13 @@ def _chunked(ordered: DataFrame, key_type: str, width: int, end_id: int, shard_b
             ], names=["part", "chunk", "payload", "size", "keys", "copies", "offsets", "lengths"])
 
         kind = None
+        codec = pa.Codec(PACKING)
         for batch in batches:
             kind = batch["_key"].type
-            for part_, key, ids in zip(batch["part"].to_pylist(), batch["_key"].to_pylist(),
-                                       batch["ids"].to_pylist(), strict=True):
+            for part_, key, packed, n in zip(*(batch[x].to_pylist() for x in (
+                    "part", "_key", "packed", "n")), strict=True):
                 part = part_
+                ids = codec.decompress(packed, n * width, asbytes=True) if n else b""
                 if size and (size + len(ids) + width > shard_bytes or len(keys) >= shard_documents):
                     yield shard()
                     chunk, size = chunk + 1, 0
@@ -333,14 +338,14 @@ def write_store(
     spark = documents.sparkSession
     folder = f"{shared_folder(spark).rstrip('/')}/store-{uuid.uuid4().hex}"
     key_type = documents.schema[key].dataType.simpleString()
-    ids = durable(_encoded(documents, tokenizer, key, text, width), "zstd")
-    rows, total = ids.agg(F.count("*"), F.sum(F.octet_length("ids").cast("long") + width)).first()
+    ids = durable(_encoded(documents, tokenizer, key, text, width))
+    rows, total = ids.agg(F.count("*"), F.sum((F.col("n") + 1) * width)).first()
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(total or 0) // range_bytes))
     order: list[Column] = [F.col("_key").asc_nulls_first(), F.col("_hash"), F.col("_row")]
     ordered = (
-        ids.withColumns({"_hash": F.xxhash64("ids"), "_row": F.monotonically_increasing_id()})
+        ids.withColumns({"_hash": F.xxhash64("packed"), "_row": F.monotonically_increasing_id()})
         .repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-        .select(F.spark_partition_id().alias("part"), "_key", "ids"))
+        .select(F.spark_partition_id().alias("part"), "_key", "packed", "n"))
     chunks = durable(_chunked(ordered, key_type, width, end_id, shard_bytes), "zstd")
     release(ids)
     end = "".join(map(chr, np.array([end_id], dtype=f"<u{width}").tobytes()))
