@@ -104,6 +104,12 @@ def test_edit_distance_matches_brute_force(spark):
         ([rng.choice(labels) for _ in range(rng.randrange(8))],
          [rng.choice(labels) for _ in range(rng.randrange(8))]) for _ in range(60)
     ]
+    # Traces of more than one word of bits, on either side, with few and with many labels.
+    for kinds in (2, 400):
+        pairs += [([str(rng.randrange(kinds)) for _ in range(rng.choice([1, 61, 62, 63, 130]))],
+                   [str(rng.randrange(kinds)) for _ in range(rng.choice([1, 61, 62, 63, 124, 187]))])
+                  for _ in range(12)]
+    pairs += [([], ["a"] * 70), (["a"] * 70, []), ([], []),]
     df = spark.createDataFrame(pairs, "l array<string>, r array<string>")
     out = df.select("l", "r", conformance.token_edit_distance(F.col("l"), F.col("r")).alias("d"))
     assert all(row.d == brute_distance(row.l, row.r) for row in out.collect())

@@ -157,3 +157,35 @@ def test_typed_nan_is_not_a_number(spark):
     rows = df.select(_number(df, "typed", "double").alias("a"),
                      _number(df, "text", "double").alias("b")).where(F.col("a").isNull()).collect()
     assert [(r.a, r.b) for r in rows] == [(None, None)]
+
+
+def test_constraint_table(spark):
+    """Each kind of constraint broken a known number of times; nulls as SQL treats them."""
+    parents = spark.createDataFrame(
+        [(1, "x"), (2, "y"), (2, "y"), (None, "z")], "id int, name string")
+    children = spark.createDataFrame(
+        [(1, "a", 5.0), (1, "a", -1.0), (9, "a", None), (9, "b", 0.0), (None, "c", 2.0), (2, None, 3.0),
+         (2, None, 4.0)], "parent int, code string, amount double")
+    declared = [
+        ("parents", "primary key", ("id",), None), ("parents", "not null", ("name",), None),
+        ("children", "foreign key", ("parent",), "parents(id)"),
+        ("children", "unique", ("parent", "code"), None), ("children", "not null", ("code",), None),
+        ("children", "check", ("amount",), "amount >= 0"),
+    ]
+    tables = {"parents": parents, "children": children}
+    found = contracts.constraint_violations(tables, contracts.constraint_table(spark, declared))
+    assert {(r["table"], r["kind"], r["columns"]): r["violations"] for r in rows(found)} == {
+        ("parents", "primary key", "id"): 2,  # one repeat and one null
+        ("parents", "not null", "name"): 0,
+        ("children", "foreign key", "parent"): 2,  # 9 twice; a null refers to nothing
+        ("children", "unique", "parent, code"): 1,  # keys with a null don't collide
+        ("children", "not null", "code"): 2,
+        ("children", "check", "amount"): 1,  # unknown is no violation
+    }
+    empty = {k: v.limit(0) for k, v in tables.items()}
+    found = contracts.constraint_violations(empty, contracts.constraint_table(spark, declared))
+    assert {r["violations"] for r in rows(found)} == {0}
+    with pytest.raises(contracts.ContractError, match="missing"):
+        contracts.constraint_violations(
+            {"parents": parents}, contracts.constraint_table(
+                spark, [("parents", "not null", ("nothing",), None)]))

@@ -51,3 +51,19 @@ def test_prefix_matches_a_sort(spark):
         row = got[place - 1]
         assert (row["rank"], row["k"], row["id"], row["cum_v"]) == (place, k, i, total)
     assert {r["total_v"] for r in got} == {total}
+
+
+def test_selection_by_counting(spark, monkeypatch):
+    """The key at every kind of rank, with most rows on one number and texts that are prefixes."""
+    from tracewright.functions import selection
+
+    rng = random.Random(2)
+    data = [(7, "".join(rng.choices("aäb", k=rng.randrange(6)))) for _ in range(400)]
+    data += [(rng.randrange(-10**12, 10**12), str(i)) for i in range(150)]
+    df = spark.createDataFrame(data, "n long, t string").repartition(3)
+    order = sorted(data, key=lambda r: (r[0], r[1].encode()))
+    for few, cells in ((10_000, 4096), (5, 16)):
+        monkeypatch.setattr(selection, "FEW_ROWS", few)
+        monkeypatch.setattr(selection, "CELLS", cells)
+        for rank in (1, 2, 75, 200, 411, 549, 550):
+            assert selection.select_key(df, "n", "t", rank) == order[rank - 1]

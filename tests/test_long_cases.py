@@ -134,3 +134,26 @@ def test_regressions(monkeypatch, skewed):
     )
     assert as_set(contracts.timestamp_regressions(shuffled)) == expected
     assert sum(expected.values()) > 100
+
+
+# A query for each operator that works on a log.
+ON_LOGS = (
+    "variants", "variant_steps", "case_sequences", "dfg", "activity_summary", "conformance_cases",
+    "bottlenecks", "case_explorer", "case_timeline", "segment_sla", "breach_transitions",
+    "sla_features_clicks", "whatif_observed", "kpis", "trace_distances", "counter_increase",
+    "dq_ts_regression", "variants_orders", "deviations_orders", "sla_features",
+)
+
+
+@pytest.mark.parametrize("name", ON_LOGS)
+def test_queries_do_not_depend_on_the_case_limit(spark, monkeypatch, name):
+    from helpers import SF
+    from tracewright.plans import queries
+
+    monkeypatch.setattr(queries, "_made", {})
+    plain = as_set(queries.registry()[name](spark, SF))
+    order = ProcessLog.__init__.__defaults__[0]
+    monkeypatch.setattr(ProcessLog.__init__, "__defaults__", (order, 3, 200))
+    monkeypatch.setattr(queries, "_made", {})
+    assert as_set(queries.registry()[name](spark, SF)) == plain
+    assert sum(plain.values()) > 0

@@ -9,6 +9,7 @@ from helpers import SF, rows
 from tracewright.log import ProcessLog
 from tracewright.operators import measures, scenarios
 from tracewright.plans.queries import ORDER_STAGES
+from tracewright.session import durable
 from tracewright.sources import adapters
 
 # Published scenario outcomes (cycle, adherence, manual hours) and results
@@ -82,8 +83,12 @@ def test_catalog(spark):
 
 def test_what_if(spark):
     log = ProcessLog(adapters.order_process_events(spark, SF), adapters.ORDER_SORT)
-    outcomes = scenarios.what_if(log, ORDER_STAGES, 4)
+    cases = adapters.order_process_cases(spark, SF)
+    outcomes = durable(scenarios.what_if(log, ORDER_STAGES, cases))
     assert outcomes.count() == 4 * log.facts.cases
+    targets = {r.case_id: r.sla_target_hours for r in cases.collect()}
+    assert all(r.sla_target_hours == targets[r.case_id] for r in outcomes.collect())
+    outcomes = scenarios.replicated(outcomes, 4)
     means = scenarios.mean_outcomes(scenarios.replication_outcomes(outcomes, 16))
     table = {r["scenario"]: r for r in rows(scenarios.compare(means, scenarios.catalog_table(spark)))}
     base, combined = table["Baseline"], table["Combined Optimization"]
@@ -93,6 +98,40 @@ def test_what_if(spark):
     assert combined["estimated_annual_value_usd"] > 0
 
 
+def test_replications_draw_from_all_cases(spark):
+    """Weights of mean one, the same for all scenarios of a case, and metrics that count them."""
+    outcomes = spark.range(0, 2000, 1, 4).select(
+        F.col("id").cast("string").alias("case_id"), (F.col("id") * 1_000_000).alias("arrival_us"),
+        F.lit(10.0).alias("sla_target_hours"), F.explode(F.array(F.lit(0), F.lit(1))).alias("catalog_index"),
+        ((F.col("id") % 20) * 3_600_000_000).alias("cycle_us"), F.lit(60_000_000).alias("manual_us"),
+    ).withColumn("scenario", F.concat(F.lit("s"), F.col("catalog_index").cast("string")))
+    drawn = scenarios.replicated(outcomes, 7).collect()
+    per = {}
+    for r in drawn:
+        per.setdefault((r.catalog_index, r.replication), {})[r.case_id] = (r.weight, r.cycle_us)
+    assert len(per) == 14
+    for (scenario, k), weights in per.items():
+        assert weights == per[1 - scenario, k]
+        assert 1800 < sum(w for w, _ in weights.values()) < 2200
+        assert 1150 < len(weights) < 1380  # 1 - 1/e of the cases are in it
+    table = {(r.catalog_index, r.replication): r for r in
+             scenarios.replication_outcomes(scenarios.replicated(outcomes, 7)).collect()}
+    for key, weights in per.items():
+        cycles = sorted(c / 3.6e9 for w, c in weights.values() for _ in range(w))
+        row = table[key]
+        assert row.cases == len(cycles)
+        assert row.mean_cycle_hours == pytest.approx(sum(cycles) / len(cycles))
+        assert row.sla_adherence == pytest.approx(1 - sum(c > 10 for c in cycles) / len(cycles))
+        place = (len(cycles) - 1) * 0.9
+        low, high = cycles[int(place)], cycles[min(int(place) + 1, len(cycles) - 1)]
+        assert row.p90_cycle_hours == pytest.approx(low + (high - low) * (place - int(place)))
+
+
+def test_poisson_weights():
+    share = [b - a for a, b in zip((0.0, *scenarios.POISSON_LIMITS), scenarios.POISSON_LIMITS, strict=False)]
+    assert sum(k * p for k, p in enumerate(share)) == pytest.approx(1, abs=1e-5)
+
+
 def test_guards():
     for arguments in ((1, 120), (2, 99), (2, 120, 0)):
         with pytest.raises(ValueError):

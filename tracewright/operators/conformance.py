@@ -244,6 +244,18 @@ WORD_BITS = 62
 _ALL = (1 << WORD_BITS) - 1
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _either(*words: Column) -> Column:
+    out = words[0]
+    for word in words[1:]:
+        out = out.bitwiseOR(word)
+    return out
+
+
 def token_edit_distance(left: Column, right: Column) -> Column:
     """Edit distance between two array columns of any labels and lengths, bit-parallel.
 
@@ -252,74 +264,80 @@ def token_edit_distance(left: Column, right: Column) -> Column:
     ``left`` advances all words by a few operations; what one word carries over goes into the next. So
     the work is ``len(left) * len(right) / 62`` word steps, and no label needs a code point.
     """
+    one, zero, full = (F.lit(x).cast("bigint") for x in (1, 0, _ALL))
+    empty = F.array().cast("array<bigint>")
     size = F.size(right)
     words = F.ceil(size / WORD_BITS).cast("int")
     numbers = F.sequence(F.lit(0), words - 1)
-    one, zero, full = (F.lit(x).cast("bigint") for x in (1, 0, _ALL))
-
-    def bit(place):  # place counts from 0
-        return F.call_function("shiftleft", one, place % WORD_BITS)
+    high = F.call_function("shiftleft", one, F.lit(WORD_BITS - 1))
+    # The last bit of the last word is the last row of the table: there the distance changes.
+    last = F.call_function("shiftleft", one, (size - 1) % WORD_BITS)
 
-    def mask(label):
-        places = F.transform(right, lambda a, i: F.when(a == label, i))
-        own = F.filter(places, lambda i: i.isNotNull())
-        return F.transform(numbers, lambda w: F.aggregate(
-            F.filter(own, lambda i: F.floor(i / WORD_BITS) == w), zero,
-            lambda acc, i: acc.bitwiseOR(bit(i))))
+    def mask(label, w):
+        steps = F.slice(right, w * WORD_BITS + 1, F.lit(WORD_BITS))
+        bits = F.transform(steps, lambda a, i: F.when(
+            a.eqNullSafe(label), F.call_function("shiftleft", one, i)).otherwise(zero))
+        return F.aggregate(bits, zero, lambda x, y: x.bitwiseOR(y))
 
-    masks = F.map_from_entries(F.transform(
-        F.array_distinct(right), lambda a: F.struct(a.alias("key"), mask(a).alias("value"))))
+    kinds = F.array_distinct(right)
+    masks = F.transform(kinds, lambda a: F.transform(numbers, lambda w: mask(a, w)))
     nothing = F.transform(numbers, lambda w: zero)
-    # The last bit of the last word is the last row of the table: there the distance changes.
-    last = bit(size - 1)
-
-    def inverse(x):
-        return full.bitwiseXOR(x)
-
-    def advance(state, found, w):
-        """One word of one column: ``carry`` is the horizontal difference that comes in from below."""
-        up, down = F.get(state["up"], w), F.get(state["down"], w)
-        carry, own = state["carry"], F.get(found, w)
-        vertical = own.bitwiseOR(down)
-        match = own.bitwiseOR(F.when(carry < 0, one).otherwise(zero))
-        spread = (match.bitwiseAND(up) + up).bitwiseAND(full).bitwiseXOR(up).bitwiseOR(match)
-        plus = down.bitwiseOR(inverse(spread.bitwiseOR(up)))
-        minus = up.bitwiseAND(spread)
-        top = F.when(w == words - 1, last).otherwise(bit(F.lit(WORD_BITS - 1)))
-
-        def out(x):
-            return F.when(x.bitwiseAND(top) != 0, 1).otherwise(0)
-
-        def moved(x, sign):
-            low = F.when(carry * sign > 0, one).otherwise(zero)
-            return F.call_function("shiftleft", x, F.lit(1)).bitwiseAND(full).bitwiseOR(low)
-
-        plus_moved, minus_moved = moved(plus, 1), moved(minus, -1)
-        return F.struct(
-            state["up"].alias("up"), state["down"].alias("down"),
-            (out(plus) - out(minus)).cast("int").alias("carry"),
-            F.concat(state["ups"], F.array(
-                minus_moved.bitwiseOR(inverse(vertical.bitwiseOR(plus_moved))))).alias("ups"),
-            F.concat(state["downs"], F.array(plus_moved.bitwiseAND(vertical))).alias("downs"),
-        )
-
-    empty = F.array().cast("array<bigint>")
 
-    def column(state, label):
-        found = F.coalesce(F.try_element_at(masks, label), nothing)
-        start = F.struct(
-            state["up"].alias("up"), state["down"].alias("down"), F.lit(1).alias("carry"),
-            empty.alias("ups"), empty.alias("downs"))
-        done = F.aggregate(numbers, start, lambda acc, w: advance(acc, found, w), lambda acc: F.struct(
-            acc["ups"].alias("up"), acc["downs"].alias("down"), acc["carry"].alias("carry")))
-        return F.struct(
-            done["up"].alias("up"), done["down"].alias("down"),
-            (state["score"] + done["carry"]).alias("score"))
+    def flag(condition):
+        return F.when(condition, one).otherwise(zero)
+
+    def advance(state, w, own):
+        """One word of one column; ``carry`` is the horizontal difference that comes in from below."""
+
+        def carried(v):  # up, down, carry, own, top
+            match = _either(v["own"], flag(v["carry"] < 0))
+            spread = (match.bitwiseAND(v["up"]) + v["up"]).bitwiseAND(full).bitwiseXOR(
+                v["up"]).bitwiseOR(match)
+            return _bound(spread, lambda x: _bound(F.struct(
+                _either(v["down"], full.bitwiseXOR(_either(x, v["up"]))).alias("plus"),
+                v["up"].bitwiseAND(x).alias("minus")), lambda h: moved(v, h)))
+
+        def moved(v, h):
+            def shifted(x, sign):
+                return F.call_function("shiftleft", x, F.lit(1)).bitwiseAND(full).bitwiseOR(
+                    flag(v["carry"] * sign > 0))
+
+            def out(x):
+                return F.when(x.bitwiseAND(v["top"]) != 0, 1).otherwise(0)
+
+            vertical = _either(v["own"], v["down"])
+            return _bound(F.struct(
+                shifted(h["plus"], 1).alias("plus"), shifted(h["minus"], -1).alias("minus"),
+                vertical.alias("vertical"), (out(h["plus"]) - out(h["minus"])).alias("carry"),
+            ), lambda x: F.struct(
+                x["carry"].alias("carry"),
+                F.concat(state["ups"], F.array(_either(x["minus"], full.bitwiseXOR(
+                    _either(x["vertical"], x["plus"]))))).alias("ups"),
+                F.concat(state["downs"], F.array(
+                    x["plus"].bitwiseAND(x["vertical"]))).alias("downs")))
+
+        return lambda up, down: _bound(F.struct(
+            F.get(up, w).alias("up"), F.get(down, w).alias("down"), state["carry"].alias("carry"),
+            own.alias("own"), F.when(w == words - 1, last).otherwise(high).alias("top")), carried)
+
+    def column(state, label, masks):
+        def stepped(found):
+            start = F.struct(F.lit(1).alias("carry"), empty.alias("ups"), empty.alias("downs"))
+            done = F.aggregate(numbers, start, lambda acc, w: advance(
+                acc, w, F.get(found, w))(state["up"], state["down"]))
+            return _bound(done, lambda d: F.struct(
+                d["ups"].alias("up"), d["downs"].alias("down"),
+                (state["score"] + d["carry"]).alias("score")))
+
+        # A label that isn't there is at place 0, before the first.
+        place = F.coalesce(F.array_position(kinds, label), F.lit(0)).cast("int")
+        return _bound(F.coalesce(F.get(masks, place - 1), nothing), stepped)
 
     start = F.struct(
         F.transform(numbers, lambda w: full).alias("up"), nothing.alias("down"), size.alias("score"))
-    return F.when(size == 0, F.size(left)).otherwise(
-        F.aggregate(left, start, column, lambda acc: acc["score"]))
+    distance = _bound(masks, lambda m: F.aggregate(
+        left, start, lambda acc, label: column(acc, label, m), lambda acc: acc["score"]))
+    return F.when(size == 0, F.size(left)).otherwise(distance)
 
 
 def trace_distances(traces: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -163,8 +163,9 @@ ORDER_IDEAL = ("Order Placed", "Goods Shipped", "Goods Accepted", "Order Closed"
 ORDER_DECISION, ORDER_APPROVAL, ORDER_REWORK = "Goods Shipped", "Goods Accepted", "Goods Returned"
 LINE_ACTIVITIES = {"N": "Goods Shipped", "A": "Goods Accepted", "R": "Goods Returned"}
 ORDER_URGENCY = {"1-URGENT": "Urgent", "2-HIGH": "Strategic"}
-# SLA target hours of orders: near the median cycle, so both outcomes occur.
-ORDER_TARGETS = {"Urgent": 18_000.0, "Standard": 23_400.0, "Strategic": 30_000.0}
+# SLA target hours of orders: within the time the last orders have left, so both outcomes occur early
+# and late.
+ORDER_TARGETS = {"Urgent": 3_600.0, "Standard": 7_200.0, "Strategic": 10_800.0}
 # Least balance of a supplier of tier A and B, and of a customer who pays ahead.
 TIER_BALANCE = {"A": 6_000.0, "B": 3_000.0}
 AHEAD_BALANCE = 5_000.0
