@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm import blocks as B
 from tracewright.llm.words import GRAM_STEPS, Words, blobs, find_words, grams, mix, whole_grams
-from tracewright.session import durable
+from tracewright.session import durable, release
 
 #: Sets link when PERCENT * union <= 100 * intersection.
 PERCENT = 80
@@ -210,6 +210,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
         after = durable(small)
         change = after.join(now, ["u", "v"], "left_anti").limit(1).count() + now.join(
             after, ["u", "v"], "left_anti").limit(1).count()
+        release(now)
         now = after
         if not change:
             break
@@ -249,13 +250,16 @@ def classified(
     an id are told apart by their sets; repeated rows share a class.
     """
     light = boundary(2.0)
-    own = durable(digests(documents, doc_id, text, shingle, frequent(documents, text, shingle),
-                          light))
+    read = durable(digests(documents, doc_id, text, shingle, frequent(documents, text, shingle),
+                           light))
     least = F.min(F.struct(F.col("id").isNull(), "id", "txt")).alias("least")
-    sets = durable(own.where("hi is not null").groupBy("hi", "lo").agg(
+    sets = durable(read.where("hi is not null").groupBy("hi", "lo").agg(
         least, *(F.first(c).alias(c) for c in ("n_shingles", "sketch", "keys", "part"))).select(
         F.struct("least.id", "hi", "lo").alias("rep"), "least.txt", F.col("n_shingles").alias("n"),
         "sketch", "keys", "part"))
+    # Equal sets are held once from here on; of the rows stay their names.
+    own = durable(read.drop("sketch", "keys", "part"))
+    release(read)
     kind = dict(sets.dtypes)["rep"]
     n = B.block_count(sets, "keys", block_bytes)
     dealt = sets.select("rep", "n", "keys", "part", F.pmod(
@@ -312,11 +316,12 @@ def classified(
         F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("list")
     left = durable(known.join(open_lists, "list", "left_semi"))
     more = durable(_across(left, sets, chunk).join(pairs, ["a", "b"], "left_anti"))
-    further = durable(_check(more, source, named, shingle))
+    further = _check(more, source, named, shingle)
     if further.limit(1).count():
         classes = components(links.unionByName(further))
     named = durable(sets.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select(
         "rep", F.coalesce("root", "rep").alias("root")))
+    release(rows, pairs, links, left, more, further)
     named = named.join(named.groupBy("root").agg(F.min("rep.id").alias("class")), "root").select(
         F.col("rep.hi").alias("hi"), F.col("rep.lo").alias("lo"), "class",
         F.struct("root.hi", "root.lo").alias("root"))
@@ -474,5 +479,7 @@ def _check(pairs: DataFrame, source: DataFrame, named: DataFrame, shingle: int,
             yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
 
     kind = dict(packed.dtypes)["rep"]
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
-        run, f"a {kind}, b {kind}")
+    linked = durable(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
+        run, f"a {kind}, b {kind}"))
+    release(packed, sought)
+    return linked
