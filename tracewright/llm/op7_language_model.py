@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm import blocks as B
 from tracewright.llm.words import blobs, find_words
+from tracewright.session import durable, release
 
 #: After a text's last word, and before its first.
 EDGE = b"\n"
@@ -117,30 +118,49 @@ class SuffixTree:
         return np.logaddexp(spelled, known) / np.log(10)
 
 
+#: Counts of the bytes behind a context: which bytes, and how often each.
+Next = tuple[np.ndarray, np.ndarray]
+
+
 def build_tree(
-    counts: list[dict[int, np.ndarray]], depth: int, gain: float, weight: float,
+    counts: list[dict[int, Next]], depth: int, gain: float, weight: float,
 ) -> SuffixTree:
     """``counts[d]`` has, for each context of ``d`` bytes, how often each byte follows.
 
     A context stays if the bytes behind it diverge from those behind its suffix: the log
     likelihood won, its count times the divergence, reaches ``gain`` nats. Suffixes of a context
     that stays are kept with it. Next-byte distributions are smoothed by ``weight`` counts of the suffix's.
+    A distribution is spelled out only while its own branch is walked.
     """
-    root = counts[0].get(0, np.zeros(256, dtype=np.int64)).astype(np.float64)
-    shares = {(0, 0): (root + 0.5) / (root.sum() + 128)}
+    root = np.zeros(256)
+    if 0 in counts[0]:
+        root[counts[0][0][0]] = counts[0][0][1]
+    longer: dict[tuple[int, int], list[int]] = {}
     for d in range(1, depth + 1):
-        for context, own in counts[d].items():
-            parent = (d - 1, context & ((1 << (8 * (d - 1))) - 1))
-            if parent in shares:
-                shares[(d, context)] = (own + weight * shares[parent]) / (own.sum() + weight)
+        for context in counts[d]:
+            longer.setdefault((d - 1, context & ((1 << (8 * (d - 1))) - 1)), []).append(context)
+
+    def share_of(d: int, context: int, parent: np.ndarray) -> np.ndarray:
+        letters, n = counts[d][context]
+        share = parent * (weight / (n.sum() + weight))
+        share[letters] += n / (n.sum() + weight)
+        return share
+
+    def walk(d: int, context: int, share: np.ndarray) -> bool:
+        """Whether a context that this one is the suffix of stays."""
+        any_stays = False
+        for other in longer.get((d, context), ()):
+            letters, n = counts[d + 1][other]
+            own = share_of(d + 1, other, share)
+            stays = walk(d + 1, other, own) if (d + 1, other) in longer else False
+            if stays or (n * np.log(own[letters] / share[letters])).sum() >= gain:
+                kept.add((d + 1, other))
+                any_stays = True
+        return any_stays
+
     kept = {(0, 0)}
-    for d in range(depth, 0, -1):
-        for context, own in counts[d].items():
-            if (d, context) not in shares or (d, context) in kept:
-                continue
-            parent = shares[(d - 1, context & ((1 << (8 * (d - 1))) - 1))]
-            if (own * np.log(shares[(d, context)] / parent)).sum() >= gain:
-                kept.update((i, context & ((1 << (8 * i)) - 1)) for i in range(1, d + 1))
+    whole = (root + 0.5) / (root.sum() + 128)
+    walk(0, 0, whole)
     used = np.zeros(256, dtype=bool)
     for d, context in kept:
         used[list(int(context).to_bytes(d, "big"))] = True
@@ -155,38 +175,67 @@ def build_tree(
     follow = np.zeros((len(number), width), dtype=np.int32)
     cost = np.empty((len(number), width), dtype=np.float32)
     letters = np.flatnonzero(used)
+
+    def fill(d: int, context: int, share: np.ndarray) -> None:
+        state, rest = number[d, context], share[~used]
+        cost[state, 1:] = np.log10(share[letters])
+        cost[state, 0] = np.log10(rest.mean()) if len(rest) else 0
+        for other in longer.get((d, context), ()):
+            if (d + 1, other) in kept:
+                fill(d + 1, other, share_of(d + 1, other, share))
+
+    fill(0, 0, whole)
     children: dict[int, list[tuple[int, int]]] = {}
     for (d, context), state in number.items():
         if d:
             children.setdefault(number[(d - 1, context >> 8)], []).append((context & 255, state))
     for (d, context), state in sorted(number.items()):
-        node = (d, context)
-        while node not in kept:
-            node = (node[0] - 1, node[1] & ((1 << (8 * (node[0] - 1))) - 1))
-        share = shares[node]
-        cost[state, 1:] = np.log10(share[letters])
-        rest = share[~used]
-        cost[state, 0] = np.log10(rest.mean()) if len(rest) else 0
         size, shorter = d, context
         while size:  # the longest shorter suffix that is a state, filled before this one
             size -= 1
             shorter &= (1 << (8 * size)) - 1
             if (size, shorter) in number:
                 follow[state] = follow[number[(size, shorter)]]
+                if (d, context) not in kept:  # its longest suffix that stays is that one's
+                    cost[state] = cost[number[(size, shorter)]]
                 break
         for letter, child in children.get(state, ()):
             follow[state, symbol[letter]] = child
     return SuffixTree(symbol, follow, cost, depth, len(kept), int(root[32]), int(root[EDGE[0]]))
 
 
+def _may_stay(steps: DataFrame, gain: float, weight: float) -> DataFrame:
+    """``d, context`` of the contexts that can pass the divergence test, and of their suffixes.
+
+    A context wins at most what its own shares win over its suffix's counts spread thinnest, since
+    smoothing only adds to those. What stays below ``gain`` by this bound cannot pass, and
+    does not travel.
+    """
+    mask = F.expr("shiftleft(1L, (d - 1) * 8) - 1L")
+    sums = steps.groupBy("d", "context").agg(F.sum("n").alias("all"))
+    behind = steps.join(sums, ["d", "context"])
+    suffix = behind.select((F.col("d") + 1).alias("d"), F.col("context").alias("suffix"), "byte",
+                           F.col("n").alias("n_suffix"), F.col("all").alias("all_suffix"))
+    own = behind.where("d > 0").withColumn("suffix", F.col("context").bitwiseAND(mask)).join(
+        suffix, ["d", "suffix", "byte"])
+    spread = F.when(F.col("d") == 1, 128.0).otherwise(weight)
+    most = F.sum(F.col("n") * F.ln(
+        F.col("n") / F.col("all") * (F.col("all_suffix") + spread) / F.col("n_suffix")))
+    able = own.groupBy("d", "context").agg(most.alias("most")).where(F.col("most") >= gain - 1e-6)
+    return able.select(F.explode(F.sequence(F.lit(0), F.col("d"))).alias("i"), "context").select(
+        F.col("i").alias("d"),
+        F.col("context").bitwiseAND(F.expr("shiftleft(1L, i * 8) - 1L")).alias("context")).distinct()
+
+
 def fit_tree(
     documents: DataFrame, text: str = "text", depth: int = 5, least_share: float = 2e-6,
     gain: float = 8.0, weight: float = 4.0, parts: int = 64,
 ) -> SuffixTree:
     """Counts every byte of all texts behind its ``depth`` bytes, and keeps a suffix tree.
 
-    Counting is spread over tasks. Only contexts with at least ``least_share`` of all predicted
-    bytes can stay, so at most ``depth / least_share`` contexts reach the driver, at any size.
+    Counting is spread over tasks, and so is the first part of the divergence test. Only contexts
+    with at least ``least_share`` of all predicted bytes are tested, so at most ``depth /
+    least_share`` contexts reach the driver, at any size; rarer ones are lost, whatever they would win.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,22 +263,27 @@ def fit_tree(
     grams = documents.select(text).mapInArrow(count, B.ASKED).groupBy("part").applyInArrow(
         add, "gram long, n long")
     mask = F.expr("shiftleft(1L, d * 8) - 1L")
-    nodes = (
+    steps = (
         grams.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(depth))))
         .withColumn("context", F.shiftrightunsigned("gram", 8).bitwiseAND(mask))
         .withColumn("byte", F.col("gram").bitwiseAND(F.lit(255)))
-        .groupBy("d", "context", "byte").agg(F.sum("n").alias("n"))
-        .groupBy("d", "context").agg(
-            F.sum("n").alias("all"), F.collect_list(F.struct("byte", "n")).alias("next")))
+        .groupBy("d", "context", "byte").agg(F.sum("n").alias("n")))
+    nodes = steps.groupBy("d", "context").agg(
+        F.sum("n").alias("all"), F.collect_list(F.struct("byte", "n")).alias("next"))
     total = nodes.where("d = 0").select(F.max("all").alias("_total"), F.lit(0).alias("_one"))
     nodes = nodes.withColumn("_one", F.lit(0)).join(F.broadcast(total), "_one").where(
         F.col("all") >= F.col("_total") * least_share)
-    counts: list[dict[int, np.ndarray]] = [{} for _ in range(depth + 1)]
-    for row in nodes.select("d", "context", "next").toLocalIterator():
-        own = np.zeros(256, dtype=np.int64)
-        for byte, n in row.next:
-            own[byte] = n
-        counts[row.d][row.context] = own
+    often = durable(nodes.select("d", "context", "next"))
+    steps = often.select("d", "context", F.inline("next"))
+    able = _may_stay(steps, gain, weight)
+    sent = often.join(able, ["d", "context"], "left_semi").unionByName(often.where("d = 0")).select(
+        "d", "context", F.transform("next", lambda x: x["byte"]).alias("bytes"),
+        F.transform("next", lambda x: x["n"]).alias("counts"))
+    counts: list[dict[int, Next]] = [{} for _ in range(depth + 1)]
+    for row in sent.toLocalIterator():
+        counts[row.d][row.context] = (
+            np.array(row.bytes, dtype=np.uint8), np.array(row.counts, dtype=np.int64))
+    release(often)
     return build_tree(counts, depth, gain, weight)
 
 
