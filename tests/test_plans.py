@@ -10,7 +10,8 @@ from helpers import SF
 from tracewright.plans.queries import registry
 
 ML = {"sla_metrics", "risk_scores", "risk_bands", "drivers", "review_queue", "subgroup_errors",
-      "risk_measures", "high_risk_transitions", "report_json"}
+      "risk_measures", "high_risk_transitions", "report_json", "report_sections",
+      "fit_certificate"}
 
 
 def plan_of(df) -> str:

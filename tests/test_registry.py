@@ -13,7 +13,7 @@ from tracewright.plans.queries import registry
 
 WITHOUT_SQL = {
     "sla_metrics", "risk_scores", "risk_bands", "drivers", "review_queue", "subgroup_errors",
-    "risk_measures", "high_risk_transitions", "report_json",
+    "risk_measures", "high_risk_transitions", "report_json", "report_sections",
 }
 
 

@@ -453,16 +453,20 @@ SECRET_PATTERNS = {
 }
 
 
-def secret_findings(texts: DataFrame, doc: str, text: str = "text") -> DataFrame:
+def secret_findings(
+    texts: DataFrame, doc: str, text: str = "text", patterns: dict[str, str] = SECRET_PATTERNS,
+) -> DataFrame:
     """``doc, label`` for each pattern a whole text matches; one pass over the texts."""
     hits = F.array(*[
         F.when(F.col(text).rlike(pattern), F.lit(label))
-        for label, pattern in SECRET_PATTERNS.items()
+        for label, pattern in patterns.items()
     ])
     return texts.select(F.col(doc).alias("doc"), F.explode(F.array_compact(hits)).alias("label"))
 
 
-def secret_summary(texts: DataFrame, text: str = "text") -> DataFrame:
+def secret_summary(
+    texts: DataFrame, text: str = "text", patterns: dict[str, str] = SECRET_PATTERNS,
+) -> DataFrame:
     """Findings per pattern, zeros included, and the number of texts scanned."""
     counts = [
         F.struct(
@@ -470,6 +474,6 @@ def secret_summary(texts: DataFrame, text: str = "text") -> DataFrame:
             F.count_if(F.col(text).rlike(pattern)).alias("finding_count"),
             F.count(F.lit(1)).alias("scanned"),
         )
-        for label, pattern in SECRET_PATTERNS.items()
+        for label, pattern in patterns.items()
     ]
     return texts.agg(F.array(*counts).alias("c")).select(F.inline("c"))

@@ -45,11 +45,13 @@ ROWS_PER_TRAIN_TASK = 100_000
 
 @dataclass(frozen=True)
 class SlaModel:
-    """Fitted stages, the scored holdout, its metrics row and the coefficient table."""
+    """The scored holdout, its metrics row, the coefficient table, and the prepared training rows
+    with label, weight and fitted probability."""
 
     scored: DataFrame
     metrics: DataFrame
     drivers: DataFrame
+    trained: DataFrame
 
 
 # --- features ---------------------------------------------------------------------------
@@ -147,6 +149,21 @@ def _medians(train: DataFrame) -> dict[str, float]:
     return {r["feature"]: r["median"] / scale for r in rows}
 
 
+def _modes(rows: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The most frequent label of each column, of equally frequent ones the smallest.
+
+    Labels are counted on the map side and by (column, label), so no task holds the labels of a
+    column: a column may have as many as there are rows.
+    """
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("label")) for c in columns])
+    counted = rows.select(F.inline(pairs)).where(F.col("label").isNotNull()).groupBy(
+        "name", "label").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), "label"))
+    found = counted.groupBy("name").agg(best.alias("best")).collect()  # one row per column
+    return {r["name"]: r["best"]["label"] for r in found}
+
+
 def _prepared(frame: DataFrame) -> DataFrame:
     """Impute and standardise with statistics of the training rows only.
 
@@ -162,7 +179,6 @@ def _prepared(frame: DataFrame) -> DataFrame:
             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in NUMERIC_FEATURES],
             *[F.avg(of_train(filled[c])).alias(f"mean_{c}") for c in NUMERIC_FEATURES],
             *[F.stddev_pop(of_train(filled[c])).alias(f"sd_{c}") for c in NUMERIC_FEATURES],
-            *[F.mode(of_train(F.col(c)), True).alias(f"mode_{c}") for c in CATEGORICAL_FEATURES],
         ).first()
 
     filled = {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
@@ -171,12 +187,13 @@ def _prepared(frame: DataFrame) -> DataFrame:
         medians = _medians(frame.where("is_train"))
         filled = {c: F.coalesce(v, F.lit(medians.get(c, 0.0))) for c, v in filled.items()}
         stats = statistics(filled)
+    modes = _modes(frame.where("is_train"), CATEGORICAL_FEATURES)
     numeric = {
         f"z_{c}": (filled[c] - F.lit(stats[f"mean_{c}"])) / F.lit(stats[f"sd_{c}"] or 1.0)
         for c in NUMERIC_FEATURES
     }
     labels = {
-        c: F.coalesce(F.col(c), F.lit(stats[f"mode_{c}"]), F.lit("")) for c in CATEGORICAL_FEATURES
+        c: F.coalesce(F.col(c), F.lit(modes.get(c)), F.lit("")) for c in CATEGORICAL_FEATURES
     }
     return frame.withColumns({**numeric, **labels, "label": F.col("sla_breached").cast("double")})
 
@@ -220,6 +237,9 @@ def train_sla_model(features: DataFrame, holdout_share: float = 0.20) -> SlaMode
         "risk_score", F.get(probability, F.lit(1))
     )
     scored = durable(scored_output(scored))
+    trained = model.transform(ready.where("is_train")).select(
+        "case_id", "label", "weight", F.get(probability, F.lit(1)).alias("probability"),
+        *numeric, *CATEGORICAL_FEATURES)
     names = list(NUMERIC_FEATURES) + [
         f"{column}_{label}"
         for column, labels in zip(CATEGORICAL_FEATURES, model.stages[0].labelsArray, strict=True)
@@ -232,9 +252,29 @@ def train_sla_model(features: DataFrame, holdout_share: float = 0.20) -> SlaMode
         drivers=drivers(frame.sparkSession.createDataFrame(
             list(zip(names, weights, strict=True)), "feature string, coefficient double"
         )),
+        trained=trained,
     )
 
 
+def fit_certificate(model: SlaModel) -> DataFrame:
+    """``feature, gradient``: the gradient of the penalised loss at the fitted coefficients, per case.
+
+    It is zero in every feature exactly at the optimum, so this proves the fit (with the imputation,
+    scaling, encoding and weights before it) from the training rows and the coefficient table
+    alone. Each row adds its weighted residual times its value to each of its features;
+    the sums are combined on the map side.
+    """
+    residual = F.col("weight") * (F.col("probability") - F.col("label"))
+    parts = [F.struct(F.lit(c).alias("feature"), (residual * F.col(f"z_{c}")).alias("r"))
+             for c in NUMERIC_FEATURES]
+    parts += [F.struct(F.concat(F.lit(f"{c}_"), F.col(c)).alias("feature"), residual.alias("r"))
+              for c in CATEGORICAL_FEATURES]
+    sums = model.trained.select(F.inline(F.array(*parts))).groupBy("feature").agg(F.sum("r").alias("r"))
+    cases = model.trained.select(F.count(F.lit(1))).scalar()
+    return sums.join(model.drivers.select("feature", "coefficient"), "feature", "full_outer").select(
+        "feature", ((F.col("r") + F.col("coefficient")) / cases).alias("gradient"))
+
+
 def risk_band(score: Column) -> Column:
     band = F.lit(RISK_BANDS[-1][0])
     for label, limit in reversed(RISK_BANDS[:-1]):

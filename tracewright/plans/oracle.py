@@ -11,8 +11,8 @@ from importlib import resources
 from xml.etree import ElementTree
 
 from tracewright.model import SCHEMA_CONSTRAINTS, SLA_TARGET_HOURS
-from tracewright.operators.contracts import SECRET_PATTERNS
 from tracewright.operators.monitoring import DURATION_BUCKETS
+from tracewright.operators.prediction import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from tracewright.operators.scenarios import CATALOG
 from tracewright.sources.adapters import (
     AHEAD_BALANCE,
@@ -579,7 +579,7 @@ SELECT dimension, label, {r("now", "current_share")}, {r("then_", "prior_share")
 
 
 def oracle_queries() -> dict[str, str]:
-    from tracewright.plans.queries import CLICK_STAGES, REPLICATIONS
+    from tracewright.plans.queries import CLICK_STAGES, REPLICATIONS, TEXT_SECRETS
 
     day, week, wcs = click("day"), click("week"), click_cases("week")
     risk = f"{ORDERS}, {ORDER_FEATURES}, {SCORED}"
@@ -592,12 +592,12 @@ en AS (SELECT cs.*, fitness, conformant, touch_time_hours, estimated_wait_hours,
     secret = " UNION ALL ".join(
         f"SELECT {lit(label)} AS label, count(*) FILTER (regexp_matches(text, {lit(p)}))"
         " AS finding_count, count(*) AS scanned FROM documents"
-        for label, p in SECRET_PATTERNS.items()
+        for label, p in TEXT_SECRETS.items()
     )
     findings = " UNION ALL ".join(
         f"SELECT doc_id AS doc, {lit(label)} AS label FROM documents"
         f" WHERE regexp_matches(text, {lit(p)})"
-        for label, p in SECRET_PATTERNS.items()
+        for label, p in TEXT_SECRETS.items()
     )
     null_rows = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count,"
@@ -675,16 +675,26 @@ GROUP BY l_orderkey HAVING count(*) <> max(l_linenumber)""",
   count(*) FILTER (amount_usd < 0) AS amount_usd,
   count(*) FILTER (cycle_time_hours < 0) AS cycle_time_hours,
   count(*) FILTER (sla_target_hours <= 0) AS sla_target_hours FROM oc""",
-        "dq_golden": f"""WITH {week}, {wcs}, {PERFORMANCE}, m AS (
-  SELECT 'events' AS metric, (SELECT CAST(sum(event_count) AS DOUBLE) FROM cs) AS expected,
-    (SELECT CAST(count(*) AS DOUBLE) FROM ev) AS value
-  UNION ALL SELECT 'cases', (SELECT CAST(count(*) AS DOUBLE) FROM cs),
-    (SELECT CAST(count(DISTINCT case_id) AS DOUBLE) FROM ev)
-  UNION ALL SELECT 'mean_cycle_hours', (SELECT avg(cycle_time_hours) FROM cs),
-    (SELECT avg(cycle_time_hours) FROM pf)
-  UNION ALL SELECT 'rework_events', (SELECT CAST(sum(rework_count) AS DOUBLE) FROM cs),
-    (SELECT CAST(sum(rework_event_count) AS DOUBLE) FROM pf))
-SELECT metric, {r("expected", "expected")}, {r("value", "value")},
+        "dq_text_violations": """WITH k AS (SELECT l_orderkey,
+    CASE l_returnflag WHEN 'R' THEN NULL ELSE l_linenumber END AS i, count(*) AS n
+  FROM lineitem GROUP BY 1, 2)
+SELECT count(*) AS row_count, (SELECT count(*) FROM k WHERE n > 1) AS duplicate_keys,
+  0 AS null_keys, count(*) FILTER (l_returnflag = 'A') AS bad_timestamp,
+  count(*) FILTER (l_returnflag = 'R') AS bad_event_index,
+  count(*) FILTER (l_linestatus = 'O') AS bad_numbers, 0 AS negative_numbers,
+  count(*) FILTER (l_linestatus <> 'F') AS bad_flag FROM lineitem""",
+        "dq_golden": f"""WITH m AS (
+  SELECT 'orders' AS metric, (SELECT count(*) FROM orders) AS expected,
+    (SELECT count(*) FROM orders) AS value
+  UNION ALL SELECT 'lines', (SELECT sum(n) FROM (SELECT max(l_linenumber) AS n FROM lineitem
+    GROUP BY l_orderkey)), (SELECT count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+  UNION ALL SELECT 'order_value',
+    (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) FROM orders),
+    (SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE)
+     FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+  UNION ALL SELECT 'closed_orders', (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'),
+    (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'))
+SELECT metric, {r("CAST(expected AS DOUBLE)", "expected")}, {r("CAST(value AS DOUBLE)", "value")},
   CAST(0.0001 AS DOUBLE) AS tolerance, abs(value - expected) <= 0.0001 AS passed FROM m""",
         "dq_secret_scan": secret,
         "dq_secret_findings": findings,
@@ -978,6 +988,21 @@ SELECT {iso("ts")} AS ts, events_loaded, cases_loaded, {r("a", "sla_adherence")}
   CASE WHEN a < 0.7 THEN 'red' WHEN a < 0.85 THEN 'orange' ELSE 'green' END AS adherence_band
 FROM l""",
     }
+    labels = " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}_' || {c} AS feature FROM tr WHERE {c} IS NOT NULL"
+        for c in CATEGORICAL_FEATURES)
+    numbers = " UNION ALL ".join(f"SELECT '{c}' AS feature" for c in NUMERIC_FEATURES)
+    out["fit_certificate"] = f"""WITH {ORDERS}, tr AS (SELECT *, row_number() OVER (
+  ORDER BY created_at, case_id) AS place, count(*) OVER () AS n FROM cs
+  QUALIFY place <= greatest(1, least(n - 1, CAST(floor(n * 0.8) AS BIGINT))))
+SELECT feature, CAST(0 AS DOUBLE) AS gradient FROM ({numbers} UNION ALL {labels}) f"""
+    out["report_process_map"] = out["dfg_orders"] + """
+ORDER BY transition_count DESC, source, target LIMIT 20"""
+    out["report_top_variants"] = out["variants_orders"] + " WHERE variant_rank <= 12"
+    out["report_deviations"] = out["deviations_orders"] + """
+ORDER BY case_count DESC, deviation_type, activity LIMIT 20"""
+    out["report_workload"] = out["resource_workload"].replace(week, ORDERS) + """
+ORDER BY sum(touch_us) DESC, resource_id, resource_role LIMIT 15"""
     changes = ", ".join(
         part for m in ("roc_auc", "average_precision") for part in (
             r(f"c.{m}", m), r(f"p.{m}", f"approved_{m}"), r(f"c.{m} - p.{m}", f"{m}_change"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from tracewright.operators import (
     prediction,
     scenarios,
 )
-from tracewright.plans.pipeline import Analysis, analyze
+from tracewright.plans.pipeline import SECTIONS, Analysis, analyze, section, summary
 from tracewright.plans.views import register_views
 from tracewright.sources import adapters, files
 from tracewright.session import durable
@@ -51,6 +52,8 @@ ORDER_STAGES = scenarios.StageMap(
 REPLICATIONS = 24
 SCENARIO_GROUPS = REPLICATIONS * len(scenarios.CATALOG)
 ORDER_MODEL = "order_process.bpmn"
+# The four published patterns, and the assigned tokens that the texts hold.
+TEXT_SECRETS = {**contracts.SECRET_PATTERNS, "assigned token": r'\btoken = "[0-9a-f]{40}"'}
 DRIFT_CUT = "2024-01-16"
 RECENT_FROM = "2000-01-01"
 CLICK_SLICERS = measures.SLICERS
@@ -222,25 +225,36 @@ def dq_domain(spark, sf):
     return contracts.domain_violations(adapters.order_cases(spark, sf))
 
 
+@query
+def dq_text_violations(spark, sf):
+    """The event rules on a feed of text, where parsing is what fails."""
+    return contracts.event_violations(contracts.typed_events(adapters.line_text(spark, sf)))
+
+
 @query
 def dq_golden(spark, sf):
-    """Log totals against the totals the case master declares."""
-    log, cases = _week(spark, sf), _cases(spark, sf)
-    actual = performance.case_performance(log.events).agg(
-        F.sum("event_count").cast("double").alias("events"),
-        F.count(F.lit(1)).cast("double").alias("cases"),
-        F.avg("cycle_time_hours").alias("mean_cycle_hours"),
-        F.sum("rework_event_count").cast("double").alias("rework_events"),
+    """Totals of the order log against what other tables declare: the orders' own count and value,
+    the line numbers, and the lines of closed orders."""
+    events = _orders(spark, sf).log.events
+    supplied = F.col("resource_role") == "Supplier"
+    actual = events.agg(
+        F.count_if(F.col("activity") == "Order Placed").cast("double").alias("orders"),
+        F.count_if(supplied).cast("double").alias("lines"),
+        F.sum(F.when(supplied, F.col("amount_usd").cast("decimal(14,2)"))).cast("double")
+        .alias("order_value"),
+        F.count_if(F.col("activity") == "Order Closed").cast("double").alias("closed_orders"),
     )
-    declared = cases.agg(
-        F.sum("event_count").cast("double").alias("events"),
-        F.count(F.lit(1)).cast("double").alias("cases"),
-        F.avg("cycle_time_hours").alias("mean_cycle_hours"),
-        F.sum("rework_count").cast("double").alias("rework_events"),
-    )
-    names = ["events", "cases", "mean_cycle_hours", "rework_events"]
+    orders = adapters.read(spark, sf, "orders")
+    numbers = adapters.read(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_linenumber").alias("n")).agg(F.sum("n").cast("double").alias("lines"))
+    declared = orders.agg(
+        F.count(F.lit(1)).cast("double").alias("orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("double").alias("order_value"),
+        F.count_if(F.col("o_orderstatus") == "F").cast("double").alias("closed_orders"),
+    ).select("*", numbers.scalar().alias("lines"))
+    names = ["orders", "lines", "order_value", "closed_orders"]
     value = actual.unpivot([], names, "metric", "value")
-    expected = declared.unpivot([], names, "metric", "expected").withColumn(
+    expected = declared.select(*names).unpivot([], names, "metric", "expected").withColumn(
         "tolerance", F.lit(1e-4)
     )
     return contracts.golden_check(value, expected)
@@ -248,12 +262,14 @@ def dq_golden(spark, sf):
 
 @query
 def dq_secret_scan(spark, sf):
-    return contracts.secret_summary(adapters.read(spark, sf, "documents"))
+    return contracts.secret_summary(
+        adapters.read(spark, sf, "documents"), patterns=TEXT_SECRETS)
 
 
 @query
 def dq_secret_findings(spark, sf):
-    return contracts.secret_findings(adapters.read(spark, sf, "documents"), "doc_id")
+    return contracts.secret_findings(
+        adapters.read(spark, sf, "documents"), "doc_id", patterns=TEXT_SECRETS)
 
 
 # --- discovery ----------------------------------------------------------------------------
@@ -662,6 +678,13 @@ def risk_bands(spark, sf):
     return prediction.risk_distribution(_model(spark, sf).scored)
 
 
+@query
+def fit_certificate(spark, sf):
+    """The gradient at the fitted coefficients, to five digits: zero in every feature."""
+    found = prediction.fit_certificate(_model(spark, sf))
+    return found.select("feature", F.round(F.abs("gradient"), 5).alias("gradient"))
+
+
 @query
 def drivers(spark, sf):
     return _model(spark, sf).drivers
@@ -847,6 +870,42 @@ def counter_p95(spark, sf):
 # --- report -------------------------------------------------------------------------------
 
 
+@query
+def report_process_map(spark, sf):
+    """The process map's edges: the 20 most frequent."""
+    edges = discovery.directly_follows(_orders(spark, sf).log)
+    return edges.orderBy(F.desc("transition_count"), "source", "target").limit(20)
+
+
+@query
+def report_top_variants(spark, sf):
+    return discovery.variants(_orders(spark, sf).log).where("variant_rank <= 12")
+
+
+@query
+def report_deviations(spark, sf):
+    arrays = conformance.conformance_arrays(_orders(spark, sf).log, adapters.ORDER_IDEAL)
+    found = conformance.deviation_summary(arrays)
+    return found.orderBy(F.desc("case_count"), "deviation_type", "activity").limit(20)
+
+
+@query
+def report_workload(spark, sf):
+    """The 15 resources with the most hours."""
+    table = performance.resource_workload(adapters.order_process_events(spark, sf))
+    return table.orderBy(F.desc("processing_hours"), "resource_id", "resource_role").limit(15)
+
+
+@query
+def report_sections(spark, sf):
+    """Each section of the report that a reader can ask for, as JSON."""
+    report = _analysis(spark, sf).report
+    parts = {name: section(report, name) for name in SECTIONS} | {"summary": summary(report)}
+    rows = [df.select(F.lit(name).alias("section"), F.to_json(F.struct("*")).alias("body"))
+            for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query
 def report_json(spark, sf):
     return _analysis(spark, sf).report.select(F.to_json("report").alias("report"))

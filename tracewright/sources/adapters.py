@@ -122,6 +122,25 @@ def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").select(*[c.alias(n) for n, c in columns.items()])
 
 
+def line_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as a feed would write them, all columns text: amounts of open lines carry a
+    currency, numbers of returned lines a fraction, and accepted lines a word for their date."""
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    index = F.col("l_linenumber").cast("string")
+    amount = F.col("l_extendedprice").cast("string")
+    columns = {
+        "case_id": F.col("l_orderkey").cast("string"),
+        "event_index": F.when(flag == "R", F.concat(index, F.lit(".5"))).otherwise(index),
+        "activity": F.concat(F.lit("Ship "), flag, status),
+        "timestamp": F.when(flag == "A", "accepted").otherwise(
+            F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        "amount_usd": F.when(status == "O", F.concat(amount, F.lit(" USD"))).otherwise(amount),
+        "processing_minutes": F.col("l_quantity").cast("string"),
+        "automated": F.when(status == "F", "TRUE").otherwise(flag),
+    }
+    return read(spark, sf_dir, "lineitem").select(*[c.alias(n) for n, c in columns.items()])
+
+
 def order_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the unchecked case master of the shipment log.
 
