@@ -146,6 +146,24 @@ def test_neighbours(spark):
     assert op8_neighbours.nearest(vectors.limit(0)).collect() == []
 
 
+def test_neighbours_of_very_small_and_large_doubles(spark):
+    """Norms that under- or overflow: cosines are those of the same vectors at an ordinary length."""
+    rng = np.random.default_rng(8)
+    plain = rng.normal(size=(40, 6))
+    powers = rng.choice([2.0**-700, 2.0**-1000, 1.0, 2.0**800, 2.0**1010], size=40)
+    rows = [(10 * i, (x * p).tolist()) for i, (x, p) in enumerate(zip(plain, powers, strict=True))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in op8_neighbours.nearest(vectors).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for i in range(0, 40, 5):
+        cosine = plain @ plain[i] / (np.linalg.norm(plain, axis=1) * np.linalg.norm(plain[i]))
+        order = [j for j in np.argsort(-cosine) if j != i][:5]
+        found = sorted(got[10 * i])
+        assert [v for _, v, _ in found] == [10 * j for j in order]
+        assert np.allclose([s for _, _, s in found], cosine[order], rtol=1e-12)
+
+
 def test_neighbours_found_when_few_rows_are_candidates(spark):
     rng = np.random.default_rng(5)
     x = (rng.normal(size=(400, 24))[rng.integers(400, size=8000)] + rng.normal(size=(8000, 24)))

@@ -91,7 +91,15 @@ class Hashing:
         return code
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near one: cosines stay as they
+    are to the last bit, and no product of very large or small components leaves the doubles."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, initial=0))
+    return np.ldexp(x, -exponent[:, None])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -199,6 +207,7 @@ def nearest(
     to several tasks and its queries go to each. Candidates are compared by the original vectors
     in double precision. Vectors of different length are never compared; null, zero, or
     non-finite vectors and null ids take no part; rows with the query's id aren't its candidates.
+    Repeated rows count once, an empty table gives no rows, and further columns are ignored.
     Below ``2 * bucket_rows`` rows every row is a candidate. Buckets are planned for each vector
     length by its own rows, and ``probes`` is what is tried first: it is doubled until ``target`` of
     the true neighbours of ``sample`` queries are candidates, at any number of rows.
@@ -260,7 +269,7 @@ def nearest(
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
         size = left["size"][0].as_py()
-        q, c = _matrix(left["embedding"], size), _matrix(right["embedding"], size)
+        q, c = (scaled(_matrix(t["embedding"], size)) for t in (left, right))
         qn, cn = np.linalg.norm(q, axis=1), np.linalg.norm(c, axis=1)
         ids = right["class_id"].to_numpy()
         order = np.argsort(ids, kind="stable")
