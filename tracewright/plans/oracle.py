@@ -846,7 +846,7 @@ SELECT case_id, business_unit, country, vendor_tier, priority, amount_usd,
   (PARTITION BY case_id ORDER BY tm, event_index, activity) AS position FROM ev)
 SELECT case_id, activity, {iso("tm")} AS timestamp, resource_id,
   {r("amount_usd", "processing_minutes")}, CAST(position AS BIGINT) AS position FROM n
-WHERE case_id IN (SELECT case_id FROM cs WHERE sla_breached AND priority = 'Strategic')""",
+WHERE case_id IN (SELECT case_id FROM cs)""",
         "segment_sla": f"""WITH {week}, {wcs}, {LINKED}, a AS ({seg}),
 p AS (SELECT dimension, member, case_id, max(CAST(sla_breached AS INTEGER)) AS breached,
   sum(wait_us) AS wait_us FROM a WHERE member IS NOT NULL GROUP BY 1, 2, 3)

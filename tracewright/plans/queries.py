@@ -541,8 +541,7 @@ def case_explorer(spark, sf):
 
 @query
 def case_timeline(spark, sf):
-    chosen = _cases(spark, sf).where("sla_breached and priority = 'Strategic'")
-    return performance.case_timeline(_week(spark, sf), chosen)
+    return performance.case_timeline(_week(spark, sf), _cases(spark, sf))
 
 
 @query
