@@ -322,3 +322,18 @@ def test_pipeline_tells_rows_apart_by_id_and_text(spark):
     clean = Counter((r.doc_id, r.text) for r in
                     corpus_pipeline.decontaminate(spark, documents, SF).collect())
     assert clean == Counter(rows[:-2])
+
+
+def test_pii_learns_from_every_candidate(spark, monkeypatch):
+    """Both the trees and the thresholds see all candidates, more than the 20,000 of old."""
+    rows = spark.range(0, 26_000, 1, 4).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("host "), F.when(F.col("id") % 2 == 0, "10.2.3.4").otherwise("10.2.3.444")).alias("text"))
+    found = op9_pii.candidates(rows, "doc_id", "text")
+    everyone = found.where("form = 'base'").count()
+    assert everyone > 20_000
+    seen, fits = [], op9_pii._fits
+    monkeypatch.setattr(op9_pii, "_fits", lambda df: (seen.append(df), fits(df))[1])
+    model = op9_pii.fit(found, rounds=1)
+    assert model.trees is not None and model.thresholds
+    assert sum(df.agg(F.sum("n")).first()[0] for df in seen) == everyone
+    assert sum(df.count() for df in seen) < 100

@@ -128,32 +128,32 @@ class PiiModel:
     thresholds: dict[str, float]
 
 
-def fit(found: DataFrame, max_rows: int = 20_000, rounds: int = 8, depth: int = 4,
-        precision: float = 0.98) -> PiiModel:
+def fit(found: DataFrame, rounds: int = 8, depth: int = 4, precision: float = 0.98) -> PiiModel:
     """Boosted trees that tell checked base matches from matches that fail the check.
 
-    Learns from at most ``max_rows`` candidates, chosen by a hash of document and place; a
-    quarter of them is held out, and each kind's threshold is the least score from which on
-    ``precision`` of these are real. A kind without such a score adds nothing, and neither does
-    a model without both sorts of candidates.
+    Learns from all base candidates but a quarter, held out by a hash of document and place; each
+    kind's threshold is the least score from which on ``precision`` of the held out are real.
+    Candidates with the same features are one row with their number as its weight, so the trees
+    see every one of them, and passes cost what tells candidates apart. A kind without such a
+    score adds nothing, and neither does a model without both sorts of candidates.
     """
     mark = F.xxhash64("doc", "txt", "kind", "start", "stop")
     rows = durable(
-        features(found.where("form = 'base'")).withColumn("_mark", mark)
-        .orderBy("_mark", "kind", "start").limit(max_rows)
+        features(found.where("form = 'base'"))
         .withColumn("label", F.col("valid").cast("double"))
-        .withColumn("_held", F.pmod("_mark", F.lit(4)) == 0).select(
-            "kind", "label", "_held", *FEATURES))
+        .withColumn("_held", F.pmod(mark, F.lit(4)) == 0)
+        .groupBy("kind", "label", "_held", *FEATURES).agg(F.count("*").cast("double").alias("n")))
     learn = rows.where("not _held")
     if learn.select("label").distinct().count() < 2:
         return PiiModel(None, {})
-    trees = GBTClassifier(featuresCol="_vector", labelCol="label", maxIter=rounds, maxDepth=depth,
-                          seed=5, checkpointInterval=-1).fit(_fits(learn))
+    trees = GBTClassifier(featuresCol="_vector", labelCol="label", weightCol="n", maxIter=rounds,
+                          maxDepth=depth, seed=5, checkpointInterval=-1).fit(_fits(learn))
     scored = trees.transform(_fits(rows.where("_held"))).select(
-        "kind", "label", F.round(vector_to_array("probability")[1], 2).alias("score"))
+        "kind", "label", "n", F.round(vector_to_array("probability")[1], 2).alias("score"))
     by_score = Window.partitionBy("kind").orderBy(F.desc("score"))
     cuts = (  # at most 101 scores of each kind
-        scored.groupBy("kind", "score").agg(F.sum("label").alias("real"), F.count("*").alias("n"))
+        scored.groupBy("kind", "score").agg(
+            F.sum(F.col("label") * F.col("n")).alias("real"), F.sum("n").alias("n"))
         .withColumn("share", F.sum("real").over(by_score) / F.sum("n").over(by_score))
         .where((F.col("share") >= precision) & (F.col("score") >= 0.5))
         .groupBy("kind").agg(F.min("score").alias("cut")))
