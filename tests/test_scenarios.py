@@ -148,3 +148,15 @@ def test_draw_and_lognormal(spark):
     assert row.mu == pytest.approx(math.log(10 / math.sqrt(1.16)))
     assert row.sigma == pytest.approx(math.sqrt(math.log(1.16)))
     assert (row.a, row.b, row.c) == (120.0, 240.0, 336.0)
+
+
+def test_weights_drawn_once_per_case(spark):
+    """Weights that come with the outcomes are those drawn from the outcomes afterwards."""
+    log = ProcessLog(adapters.order_process_events(spark, SF), adapters.ORDER_SORT)
+    cases = adapters.order_process_cases(spark, SF)
+    later = scenarios.replicated(scenarios.what_if(log, ORDER_STAGES, cases), 7)
+    first = scenarios.what_if(log, ORDER_STAGES, cases, replications=7)
+    assert first.count() == 4 * log.facts.cases
+    first = scenarios.replicated(first, 7)
+    assert first.columns == later.columns
+    assert first.exceptAll(later).count() == later.exceptAll(first).count() == 0

@@ -196,9 +196,13 @@ def what_if(
     cases: DataFrame | None = None,
     catalog: Sequence[Scenario] = CATALOG,
     seed: str = "what-if",
+    replications: int | None = None,
 ) -> DataFrame:
     """Outcome of every observed case under every scenario.
 
+    With ``replications`` each outcome carries the ``weights`` that ``replicated`` draws, hashed
+    once per case and not once per scenario.
+
     The SLA target is the case's own, from ``cases``; without a case table it is drawn from the
     published mix by a hash of the case id.
 
@@ -238,8 +242,11 @@ def what_if(
         )
         for i, s in enumerate(catalog)
     ])
+    drawn = []
+    if replications is not None:
+        per_case, drawn = _with_weights(per_case, replications), ["weights"]
     return per_case.select(
-        "case_id", F.unix_micros("arrival").alias("arrival_us"), "sla_target_hours",
+        "case_id", F.unix_micros("arrival").alias("arrival_us"), "sla_target_hours", *drawn,
         F.inline(outcomes),
     )
 
@@ -258,22 +265,31 @@ def poisson_weight(u: Column) -> Column:
     return out
 
 
+def _with_weights(
+    rows: DataFrame, replications: int, seed: str = "bootstrap"
+) -> DataFrame:
+    """``weights``: how often each replication draws the row's case, by a hash of case and replication."""
+    each = 5  # draws of a digest
+    digests = settled(rows.withColumns({
+        f"_d{i}": digest(seed, F.col("case_id"), F.lit(i)) for i in range(-(-replications // each))}))
+    draws = settled(digests.select(*rows.columns, *[
+        uniform(F.col(f"_d{k // each}"), k % each).alias(f"_u{k}") for k in range(replications)]))
+    weights = [poisson_weight(F.col(f"_u{k}")).cast("int") for k in range(replications)]
+    return draws.select(*rows.columns, F.array(*weights).alias("weights"))
+
+
 def replicated(outcomes: DataFrame, replications: int = 24, seed: str = "bootstrap") -> DataFrame:
     """Every outcome in every replication that draws its case, with the ``weight`` it is drawn by.
 
     A replication is a bootstrap over all cases: the weight comes from a hash of case and replication,
-    so it is the same for all scenarios, which are then compared on the same cases.
+    so it is the same for all scenarios, which are then compared on the same cases. ``weights`` that
+    ``what_if`` has drawn are taken as they are.
     """
-    each = 5  # draws of a digest
-    digests = settled(outcomes.withColumns({
-        f"_d{i}": digest(seed, F.col("case_id"), F.lit(i)) for i in range(-(-replications // each))}))
-    weights = F.array(*[
-        F.struct(F.lit(k).alias("replication"),
-                 poisson_weight(uniform(F.col(f"_d{k // each}"), k % each)).alias("weight"))
-        for k in range(replications)
-    ])
-    return digests.select(
-        *outcomes.columns, F.inline(F.filter(weights, lambda w: w["weight"] > 0)))
+    if "weights" not in outcomes.columns:
+        outcomes = _with_weights(outcomes, replications, seed)
+    columns = [c for c in outcomes.columns if c != "weights"]
+    return outcomes.select(
+        *columns, F.posexplode("weights").alias("replication", "weight")).where("weight > 0")
 
 
 def replication_outcomes(outcomes: DataFrame, max_groups: int | None = None) -> DataFrame:

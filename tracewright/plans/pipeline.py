@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,8 @@ from tracewright.operators import (
 from tracewright.session import durable
 
 
+REPLICATIONS = 24
+
 # The governance section.
 GOVERNANCE = {
     "decision_mode": "human-in-the-loop",
@@ -68,11 +70,12 @@ def analyze(
     """Build the twelve tables and the report.
 
     Intermediate results that several tables read are written to the checkpoint folder
-    once: transitions, per-case conformance and per-case performance. Everything after them
-    works on those.
+    once: events and cases, transitions, per-case conformance and performance, and the outcomes
+    with their replication weights. Everything after them works on those.
     """
     spark = log.events.sparkSession
-    events = log.events
+    events, cases = durable(log.events), durable(cases)
+    log = replace(log, events=events)
     steps = durable(discovery.transitions(log))
     scored_cases = durable(conformance.conformance_arrays(log, ideal))
     per_case = durable(performance.case_performance(events))
@@ -88,11 +91,12 @@ def analyze(
     model = prediction.train_sla_model(
         prediction.sla_features(log, cases, decision, approval, rework)
     )
-    outcomes = scenarios.replicated(scenarios.what_if(log, stages, cases))
+    # Read by both passes of the quantiles and by the other metrics.
+    outcomes = durable(scenarios.what_if(log, stages, cases, replications=REPLICATIONS))
     catalog = scenarios.catalog_table(spark)
-    compared = durable(scenarios.compare(
-        scenarios.mean_outcomes(scenarios.replication_outcomes(outcomes, 24 * 4)), catalog
-    ))
+    compared = durable(scenarios.compare(scenarios.mean_outcomes(scenarios.replication_outcomes(
+        scenarios.replicated(outcomes, REPLICATIONS), REPLICATIONS * len(scenarios.CATALOG)
+    )), catalog))
     tables = {
         "activities": activities,
         "bottlenecks": bottlenecks,

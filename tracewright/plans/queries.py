@@ -710,13 +710,14 @@ def high_risk_transitions(spark, sf):
 # --- scenarios and the order process ------------------------------------------------------
 
 
-def _outcomes(spark, sf) -> DataFrame:
-    return scenarios.what_if(_week(spark, sf), CLICK_STAGES, _cases(spark, sf))
+def _outcomes(spark, sf, replications=None) -> DataFrame:
+    return scenarios.what_if(
+        _week(spark, sf), CLICK_STAGES, _cases(spark, sf), replications=replications)
 
 
 def _replicated(spark, sf) -> DataFrame:
     # Read by both passes of the quantiles and by the other metrics.
-    return scenarios.replicated(durable(_outcomes(spark, sf)), REPLICATIONS)
+    return scenarios.replicated(durable(_outcomes(spark, sf, REPLICATIONS)), REPLICATIONS)
 
 
 def _compared(spark, sf) -> DataFrame:
