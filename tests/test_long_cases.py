@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import SF, rows
 from test_conformance import brute_distance
 from tracewright.log import ProcessLog
 from tracewright.operators import conformance, contracts, discovery, performance, prediction
@@ -157,3 +157,28 @@ def test_queries_do_not_depend_on_the_case_limit(spark, monkeypatch, name):
     monkeypatch.setattr(queries, "_made", {})
     assert as_set(queries.registry()[name](spark, SF)) == plain
     assert sum(plain.values()) > 0
+
+
+def test_dealt_logs_give_the_same_rows(spark, monkeypatch):
+    """Parts by the number of events, whatever the session's partitions are, and the same rows."""
+    from tracewright import log as module
+    from tracewright.sources import adapters
+
+    events = adapters.order_process_events(spark, SF)
+    cases = adapters.order_process_cases(spark, SF)
+    whole, dealt = (ProcessLog(events, adapters.ORDER_SORT) for _ in range(2))
+    parts = -(-dealt.facts.events // 700)
+    assert parts > 4
+    for made in (
+        discovery.transitions, discovery.case_sequences, discovery.trace_arrays,
+        lambda log: prediction.sla_features(
+            log, cases, adapters.ORDER_DECISION, adapters.ORDER_APPROVAL, adapters.ORDER_REWORK),
+    ):
+        first = made(whole)
+        with monkeypatch.context() as patch:
+            patch.setattr(module, "TASK_ROWS", 700)
+            second = made(dealt)
+        assert first.columns == second.columns
+        assert first.exceptAll(second).count() == second.exceptAll(first).count() == 0
+        plan = second._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(case_id" in plan and f", {parts})" in plan

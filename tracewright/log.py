@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tracewright.session import broadcast_if_small, durable
 
+TASK_ROWS = 250_000
+
 
 @dataclass(frozen=True)
 class LogFacts:
@@ -23,7 +25,8 @@ class ProcessLog:
     """Events in the canonical schema with the order they have inside a case.
 
     A case of up to ``case_limit`` events is one task's work; longer ones are cut into segments
-    of about ``segment_rows``. Both only choose the plan: every operator gives the same rows under
+    of about ``segment_rows``. What works on whole cases deals them to tasks of about
+    ``TASK_ROWS`` events. All three only choose the plan: every operator gives the same rows under
     any values.
     """
 
@@ -66,6 +69,15 @@ class ProcessLog:
             return self.events
         return self.events.join(self._long_ids, "case_id", "left_anti")
 
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` by case, in as many parts as keep a task's share of the log at ``TASK_ROWS`` events.
+
+        Only for rows without long cases. A task sorts or gathers what it gets, and without this
+        its memory follows the session's partition size. Logs of one part stay as they are.
+        """
+        parts = -(-self.facts.events // TASK_ROWS)
+        return rows.repartition(parts, "case_id") if parts > 1 else rows
+
     @cached_property
     def segments(self) -> DataFrame:
         """Events of the long cases, cut into balanced runs of the total order.
@@ -103,7 +115,9 @@ class ProcessLog:
     def numbered(self, *columns: str) -> DataFrame:
         """``columns`` and the 1-based ``position`` of each event in its case."""
         window = Window.partitionBy("case_id").orderBy(*self.order)
-        rows = self.regular.select(*columns, F.row_number().over(window).alias("position"))
+        used = dict.fromkeys(("case_id", *self.order, *columns))
+        rows = self.dealt(self.regular.select(*used)).select(
+            *columns, F.row_number().over(window).alias("position"))
         if self.has_long_cases:
             rows = rows.unionByName(self.segments.select(*columns, "position"))
         return rows
@@ -130,7 +144,8 @@ class ProcessLog:
                 *columns, *keys, F.when(F.col("_any").isNotNull(), before).alias(name)
             )
 
-        rows = looked_back(self.regular, name="before")
+        used = dict.fromkeys((*columns, *previous, *self.order))
+        rows = looked_back(self.dealt(self.regular.select(*used)), name="before")
         if not self.has_long_cases:
             return rows
         across = Window.partitionBy("case_id").orderBy("segment")

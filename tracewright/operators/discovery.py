@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,7 +40,9 @@ def case_sequences(log: ProcessLog) -> DataFrame:
 def trace_arrays(log: ProcessLog, whole: bool = False) -> DataFrame:
     """``case_id, steps`` for the cases that one task can hold, or as ``whole`` for all of them."""
     event = F.struct(*dict.fromkeys((*log.order, "activity")))
-    return (log.events if whole else log.regular).groupBy("case_id").agg(
+    rows = log.events if whole else log.dealt(log.regular.select("case_id", event.alias("_event")))
+    event = event if whole else F.col("_event")
+    return rows.groupBy("case_id").agg(
         F.transform(F.sort_array(F.collect_list(event)), lambda e: e["activity"]).alias("steps")
     )
 
@@ -255,7 +258,7 @@ def sample_log(log: ProcessLog, sample_cases: int = 2_000) -> ProcessLog:
     picked = log.events.join(
         broadcast_if_small(ids, sample_cases), "case_id", "left_semi"
     )
-    return ProcessLog(picked, log.order, log.case_limit, log.segment_rows)
+    return replace(log, events=picked)
 
 
 def sample_edge_count(log: ProcessLog, sample_cases: int = 2_000) -> DataFrame:

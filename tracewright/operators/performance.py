@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -246,7 +248,7 @@ def case_explorer(
 def case_timeline(log: ProcessLog, chosen: DataFrame) -> DataFrame:
     """Events of the chosen cases in order, each with its place in the case."""
     events = log.events.join(chosen.select("case_id"), "case_id", "left_semi")
-    picked = ProcessLog(events, log.order, log.case_limit, log.segment_rows)
+    picked = replace(log, events=events)
     return picked.numbered(
         "case_id", "activity", "timestamp", "resource_id", "processing_minutes"
     )

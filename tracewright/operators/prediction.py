@@ -61,7 +61,7 @@ def _early_events(log: ProcessLog, decision: str) -> DataFrame:
     """Events up to the first decision event of their case; all of them if there is none."""
     columns = ("case_id", "activity", "timestamp", "automated", "processing_minutes")
     cut = F.min(F.when(F.col("activity") == decision, F.col("timestamp")))
-    rows = log.regular.select(
+    rows = log.dealt(log.regular.select(*columns)).select(
         *columns, cut.over(Window.partitionBy("case_id")).alias("po_created_at")
     )
     if log.has_long_cases:
@@ -95,7 +95,8 @@ def sla_features(
         F.count_if(F.col("activity") == rework).alias("early_rework_count"),
         wide_sum(F.coalesce(manual, F.lit(0))).alias("_manual_us"),
     )
-    frame = cases.join(early, "case_id", "inner" if drop_uncut else "left")
+    # Dealt like the events, so that the early aggregates meet their cases where they are.
+    frame = log.dealt(cases).join(early, "case_id", "inner" if drop_uncut else "left")
     if drop_uncut:
         frame = frame.where(F.col("po_created_at").isNotNull())
     elapsed = hours(elapsed_us(F.col("created_at"), F.col("po_created_at")))
