@@ -21,6 +21,7 @@ from tracewright.llm import (
     op9_pii,
     op10_chat,
     queries,
+    tokens,
 )
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -118,6 +119,25 @@ def test_token_files(spark, corpus, tmp_path):
     assert {(r.file.rsplit("/")[-1], *r[1:]) for r in rows} == wanted and len(rows) == len(wanted)
 
 
+def test_token_files_are_read_once(spark, tmp_path):
+    np.array([5, 6, 0, 7, 0, 0, 8], dtype="<u2").tofile(tmp_path / "f.bin")
+    rows = op6_token_counts.token_counts(spark, str(tmp_path), block_tokens=2)
+    assert Counter(r[1:] for r in rows.collect()) == Counter(
+        [(0, 0, 2, True), (1, 3, 1, True), (2, 5, 0, True), (3, 6, 1, False)])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_token_files_bound_what_an_encoder_keeps():
+    path, most = queries.tokenizer_path(), op6_token_counts.PIECES
+    assert tokens.encoder(path, most).most == most <= 250_000
+    few, texts = tokens.Encoder(path, 40), [f"w{i} same words x{i}y".encode() for i in range(50)]
+    ids, counts = few.encode(texts, block=60)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [
+        ids_of(x.decode()) for x in texts]
+    assert len(few.place) <= 40
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=16).tolist()) for i in range(600)]

@@ -204,11 +204,11 @@ class Encoder:
         return (np.concatenate(out) if out else np.zeros(0, np.uint32)), counts
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker process's encoder for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, most: int = 1_000_000) -> Encoder:
+    """The worker process's encoder for a tokenizer file that keeps up to ``most`` pieces."""
+    if (path, most) not in _encoders:
+        _encoders[path, most] = Encoder(path, most)
+    return _encoders[path, most]
