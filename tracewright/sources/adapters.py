@@ -1,17 +1,20 @@
 """Adapters from generic tables to the canonical event log and case master.
 
 Each adapter is a projection (plus, for case masters, one aggregate): filters and column
-pruning reach the Parquet scan, and no adapter needs a window of its own.
+pruning reach the Parquet scan, and no adapter needs a window of its own. Only the order log
+counts its rows first, since its tasks follow them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.columns import elapsed_us, hours, literal_map
+from tracewright.functions.dealing import cut_by
 from tracewright.model import CASE_COLUMNS, EVENT_COLUMNS, SLA_TARGET_HOURS
 
 CLICK_IDEAL = ("signup", "view", "click", "purchase")
@@ -226,12 +229,18 @@ def _lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def order_process_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order log: placing and closing from ``orders``, one event per line from ``lineitem``.
 
-    Lines meet their order in one join by case; the closing event stands at the last date
-    of the order.
+    Lines meet their order in joins by case, in tasks of about ``TASK_ROWS`` rows of both; the
+    closing event stands at the last date of the order.
     """
     orders = _placed_orders(spark, sf_dir)
     lines = _lines(spark, sf_dir, "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus",
                    "l_extendedprice", "l_quantity")
+    keys = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("case_id"))
+    pieces = cut_by("case_id", lines, keys)(orders, lines)
+    return reduce(DataFrame.unionByName, [_order_events(*piece) for piece in pieces])
+
+
+def _order_events(orders: DataFrame, lines: DataFrame) -> DataFrame:
     last = lines.groupBy("case_id").agg(F.max("shipped_at").alias("last_at"))
     shared = ("case_id", "business_unit", "department", "country", "priority", "channel")
 
