@@ -69,6 +69,11 @@ class ProcessLog:
             return self.events
         return self.events.join(self._long_ids, "case_id", "left_anti")
 
+    @property
+    def long_events(self) -> DataFrame:
+        """Events of the cases that one task cannot hold."""
+        return self.events.join(self._long_ids, "case_id", "left_semi")
+
     def dealt(self, rows: DataFrame) -> DataFrame:
         """``rows`` by case, in as many parts as keep a task's share of the log at ``TASK_ROWS`` events.
 
@@ -87,12 +92,11 @@ class ProcessLog:
         any size, and rows that share a timestamp, evenly.
         """
         order = ("case_id", *self.order)
-        long_events = self.events.join(self._long_ids, "case_id", "left_semi")
         # At least as many ranges as tasks can run; boundary rows stay one per case and range.
         tasks = int(self.events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = max(tasks, -(-self.facts.events // self.segment_rows))
         cut = durable(
-            long_events.repartitionByRange(ranges, *order)
+            self.long_events.repartitionByRange(ranges, *order)
             .withColumn("segment", F.spark_partition_id())
         )
         inside = Window.partitionBy("case_id", "segment").orderBy(*self.order)

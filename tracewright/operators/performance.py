@@ -20,6 +20,7 @@ from tracewright.functions.quantiles import exact_quantiles
 from tracewright.log import ProcessLog
 from tracewright.model import ANNUAL_CASE_VOLUME
 from tracewright.operators.discovery import transitions
+from tracewright.session import durable
 
 # Weights of the bottleneck score.
 SCORE_WEIGHTS = {"total": 0.55, "p90": 0.30, "coverage": 0.15}
@@ -103,20 +104,33 @@ def rework_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def resource_workload(events: DataFrame) -> DataFrame:
-    """Volume, hours and share of all hours by resource; rows without a resource drop out."""
+def resource_workload(events: DataFrame | ProcessLog) -> DataFrame:
+    """Volume, hours and share of all hours by resource; rows without a resource drop out.
+
+    Counted by resource and case first, where a log is dealt by case, so that a task holds the
+    pairs of its own events; long cases combine on the map side. Written down once: the
+    shares need all hours.
+    """
+    log = events if isinstance(events, ProcessLog) else ProcessLog(events)
     known = F.col("resource_id").isNotNull() & F.col("resource_role").isNotNull()
-    table = events.where(known).groupBy("resource_id", "resource_role").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.count_distinct("case_id").alias("case_count"),
-        wide_sum(minutes_to_us(F.col("processing_minutes"))).alias("_us"),
-        rate(F.col("automated")).alias("automated_rate"),
-    )
-    total = events.where(known).select(
-        wide_sum(minutes_to_us(F.col("processing_minutes")))
-    ).scalar()
+    keys = ["resource_id", "resource_role"]
+
+    def by_case(rows):
+        return rows.groupBy(*keys, "case_id").agg(
+            F.count(F.lit(1)).alias("events"),
+            wide_sum(minutes_to_us(F.col("processing_minutes"))).alias("us"),
+            F.count_if("automated").alias("automated"), F.count("automated").alias("told"))
+
+    used = (*keys, "case_id", "processing_minutes", "automated")
+    pairs = by_case(log.dealt(log.regular.where(known).select(*used)))
+    if log.has_long_cases:
+        pairs = pairs.unionByName(by_case(log.long_events.where(known).select(*used)))
+    table = durable(pairs.groupBy(*keys).agg(
+        F.sum("events").alias("event_count"), F.count("case_id").alias("case_count"),
+        F.sum("us").alias("_us"), share(F.sum("automated"), F.sum("told")).alias("automated_rate")))
+    total = table.select(F.sum("_us")).scalar()
     return table.select(
-        "resource_id", "resource_role", "event_count", "case_count",
+        *keys, "event_count", "case_count",
         hours(F.col("_us")).alias("processing_hours"),
         "automated_rate",
         F.coalesce(share(F.col("_us"), total), F.lit(0.0)).alias("workload_share"),

@@ -87,7 +87,7 @@ def analyze(
     deviations = durable(conformance.deviation_summary(scored_cases))
     bottlenecks = durable(performance.bottlenecks(log, steps))
     rework_table = durable(performance.rework_summary(events))
-    workload = durable(performance.resource_workload(events))
+    workload = performance.resource_workload(log)
     model = prediction.train_sla_model(
         prediction.sla_features(log, cases, decision, approval, rework)
     )

@@ -443,7 +443,7 @@ def rework(spark, sf):
 
 @query
 def resource_workload(spark, sf):
-    return performance.resource_workload(adapters.clickstream_events(spark, sf, "week"))
+    return performance.resource_workload(_week(spark, sf))
 
 
 @query
@@ -892,7 +892,7 @@ def report_deviations(spark, sf):
 @query
 def report_workload(spark, sf):
     """The 15 resources with the most hours."""
-    table = performance.resource_workload(adapters.order_process_events(spark, sf))
+    table = performance.resource_workload(_orders(spark, sf).log)
     return table.orderBy(F.desc("processing_hours"), "resource_id", "resource_role").limit(15)
 
 
