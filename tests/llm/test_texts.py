@@ -91,6 +91,26 @@ def test_decontamination_has_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_decontamination_cuts_texts_once(spark):
+    docs = spark.createDataFrame(
+        [(1, "x A b C d y"), (1, "x A b C d y"), (2, None), (None, "Ä1 b-c \u00d7 [?]"), (3, "a b"), (3, "a")],
+        "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, "a B c D"), (8, "a")], "item_id long, text string")
+    result = op2_decontamination.contaminated(docs, benchmark)
+    assert "regexp" not in result._jdf.queryExecution().toString().lower()
+    got = Counter((r.doc_id, r.n_words, r.n_hit, *r["items"]) for r in result.collect())
+    assert got == {(1, 6, 4, "7", "8"): 2, (2, 0, 0): 1, (None, 4, 0): 1, (3, 2, 1, "8"): 1,
+                   (3, 1, 1, "8"): 1}
+
+
+def test_decontamination_fingerprints_have_no_python(spark):
+    rows = spark.createDataFrame([(1, 2, ["a", "b", "c"])], "doc long, txt long, words array<string>")
+    prints = spark.createDataFrame([(5, True)], "print long, known boolean")
+    met = op2_decontamination._met(rows, prints, 3, 2, [1])
+    assert not re.search("EvalPython|Pandas|MapInArrow", met._jdf.queryExecution().toString())
+    assert [(r.entry.start, r.entry.size) for r in met.collect()] == [(3, 0)]
+
+
 def brute_classes(documents):
     sets = [(i, (lambda w: {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else set())(
         BLANK_WORD.findall(low(t)))) for i, t in documents]

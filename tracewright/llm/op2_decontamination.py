@@ -7,9 +7,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.session import durable
+
 #: ASCII but digits and small letters separates words, after A-Z are folded.
 OUTSIDE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Rows of fingerprints or windows up to which the benchmark's side is broadcast.
 BROADCAST_ROWS = 300_000
 
@@ -82,6 +83,21 @@ def _checked(side: DataFrame, most: int) -> DataFrame:
     return F.broadcast(side) if side.limit(most + 1).count() <= most else side
 
 
+def _met(documents: DataFrame, prints: DataFrame, window: int, gram: int, short: list[int]) -> DataFrame:
+    """``doc, txt, entry`` of the entries whose print is in ``prints``, and of one more per document:
+    its size is 0 and its start the document's number of words. So texts are cut into words once.
+    """
+    spread = fingerprints(documents, window, gram, short)
+    # Any print will do; that of the row spreads them where the join is a shuffle.
+    own = F.struct(
+        F.xxhash64("doc", "txt").alias("print"), F.size("words").alias("start"),
+        F.lit(0).alias("size"), F.array().cast("array<string>").alias("context"))
+    # Outer: an inferred filter on the array would compute it a second time, all in one.
+    entries = spread.select("doc", "txt", F.explode_outer(F.concat(F.array(own), "prints")).alias("entry"))
+    return entries.withColumn("print", F.col("entry.print")).join(prints, "print", "left").where(
+        F.col("known") | (F.col("entry.size") == 0)).select("doc", "txt", "entry")
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, *columns, **options) -> DataFrame:
     """``contaminated_rows`` without the hash of the text."""
     return contaminated_rows(documents, benchmark, *columns, **options).drop("txt")
@@ -98,7 +114,8 @@ def contaminated_rows(
     A window is ``window`` consecutive words of an item, or all of a shorter one that has words.
     ``n_hit`` counts document words inside any occurrence of a window, ``items`` lists the ids,
     as sorted strings, of the items whose windows occur. Documents' fingerprints meet the
-    benchmark's; entries that meet are extended to their windows, which are compared as text.
+    benchmark's; entries that meet are written down, with the number of each document's words, and
+    extended to their windows, which are compared as text.
 
     Nulls have no words; a null item id is an empty string, and equal ids are one item. Documents
     are told apart by id and text, so repeated rows get the same result. No Python, and no task
@@ -116,13 +133,10 @@ def contaminated_rows(
     of_items = _windows(entries, "item").select("item", "window", "size").distinct()
 
     read = documents.select(
-        F.col(doc_id).alias("doc"), F.xxhash64(text).alias("txt"), F.col(text).alias("body"))
-    spread = fingerprints(
-        read.select("doc", "txt", words_of(F.col("body")).alias("words")), window, gram, short)
-    # Outer: an inferred filter on the array would compute it a second time, all in one.
-    met = spread.select("doc", "txt", F.explode_outer("prints").alias("entry")).withColumn(
-        "print", F.col("entry.print")).join(_checked(prints, broadcast_rows), "print")
-    hits = _windows(met, "doc", "txt").join(
+        F.col(doc_id).alias("doc"), F.xxhash64(text).alias("txt"), words_of(F.col(text)).alias("words"))
+    met = durable(_met(
+        read, _checked(prints.withColumn("known", F.lit(True)), broadcast_rows), window, gram, short))
+    hits = _windows(met.where("entry.size > 0"), "doc", "txt").join(
         _checked(of_items, broadcast_rows), ["window", "size"])
     found = hits.groupBy("doc", "txt").agg(
         F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("stop"))))
@@ -138,8 +152,8 @@ def contaminated_rows(
         lambda a: a["n"])
     found = found.select(F.col("doc").alias("_d"), F.col("txt").alias("_t"),
                          covered.alias("hit"), "items")
-    all_rows = read.select("doc", "txt", F.regexp_count(
-        F.coalesce("body", F.lit("")), F.lit(ANY_WORD)).cast("long").alias("n_words"))
+    all_rows = met.where("entry.size = 0").select(
+        "doc", "txt", F.col("entry.start").cast("long").alias("n_words"))
     return all_rows.join(
         found, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("txt") == F.col("_t")), "left").select(
         F.col("doc").alias(doc_id), "txt", "n_words",
