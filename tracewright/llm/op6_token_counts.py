@@ -11,15 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm import blocks as B
-from tracewright.llm.tokens import encoder
+from tracewright.llm.tokens import PIECES, encoder
 from tracewright.llm.words import blobs
 from tracewright.session import shared_folder
 
-#: Pieces a worker's encoder keeps. There is no end of pieces that come once, so a worker reaches any
-#: number and then learns the frequent ones anew: 32,000 documents take it 10 % longer at this one
-#: than at a million, and 303 MB instead of 437.
-PIECES = 250_000
-
 
 def write_token_files(
     documents: DataFrame, tokenizer: str, text: str = "text", width: int = 2,
