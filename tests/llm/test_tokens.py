@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tracewright.llm import op13_token_store, queries
+from tracewright.llm import blocks, op13_token_store, queries
 from tracewright.llm.op13_token_store import PerfectHash
 from tracewright.llm.tokens import Encoder
 
@@ -149,3 +151,40 @@ def test_long_document(spark):
     long = "word, другой don't été 12 " * 200_000
     documents = spark.createDataFrame([(2, long), (1, "a"), (3, None)], "doc_id long, text string")
     check(spark, documents, shard_bytes=1000)
+
+
+def test_work_on_a_batch_takes_little_memory(monkeypatch):
+    """Blocks, not the batch, bound the encoder's arrays; no text is copied to learn its size; and free
+    memory goes back to the system once, when a batch is done."""
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(2000)]
+    texts = [" ".join(draw.choices(words, k=300)) for _ in range(2000)]
+    raw, encoder = [x.encode() for x in texts], Encoder(queries.tokenizer_path())
+    encoder.encode(raw)  # its pieces are known from here on
+    table, trimmed = pa.table({"text": [*texts, None, ""]}), []
+    monkeypatch.setattr(blocks, "trim", lambda: trimmed.append(1))
+    tracemalloc.start()
+    try:
+        encoder.encode(raw)
+        assert tracemalloc.get_traced_memory()[1] < 40e6  # 59 MB in blocks of 2 MB
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        parts = [part.num_rows for part in blocks.slices(table, "text", 1 << 20)]
+        assert tracemalloc.get_traced_memory()[1] - before < 1e6
+    finally:
+        tracemalloc.stop()
+    assert sum(parts) == 2002 and len(parts) == 5 and trimmed == [1]
+    assert list(blocks.slices(table.slice(0, 0), "text", 100)) == []
+
+
+def test_trim_gives_memory_back():
+    def held():
+        with open("/proc/self/status", encoding="utf-8") as file:
+            return next(int(x.split()[1]) for x in file if x.startswith("RssAnon")) >> 10
+
+    arrays = [np.ones(60_000, dtype=np.uint8) for _ in range(2000)]
+    last = arrays[-1]  # what stands behind the free ones keeps them in the process
+    full = held()
+    del arrays
+    blocks.trim()
+    assert held() < full - 80 and last.sum() == 60_000

@@ -8,10 +8,12 @@ no group grows with it.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,13 +106,22 @@ def with_answers(
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(function, schema)
 
 
+def trim() -> None:
+    """Gives this process's free memory back to the system. A worker outlives its task by a minute or
+    serves the next one, and what it keeps counts beside that of the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    if free := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        free(0)
+
+
 def slices(table: pa.Table, column: str, limit: int) -> Iterator[pa.Table]:
-    """Runs of rows with about ``limit`` bytes of text each, one row at least."""
-    sizes = np.array([0 if x is None else len(x) for x in
-                      table[column].cast(pa.large_binary()).to_pylist()], dtype=np.int64)
+    """Runs of rows with about ``limit`` bytes of text each, one row at least. Memory that the work
+    on them has left free is given back at the end."""
+    sizes = pc.fill_null(pc.binary_length(table[column]), 0).to_numpy().astype(np.int64)
     at, n = 0, len(sizes)
     total = np.concatenate(([0], np.cumsum(sizes)))
     while at < n:
         to = max(at + 1, int(np.searchsorted(total, total[at] + limit, side="right")) - 1)
         yield table.slice(at, to - at)
         at = to
+    trim()

@@ -33,7 +33,7 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in B.slices(pa.Table.from_batches([batch]), text, 4 << 20):
+            for part in B.slices(pa.Table.from_batches([batch]), text, 1 << 20):
                 rows, out = [], []
                 ids, counts = encoder(tokenizer, PIECES).encode(blobs(part[text]))
                 every, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()

@@ -58,8 +58,10 @@ def _sketch(values: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def _texts(table: pa.Table, text: str, size: int) -> Iterator[tuple[pa.Table, list[np.ndarray]]]:
-    for part in B.slices(table, text, 4 << 20):
+def _texts(
+    table: pa.Table, text: str, size: int, limit: int = 1 << 20,
+) -> Iterator[tuple[pa.Table, list[np.ndarray]]]:
+    for part in B.slices(table, text, limit):
         yield part, _sets(find_words(blobs(part[text]), lower=True), size)
 
 
@@ -73,7 +75,7 @@ def frequent(documents: DataFrame, text: str, size: int, one_in: int = 16, least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, sets in _texts(pa.Table.from_batches([batch]), text, size):
+            for _, sets in _texts(pa.Table.from_batches([batch]), text, size, 4 << 20):
                 key, n = np.unique(B.joined(sets), return_counts=True)
                 yield B.ask(0, 16, key, n.astype(np.int64))
 

@@ -30,7 +30,7 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in B.slices(pa.Table.from_batches([batch]), text, 4 << 20):
+            for part in B.slices(pa.Table.from_batches([batch]), text, 1 << 20):
                 ids, counts = encoder(tokenizer, PIECES).encode(blobs(part[text]))
                 if len(ids) and int(ids.max()) + 1 >> (8 * width):
                     raise ValueError(f"ids must fit {width} bytes")

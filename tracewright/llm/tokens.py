@@ -165,10 +165,11 @@ class Encoder:
         number = number[entry]
         return self.ids[ragged(self.starts[number], self.lengths[number])], starts, self.lengths[number]
 
-    def encode(self, texts: list[bytes], block: int = 2 << 20) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes], block: int = 512 << 10) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (UTF-8), one text behind the other, and how many each text has.
 
-        Works on blocks of about ``block`` bytes; a longer text is cut between words.
+        Works on blocks of about ``block`` bytes; a longer text is cut between words. A block's
+        arrays take many times its size.
         """
         counts = np.zeros(len(texts), dtype=np.int64)
         if not self.by_piece:
