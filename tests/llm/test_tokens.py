@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm import blocks, op13_token_store, queries
 from tracewright.llm.op13_token_store import PerfectHash
-from tracewright.llm.tokens import Encoder
+from tracewright.llm.tokens import BLOCK, Encoder
 
 tokenizers = pytest.importorskip("tokenizers")
 SF = "/root/testdata/sf0.001"
@@ -165,7 +165,7 @@ def test_work_on_a_batch_takes_little_memory(monkeypatch):
     monkeypatch.setattr(blocks, "trim", lambda: trimmed.append(1))
     tracemalloc.start()
     try:
-        encoder.encode(raw)
+        encoder.encode(raw, BLOCK)
         assert tracemalloc.get_traced_memory()[1] < 40e6  # 59 MB in blocks of 2 MB
         tracemalloc.reset_peak()
         before = tracemalloc.get_traced_memory()[0]

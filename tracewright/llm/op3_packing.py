@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewright.llm import blocks as B
-from tracewright.llm.tokens import PIECES, encoder
+from tracewright.llm.tokens import BLOCK, PIECES, encoder
 from tracewright.llm.words import blobs
 from tracewright.session import durable
 
@@ -35,7 +35,7 @@ def pieces(
         for batch in batches:
             for part in B.slices(pa.Table.from_batches([batch]), text, 1 << 20):
                 rows, out = [], []
-                ids, counts = encoder(tokenizer, PIECES).encode(blobs(part[text]))
+                ids, counts = encoder(tokenizer, PIECES).encode(blobs(part[text]), BLOCK)
                 every, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
                 for row, (low, high) in enumerate(zip([0, *stops], stops, strict=False)):
                     raw = every[low:high] + end

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm import blocks as B
-from tracewright.llm.tokens import PIECES, encoder
+from tracewright.llm.tokens import BLOCK, PIECES, encoder
 from tracewright.llm.words import blobs
 from tracewright.session import shared_folder
 
@@ -31,7 +31,7 @@ def write_token_files(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in B.slices(pa.Table.from_batches([batch]), text, 1 << 20):
-                ids, counts = encoder(tokenizer, PIECES).encode(blobs(part[text]))
+                ids, counts = encoder(tokenizer, PIECES).encode(blobs(part[text]), BLOCK)
                 if len(ids) and int(ids.max()) + 1 >> (8 * width):
                     raise ValueError(f"ids must fit {width} bytes")
                 raw, ends = (ids + 1).astype(kind).tobytes(), (np.cumsum(counts) * width).tolist()
