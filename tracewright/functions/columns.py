@@ -17,12 +17,19 @@ def elapsed_us(start: Column, end: Column) -> Column:
     return F.unix_micros(end) - F.unix_micros(start)
 
 
+def whole(value: Column) -> Column:
+    """``F.round(value).cast("bigint")`` of doubles, halves away from zero, without a decimal per row."""
+    near = F.rint(value)
+    half = F.abs(value - near) == 0.5
+    return F.when(half, value + F.signum(value) * 0.5).otherwise(near).cast("bigint")
+
+
 def minutes_to_us(minutes: Column) -> Column:
-    return F.round(minutes * F.lit(float(MINUTE_US))).cast("bigint")
+    return whole(minutes * F.lit(float(MINUTE_US)))
 
 
 def hours_to_us(value: Column) -> Column:
-    return F.round(value * F.lit(float(HOUR_US))).cast("bigint")
+    return whole(value * F.lit(float(HOUR_US)))
 
 
 def hours(us: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,19 @@ def digest(seed: str, *parts: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def drawn(hashed: Column, stream: int = 0) -> Column:
+    """The hex digits of a draw."""
+    return F.substring(hashed, 1 + STREAM_DIGITS * stream, STREAM_DIGITS)
+
+
+def drawn_below(limit: float) -> str:
+    """The digits that a draw sorts before exactly where its ``uniform`` is under ``limit``."""
+    return f"{math.ceil(limit * 16**STREAM_DIGITS):0{STREAM_DIGITS}x}"
+
+
 def uniform(hashed: Column, stream: int = 0) -> Column:
     """Uniform in [0, 1)."""
-    chunk = F.substring(hashed, 1 + STREAM_DIGITS * stream, STREAM_DIGITS)
-    return F.conv(chunk, 16, 10).cast("double") / F.lit(float(16**STREAM_DIGITS))
+    return F.conv(drawn(hashed, stream), 16, 10).cast("double") / F.lit(float(16**STREAM_DIGITS))
 
 
 def settled(df: DataFrame) -> DataFrame:

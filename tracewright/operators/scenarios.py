@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,15 +15,16 @@ from tracewright.functions.columns import (
     HOUR_US,
     elapsed_us,
     hours,
-    literal_map,
     minutes_to_us,
     share,
+    whole,
     wide_sum,
 )
-from tracewright.functions.draws import digest, settled, uniform
-from tracewright.functions.quantiles import exact_quantiles
+from tracewright.functions.draws import digest, drawn, drawn_below, settled, uniform
+from tracewright.functions.quantiles import by_lane, exact_quantiles, lane_quantiles
 from tracewright.log import ProcessLog
 from tracewright.model import ANNUAL_CASE_VOLUME
+from tracewright.session import durable
 
 # Stage name, seats, mean service hours of the observed staffing.
 BASE_STAGES = (
@@ -184,10 +186,10 @@ def manual_factors(scenario: Scenario, stages: StageMap) -> dict[str, float]:
 
 
 def _scaled(us: Column, activity: Column, factors: dict[str, float]) -> Column:
-    if not factors:
-        return us
-    factor = F.coalesce(F.try_element_at(literal_map(factors), activity), F.lit(1.0))
-    return F.round(us * factor).cast("bigint")
+    scaled = us
+    for name, factor in factors.items():
+        scaled = F.when(activity == name, whole(us * factor)).otherwise(scaled)
+    return scaled
 
 
 def what_if(
@@ -201,7 +203,8 @@ def what_if(
     """Outcome of every observed case under every scenario.
 
     With ``replications`` each outcome carries the ``weights`` that ``replicated`` draws, hashed
-    once per case and not once per scenario.
+    once per case and not once per scenario. A row per case is then written down, and every pass over
+    the outcomes starts from it.
 
     The SLA target is the case's own, from ``cases``; without a case table it is drawn from the
     published mix by a hash of the case id.
@@ -228,7 +231,7 @@ def what_if(
             ("manual", manual_factors(scenario, stages)),
         ):
             scaled = _scaled(F.col(f"{name}_us"), F.col("activity"), factors)
-            sums.append(wide_sum(scaled).cast("bigint").alias(f"{name}_{i}"))
+            sums.append(F.sum(scaled).alias(f"{name}_{i}"))
     per_case = rows.groupBy("case_id").agg(F.min("timestamp").alias("arrival"), *sums)
     if cases is None:
         per_case = per_case.withColumn(
@@ -242,11 +245,11 @@ def what_if(
         )
         for i, s in enumerate(catalog)
     ])
-    drawn = []
+    weights = []
     if replications is not None:
-        per_case, drawn = _with_weights(per_case, replications), ["weights"]
+        per_case, weights = durable(_with_weights(per_case, replications)), ["weights"]
     return per_case.select(
-        "case_id", F.unix_micros("arrival").alias("arrival_us"), "sla_target_hours", *drawn,
+        "case_id", F.unix_micros("arrival").alias("arrival_us"), "sla_target_hours", *weights,
         F.inline(outcomes),
     )
 
@@ -258,10 +261,12 @@ POISSON_LIMITS = tuple(
 )
 
 
-def poisson_weight(u: Column) -> Column:
+def poisson_weight(chunk: Column) -> Column:
+    """The weight of a draw. Its hex digits are compared with those of the limits, which sort like the
+    numbers they write, so no draw is turned into a number."""
     out = F.lit(len(POISSON_LIMITS))
     for k, limit in reversed(list(enumerate(POISSON_LIMITS))):
-        out = F.when(u < limit, k).otherwise(out)
+        out = F.when(chunk < drawn_below(limit), k).otherwise(out)
     return out
 
 
@@ -272,58 +277,113 @@ def _with_weights(
     each = 5  # draws of a digest
     digests = settled(rows.withColumns({
         f"_d{i}": digest(seed, F.col("case_id"), F.lit(i)) for i in range(-(-replications // each))}))
-    draws = settled(digests.select(*rows.columns, *[
-        uniform(F.col(f"_d{k // each}"), k % each).alias(f"_u{k}") for k in range(replications)]))
-    weights = [poisson_weight(F.col(f"_u{k}")).cast("int") for k in range(replications)]
-    return draws.select(*rows.columns, F.array(*weights).alias("weights"))
+    # A weight per element: one branch after the other for each would be too much code to compile.
+    draws = F.array(*[drawn(F.col(f"_d{k // each}"), k % each) for k in range(replications)])
+    weights = F.transform(draws, lambda u: poisson_weight(u).cast("int"))
+    return digests.select(*rows.columns, weights.alias("weights"))
 
 
-def replicated(outcomes: DataFrame, replications: int = 24, seed: str = "bootstrap") -> DataFrame:
+def replicated(
+    outcomes: DataFrame, replications: int = 24, seed: str = "bootstrap", wide: bool = False
+) -> DataFrame:
     """Every outcome in every replication that draws its case, with the ``weight`` it is drawn by.
 
     A replication is a bootstrap over all cases: the weight comes from a hash of case and replication,
     so it is the same for all scenarios, which are then compared on the same cases. ``weights`` that
-    ``what_if`` has drawn are taken as they are.
+    ``what_if`` has drawn are taken as they are. With ``wide`` an outcome stays one row, and its
+    weights are the columns ``weight_0``, ``weight_1``, ..., null where a replication does not draw it.
     """
     if "weights" not in outcomes.columns:
         outcomes = _with_weights(outcomes, replications, seed)
     columns = [c for c in outcomes.columns if c != "weights"]
+    if wide:
+        drawn_by = (F.nullif(F.get("weights", F.lit(k)), F.lit(0)) for k in range(replications))
+        return outcomes.select(
+            *columns, *[w.alias(f"{WIDE}{k}") for k, w in enumerate(drawn_by)])
     return outcomes.select(
         *columns, F.posexplode("weights").alias("replication", "weight")).where("weight > 0")
 
 
+WIDE = "weight_"
+# So many replications are summed side by side: more would be too many columns for compiled code.
+WIDE_SUMS = 8
+PART_BITS = 22
+
+
 def replication_outcomes(outcomes: DataFrame, max_groups: int | None = None) -> DataFrame:
     """Six outcome metrics per scenario and replication, each case by its ``weight``.
 
-    A case without a target counts for all but the adherence.
+    A case without a target counts for all but the adherence. Takes what ``replicated`` returns in
+    either form; of the wide one each outcome is read as one row by each pass.
     """
     keys = ["catalog_index", "scenario", "replication"]
-    weight = F.col("weight").cast("bigint")
-    timing = exact_quantiles(
-        outcomes.withColumn("weight", weight), keys, "cycle_us", {"median": 0.5, "p90": 0.9},
-        max_groups=max_groups, weight="weight",
-    )
-    target = F.col("sla_target_hours")
-    breached = F.when(target.isNotNull(), (hours(F.col("cycle_us")) > target).cast("int"))
-    judged = F.sum(F.when(target.isNotNull(), weight))
-    span_us = F.max(F.col("arrival_us") + F.col("cycle_us")) - F.min("arrival_us")
-    rest = outcomes.groupBy(*keys).agg(
-        F.sum(weight).alias("cases"),
-        (1 - share(F.sum(breached * weight), judged)).alias("sla_adherence"),
-        hours(share(wide_sum(F.col("manual_us") * weight), F.sum(weight)))
-        .alias("manual_hours_per_case"),
-        F.greatest(span_us / HOUR_US, F.lit(1.0)).alias("span_hours"),
-    )
+    probs = {"median": 0.5, "p90": 0.9}
+    weights = [c for c in outcomes.columns if c.startswith(WIDE)]
+    if weights:
+        rest = _wide_sums(outcomes, keys, weights)
+        timing = lane_quantiles(outcomes, keys[:2], "cycle_us", probs, weights, keys[2], max_groups)
+    else:
+        weight = F.col("weight").cast("bigint")
+        rest = outcomes.groupBy(*keys).agg(
+            *_weighted_sums(weight, lambda us: wide_sum(us * weight)))
+        timing = exact_quantiles(
+            outcomes.withColumn("weight", weight), keys, "cycle_us", probs,
+            max_groups=max_groups, weight="weight",
+        )
+    span_hours = F.greatest(F.col("span_us") / HOUR_US, F.lit(1.0))
     return rest.join(timing, keys).select(
         *keys, "cases",
         hours(share(F.col("total"), F.col("n"))).alias("mean_cycle_hours"),
         hours(F.col("median")).alias("median_cycle_hours"),
         hours(F.col("p90")).alias("p90_cycle_hours"),
-        "sla_adherence", "manual_hours_per_case",
-        (F.col("cases") / F.col("span_hours") * 8).alias("throughput_cases_per_8h"),
+        (1 - share(F.col("breached"), F.col("judged"))).alias("sla_adherence"),
+        hours(share(F.col("manual"), F.col("cases"))).alias("manual_hours_per_case"),
+        (F.col("cases") / span_hours * 8).alias("throughput_cases_per_8h"),
     )
 
 
+def _weighted_sums(weight: Column, manual: Callable[[Column], Column], name: str = "{}") -> list[Column]:
+    """The sums behind the metrics but those of the cycle, of rows whose ``weight`` is not null."""
+    target = F.col("sla_target_hours")
+    breached = F.when(target.isNotNull(), (hours(F.col("cycle_us")) > target).cast("int"))
+    drawn_rows = weight.isNotNull()
+    end = F.max(F.when(drawn_rows, F.col("arrival_us") + F.col("cycle_us")))
+    sums = {
+        "cases": F.sum(weight),
+        "judged": F.sum(F.when(target.isNotNull(), weight)),
+        "breached": F.sum(breached * weight),
+        "span_us": end - F.min(F.when(drawn_rows, F.col("arrival_us"))),
+        "manual": manual(F.col("manual_us")),
+    }
+    return [c.alias(name.format(n)) for n, c in sums.items()]
+
+
+def _wide_sums(outcomes: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> DataFrame:
+    """The sums of ``_weighted_sums`` per replication, from one row per outcome."""
+    *groups, lane = keys
+    mask = F.lit((1 << PART_BITS) - 1)
+
+    def exact(weight):
+        # The parts of a number of 64 bits have sums of 64 bits, and together its exact sum.
+        def total(us):
+            parts = (us.bitwiseAND(mask), F.shiftright(us, PART_BITS).bitwiseAND(mask),
+                     F.shiftright(us, 2 * PART_BITS))
+            sums = [F.sum(p * weight).cast("decimal(19,0)") for p in parts]
+            return reduce(lambda x, y: x + y, [
+                s * F.lit(1 << (PART_BITS * i)) for i, s in enumerate(sums)])
+        return total
+
+    found = []
+    for first in range(0, len(weights), WIDE_SUMS):
+        lanes = range(first, min(first + WIDE_SUMS, len(weights)))
+        sums = [c for k in lanes for c in _weighted_sums(
+            F.col(weights[k]).cast("bigint"), exact(F.col(weights[k]).cast("bigint")), f"{{}}_{k}")]
+        names = ("cases", "judged", "breached", "span_us", "manual")
+        found.append(by_lane(
+            outcomes.groupBy(*groups).agg(*sums), groups, {n: f"{n}_{{}}" for n in names}, lane, lanes))
+    return reduce(DataFrame.unionByName, found).where("cases IS NOT NULL")
+
+
 OUTCOME_COLUMNS = (
     "mean_cycle_hours", "median_cycle_hours", "p90_cycle_hours", "sla_adherence",
     "manual_hours_per_case", "throughput_cases_per_8h",

@@ -91,12 +91,11 @@ def analyze(
     model = prediction.train_sla_model(
         prediction.sla_features(log, cases, decision, approval, rework)
     )
-    # Read by both passes of the quantiles and by the other metrics.
-    outcomes = durable(scenarios.what_if(log, stages, cases, replications=REPLICATIONS))
+    outcomes = scenarios.replicated(
+        scenarios.what_if(log, stages, cases, replications=REPLICATIONS), REPLICATIONS, wide=True)
     catalog = scenarios.catalog_table(spark)
     compared = durable(scenarios.compare(scenarios.mean_outcomes(scenarios.replication_outcomes(
-        scenarios.replicated(outcomes, REPLICATIONS), REPLICATIONS * len(scenarios.CATALOG)
-    )), catalog))
+        outcomes, REPLICATIONS * len(scenarios.CATALOG))), catalog))
     tables = {
         "activities": activities,
         "bottlenecks": bottlenecks,

@@ -716,8 +716,7 @@ def _outcomes(spark, sf, replications=None) -> DataFrame:
 
 
 def _replicated(spark, sf) -> DataFrame:
-    # Read by both passes of the quantiles and by the other metrics.
-    return scenarios.replicated(durable(_outcomes(spark, sf, REPLICATIONS)), REPLICATIONS)
+    return scenarios.replicated(_outcomes(spark, sf, REPLICATIONS), REPLICATIONS, wide=True)
 
 
 def _compared(spark, sf) -> DataFrame:
