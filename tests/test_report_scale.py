@@ -1,17 +1,20 @@
-"""What keeps the report's work in line with the rows: weights side by side, compiled code."""
+"""What keeps the report's work in line with the rows: weights side by side, compiled code, traces
+that are gathered once, joins of orders and lines without sorts."""
 
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF
+from tracewright.functions import dealing
 from tracewright.functions.columns import whole
 from tracewright.functions.draws import digest, drawn, drawn_below, uniform
 from tracewright.log import ProcessLog
-from tracewright.operators import scenarios
+from tracewright.operators import conformance, discovery, scenarios
 from tracewright.plans.queries import ORDER_STAGES, registry
 from tracewright.sources import adapters
 
@@ -85,3 +88,26 @@ def test_whole_rounds_like_round(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     found = df.select(whole(F.col("v")), F.round("v").cast("bigint")).collect()
     assert [r[0] for r in found] == [r[1] for r in found]
+
+
+def test_written_traces_serve_all_readers(spark, small_events):
+    for limit in (100_000, 3):
+        log = ProcessLog(small_events, case_limit=limit)
+        readers = (discovery.start_end_activities, discovery.variants, lambda x: (
+            conformance.conformance_cases(conformance.conformance_arrays(x, ("Intake", "Ship")))))
+        before = [sorted_rows(read(log)) for read in readers]
+        log.traces = discovery.trace_arrays(log).cache()
+        assert [sorted_rows(read(log)) for read in readers] == before
+        assert replace(log, events=small_events.limit(1)).traces is None
+
+
+def test_orders_meet_lines_without_sorts(spark, monkeypatch):
+    monkeypatch.setattr(dealing, "TASK_ROWS", 500)
+    plan = plan_of(adapters.order_process_events(spark, SF))
+    assert re.search(r"ShuffledHashJoin \[case_id", plan)
+    assert not re.search(r"SortMergeJoin \[case_id", plan)
+
+
+def test_lines_of_the_case_master_shuffle_once(spark):
+    plan = plan_of(adapters.order_process_cases(spark, SF))
+    assert not re.search(r"hashpartitioning\(case_id#\d+, l_returnflag", plan)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
@@ -28,12 +28,16 @@ class ProcessLog:
     of about ``segment_rows``. What works on whole cases deals them to tasks of about
     ``TASK_ROWS`` events. All three only choose the plan: every operator gives the same rows under
     any values.
+
+    ``traces`` are the arrays of ``discovery.trace_arrays`` where a caller with several readers has
+    written them down. They are of these events: ``replace`` leaves them out.
     """
 
     events: DataFrame
     order: tuple[str, ...] = ("timestamp", "event_index")
     case_limit: int = 100_000
     segment_rows: int = 2_000_000
+    traces: DataFrame | None = field(default=None, init=False)
 
     @cached_property
     def facts(self) -> LogFacts:

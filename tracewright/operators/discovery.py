@@ -39,6 +39,8 @@ def case_sequences(log: ProcessLog) -> DataFrame:
 
 def trace_arrays(log: ProcessLog, whole: bool = False) -> DataFrame:
     """``case_id, steps`` for the cases that one task can hold, or as ``whole`` for all of them."""
+    if log.traces is not None and not whole:
+        return log.traces
     event = F.struct(*dict.fromkeys((*log.order, "activity")))
     rows = log.events if whole else log.dealt(log.regular.select("case_id", event.alias("_event")))
     event = event if whole else F.col("_event")
@@ -240,11 +242,22 @@ def activity_view(events: DataFrame) -> DataFrame:
 
 
 def start_end_activities(log: ProcessLog) -> DataFrame:
-    """``position (start|end), activity, case_count`` by map-side combined min/max."""
+    """``position (start|end), activity, case_count`` by map-side combined min/max, or from traces that
+    are written down."""
     order = F.struct(*log.order)
-    ends = log.events.groupBy("case_id").agg(
-        F.min_by("activity", order).alias("start"), F.max_by("activity", order).alias("end")
-    )
+
+    def combined(events):
+        return events.groupBy("case_id").agg(
+            F.min_by("activity", order).alias("start"), F.max_by("activity", order).alias("end"))
+
+    if log.traces is None:
+        ends = combined(log.events)
+    else:
+        ends = log.traces.select(
+            "case_id", F.get("steps", F.lit(0)).alias("start"),
+            F.get("steps", F.size("steps") - 1).alias("end"))
+        if log.has_long_cases:
+            ends = ends.unionByName(combined(log.long_events))
     return (
         ends.select(F.explode(F.create_map(F.lit("start"), "start", F.lit("end"), "end"))
                     .alias("position", "activity"))

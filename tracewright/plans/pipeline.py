@@ -76,6 +76,8 @@ def analyze(
     spark = log.events.sparkSession
     events, cases = durable(log.events), durable(cases)
     log = replace(log, events=events)
+    # Read by the conformance, the variants, and the first and last activities.
+    log.traces = durable(discovery.trace_arrays(log))
     steps = durable(discovery.transitions(log))
     scored_cases = durable(conformance.conformance_arrays(log, ideal))
     per_case = durable(performance.case_performance(events))
